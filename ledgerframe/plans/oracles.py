@@ -310,8 +310,8 @@ def metrics(keys: str) -> str:
     lead = f"{keys}, model" if keys else "model"
     return f"""SELECT {lead},
   {rnd('avg(abs((prediction - actual) / nullif(actual, 0)))', 6)} AS "MAPE",
-  {rnd('sqrt(avg((prediction - actual) * (prediction - actual)))', 2)} AS "RMSE",
-  {rnd('avg(abs(prediction - actual))', 2)} AS "MAE"
+  {rnd('sqrt(avg((prediction - actual) * (prediction - actual)))', 4)} AS "RMSE",
+  {rnd('avg(abs(prediction - actual))', 4)} AS "MAE"
 FROM pred GROUP BY {lead}"""
 
 
@@ -672,13 +672,13 @@ oracle(
   {rnd('arpu', 6)} AS arpu_implied, new_logos - churned AS net_new_customers,
   {rnd('churn', 6)} AS churn_rate_implied, {rnd('arpu2', 6)} AS arpu_adjusted,
   {rnd('churn2', 6)} AS churn_rate_adjusted, {rnd('cust2', 6)} AS customers_adjusted,
-  {rnd('rev2', 4)} AS revenue_adjusted FROM adj3""",
+  {rnd('rev2', 6)} AS revenue_adjusted FROM adj3""",
 )
 oracle(
     "whatif_impact",
     [*_DRV, """
 wi AS (SELECT profit_center, sum(CAST(revenue AS DECIMAL(28,2))) AS b,
-              sum(CAST(round(rev2, 4) AS DECIMAL(28,4))) AS a FROM adj3 GROUP BY 1)"""],
+              sum(CAST(round(rev2, 6) AS DECIMAL(28,6))) AS a FROM adj3 GROUP BY 1)"""],
     f"""SELECT profit_center, {dbl('b')} AS revenue, {dbl('round(a, 2)')} AS revenue_adjusted,
   {dbl('round(a - b, 2)')} AS impact, {ratio('a - b', 'b')} AS impact_pct FROM wi""",
 )
@@ -693,13 +693,16 @@ oracle(
 oracle(
     "opex_allocate",
     [BASE_COST, RATIOS, SPLIT, LINE, HEADS, """
-pay AS (SELECT period, cost_center, company_code, headcount * avg_fully_loaded_cost / 12 AS pay
+pay AS (SELECT period, cost_center, company_code,
+               CAST(headcount AS HUGEINT) * CAST(round(avg_fully_loaded_cost * 100) AS HUGEINT) AS cents
         FROM head_fact),
 parts AS (
-  SELECT cc.cost_center, s.gl_account, CAST(s.ratio AS DOUBLE) AS ratio
+  SELECT cc.cost_center, s.gl_account, CAST(round(s.ratio * 100000) AS HUGEINT) AS r5
   FROM (SELECT cost_center FROM base_cost) cc CROSS JOIN split_pay s
-  UNION ALL SELECT cost_center, gl_account, CAST(ratio AS DOUBLE) FROM ratios)"""],
-    """SELECT period, cost_center, company_code, gl_account, round(pay * ratio, 2) AS amount
+  UNION ALL SELECT cost_center, gl_account, CAST(round(ratio * 100000) AS HUGEINT)
+  FROM ratios)"""],
+    """SELECT period, cost_center, company_code, gl_account,
+  CAST((2 * cents * r5 + 1200000) // 2400000 AS DOUBLE) / 100 AS amount
 FROM pay JOIN parts USING (cost_center)""",
 )
 oracle(
