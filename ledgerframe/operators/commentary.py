@@ -65,7 +65,7 @@ def tone_agreement(matched: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return matched.groupBy(*by).agg(
         F.count("match_authored_label").alias("labelled"),
         F.sum(F.col("match_authored_label").cast("int")).alias("matched"),
-        F.round(F.avg(F.col("match_authored_label").cast("int")), 6).alias("agreement"),
+        F.round(F.avg(F.col("match_authored_label").cast("int")), 9).alias("agreement"),
     )
 
 

@@ -81,7 +81,7 @@ def opex_per_headcount(opex: DataFrame, heads: DataFrame) -> DataFrame:
         "period",
         dbl("amount").alias("amount"),
         "total_headcount",
-        ratio("amount", "total_headcount").alias("opex_per_headcount_monthly"),
+        safe_div("amount", "total_headcount").alias("opex_per_headcount_monthly"),
     )
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions.numeric import MONEY, dbl, or_zero, ratio, safe_div, to_money
 from ..functions.periods import add_months
 from ..functions.rows import literal_rows
-from .pnl import monthly_actuals
 
 PLAN_KEYS = ["dim1", "dim2", "gl_account", "line_type"]
 
@@ -40,19 +39,16 @@ def budget_build(
     for year, rates in growth.items():
         cond, value = target == year, _by_line(rates)
         rate = F.when(cond, value) if rate is None else rate.when(cond, value)
-    return (
-        actuals.withColumn("rate", rate)
-        .filter(F.col("rate").isNotNull())
-        .select(
-            F.add_months("period", 12).alias("period"),
-            *PLAN_KEYS,
-            to_money(F.col("actual_amount") * (1 + F.col("rate"))).alias("budget_amount"),
-        )
-    )
+    # filtered on the amount, not on the rate: see variance() on sharing the actuals
+    return actuals.select(
+        F.add_months("period", 12).alias("period"),
+        *PLAN_KEYS,
+        to_money(F.col("actual_amount") * (1 + rate)).alias("budget_amount"),
+    ).filter(F.col("budget_amount").isNotNull())
 
 
 def run_rate_forecast(
-    postings: DataFrame,
+    actuals: DataFrame,
     as_of: date,
     horizon: int,
     growth: Mapping[str, float],
@@ -60,25 +56,28 @@ def run_rate_forecast(
 ) -> DataFrame:
     """Mean of the last months carried forward with monthly growth, per plan key.
 
-    The mean is over the months in which the key has postings. Future months are
-    unfolded from a sequence, not joined.
+    ``actuals`` are monthly actuals; give it those from the first trailing month on. The
+    mean is over the months in which the key has postings. Future months are unfolded
+    from a sequence, not joined. Months outside the trailing ones are masked rather than
+    filtered: see variance() on sharing the actuals.
     """
-    recent = postings.filter(
-        (F.col("period") > F.lit(add_months(as_of, -trailing))) & (F.col("period") <= F.lit(as_of))
+    recent = (F.col("period") > F.lit(add_months(as_of, -trailing))) & (
+        F.col("period") <= F.lit(as_of)
     )
-    base = (
-        monthly_actuals(recent)
-        .groupBy(*PLAN_KEYS)
-        .agg(safe_div(F.sum("actual_amount"), F.count("actual_amount")).alias("run_rate"))
-        .withColumn("rate", dbl(_by_line(growth)))
-        .filter(F.col("rate").isNotNull())
+    amount = F.when(recent, F.col("actual_amount"))
+    base = actuals.groupBy(*PLAN_KEYS).agg(
+        safe_div(F.sum(amount), F.count(amount)).alias("run_rate")
     )
     ahead = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("i")
-    amount = F.col("run_rate") * F.pow(1 + F.col("rate"), F.col("i"))
-    return base.select("*", ahead).select(
-        F.add_months(F.lit(as_of), F.col("i")).alias("period"),
-        *PLAN_KEYS,
-        to_money(amount).alias("forecast_amount"),
+    grown = F.col("run_rate") * F.pow(1 + dbl(_by_line(growth)), F.col("i"))
+    return (
+        base.select("*", ahead)
+        .select(
+            F.add_months(F.lit(as_of), F.col("i")).alias("period"),
+            *PLAN_KEYS,
+            to_money(grown).alias("forecast_amount"),
+        )
+        .filter(F.col("forecast_amount").isNotNull())
     )
 
 

@@ -20,9 +20,21 @@ def variance(
     The plan drives: an actual without a plan row is left out. A missing actual stays
     NULL and counts as 0 in the differences; ``fill_actual`` shows the 0. Both sides have
     one row per key here, so a busy account does not make a busy join key.
+
+    The keys are matched null-safe and rows with a NULL key are then left unmatched. With
+    plain equality the planner would push a not-null filter into the actuals alone; a plan
+    derived from the same actuals could then not share their shuffle, and the ledger would
+    be read twice.
     """
-    joined = plan.select(*ACTUAL_KEYS, plan_col).join(
-        actuals.select(*ACTUAL_KEYS, "actual_amount"), ACTUAL_KEYS, "left"
+    left, right = plan.alias("p"), actuals.alias("a")
+    same, known = F.lit(True), F.lit(True)
+    for k in ACTUAL_KEYS:
+        same = same & F.col(f"p.{k}").eqNullSafe(F.col(f"a.{k}"))
+        known = known & F.col(f"p.{k}").isNotNull()
+    joined = left.join(right, same, "left").select(
+        *[F.col(f"p.{k}") for k in ACTUAL_KEYS],
+        F.col(f"p.{plan_col}"),
+        F.when(known, F.col("a.actual_amount")).alias("actual_amount"),
     )
     diff = or_zero("actual_amount") - F.col(plan_col)
     actual = or_zero("actual_amount") if fill_actual else F.col("actual_amount")

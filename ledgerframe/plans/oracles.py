@@ -475,7 +475,7 @@ oracle(
 oracle(
     "revenue_fact", [LINE, REV_FACT],
     f"""SELECT period, profit_center, company_code, gl_account, customers,
-  {ratio('revenue', 'customers')} AS arpu, {dbl('revenue')} AS revenue, new_logos, churned_customers
+  CAST(revenue AS DOUBLE) / customers AS arpu, {dbl('revenue')} AS revenue, new_logos, churned_customers
 FROM rev_fact""",
 )
 oracle(
@@ -663,16 +663,16 @@ _DRV = [LINE, REV_FACT, DRIVERS]
 oracle(
     "driver_model_revenue", _DRV,
     f"""SELECT period, profit_center, customers, revenue, new_logos, churned,
-  {rnd('arpu', 6)} AS arpu_implied, new_logos - churned AS net_new_customers,
-  {rnd('churn', 6)} AS churn_rate_implied FROM drv2""",
+  arpu AS arpu_implied, new_logos - churned AS net_new_customers,
+  churn AS churn_rate_implied FROM drv2""",
 )
 oracle(
     "whatif_drivers", _DRV,
     f"""SELECT period, profit_center, customers, revenue, new_logos, churned,
-  {rnd('arpu', 6)} AS arpu_implied, new_logos - churned AS net_new_customers,
-  {rnd('churn', 6)} AS churn_rate_implied, {rnd('arpu2', 6)} AS arpu_adjusted,
-  {rnd('churn2', 6)} AS churn_rate_adjusted, {rnd('cust2', 6)} AS customers_adjusted,
-  {rnd('rev2', 6)} AS revenue_adjusted FROM adj3""",
+  arpu AS arpu_implied, new_logos - churned AS net_new_customers,
+  churn AS churn_rate_implied, arpu2 AS arpu_adjusted,
+  churn2 AS churn_rate_adjusted, cust2 AS customers_adjusted,
+  rev2 AS revenue_adjusted FROM adj3""",
 )
 oracle(
     "whatif_impact",
@@ -688,7 +688,7 @@ oracle(
      "o AS (SELECT period, sum(expense) AS amount FROM line GROUP BY 1)",
      "h AS (SELECT period, sum(headcount) AS total_headcount FROM head_fact GROUP BY 1)"],
     f"""SELECT period, {dbl('amount')} AS amount, total_headcount,
-  {ratio('amount', 'total_headcount')} AS opex_per_headcount_monthly FROM o JOIN h USING (period)""",
+  CAST(amount AS DOUBLE) / total_headcount AS opex_per_headcount_monthly FROM o JOIN h USING (period)""",
 )
 oracle(
     "opex_allocate",
@@ -820,7 +820,7 @@ oracle(
   CAST(sum(CASE WHEN lower(predicted_tone) = label THEN 1 WHEN label IS NOT NULL THEN 0 END)
        AS BIGINT) AS matched,
   {rnd("avg(CASE WHEN lower(predicted_tone) = label THEN 1.0 WHEN label IS NOT NULL THEN 0.0 END)",
-       6)} AS agreement
+       9)} AS agreement
 FROM scored LEFT JOIN lab USING (doc_id)""",
 )
 oracle(
@@ -845,12 +845,12 @@ _LINK = [BUDGET_GROWTH, LINE, BUDGET, DOCS, TONE, LINK]
 oracle("quarterly_opex_variance", _LINK, "SELECT * FROM qvar")
 oracle(
     "quarterly_sentiment", _LINK,
-    f"""SELECT fiscal_quarter, cost_center, {rnd('avg_sentiment', 6)} AS avg_sentiment,
+    f"""SELECT fiscal_quarter, cost_center, {rnd('avg_sentiment', 9)} AS avg_sentiment,
   predicted_tone_mode FROM qsent""",
 )
 oracle(
     "sentiment_variance_link", _LINK,
-    f"""SELECT fiscal_quarter, cost_center, {rnd('avg_sentiment', 6)} AS avg_sentiment,
+    f"""SELECT fiscal_quarter, cost_center, {rnd('avg_sentiment', 9)} AS avg_sentiment,
   predicted_tone_mode, budget_amount, actual_amount, variance_abs, variance_pct FROM link""",
 )
 oracle(

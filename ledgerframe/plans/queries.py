@@ -232,7 +232,11 @@ def _budget(actuals: DataFrame) -> DataFrame:
 
 def _forecast(t: OrderTables) -> DataFrame:
     recent = order_ledger.postings(t, since=add_months(p.AS_OF, -2), until=_closed())
-    return planning.run_rate_forecast(recent, p.AS_OF, p.HORIZON, p.RUN_RATE_GROWTH)
+    return _run_rate(pnl.monthly_actuals(recent))
+
+
+def _run_rate(actuals: DataFrame) -> DataFrame:
+    return planning.run_rate_forecast(actuals, p.AS_OF, p.HORIZON, p.RUN_RATE_GROWTH)
 
 
 @query
@@ -263,9 +267,12 @@ def _variance_budget(t: OrderTables) -> DataFrame:
 
 
 def _variance_forecast(t: OrderTables) -> DataFrame:
-    """Months after the cutoff that have postings play the later actuals."""
-    later = pnl.monthly_actuals(order_ledger.postings(t, since=_closed()))
-    return variance(_forecast(t), later, "forecast_amount")
+    """Months after the cutoff that have postings play the later actuals.
+
+    One frame of months, from the first trailing one on, feeds both sides.
+    """
+    actuals = pnl.monthly_actuals(order_ledger.postings(t, since=add_months(p.AS_OF, -2)))
+    return variance(_run_rate(actuals), actuals, "forecast_amount")
 
 
 @query
@@ -301,7 +308,7 @@ def _drivers(t: OrderTables) -> DataFrame:
 
 @query
 def driver_model_revenue(t: OrderTables) -> DataFrame:
-    return _rounded(_drivers(t), 6, ["arpu_implied", "churn_rate_implied"])
+    return _drivers(t)
 
 
 def _whatif(t: OrderTables) -> DataFrame:
@@ -310,12 +317,7 @@ def _whatif(t: OrderTables) -> DataFrame:
 
 @query
 def whatif_drivers(t: OrderTables) -> DataFrame:
-    out = _rounded(
-        _whatif(t), 6,
-        ["arpu_implied", "churn_rate_implied", "arpu_adjusted", "churn_rate_adjusted",
-         "customers_adjusted"],
-    )
-    return _rounded(out, 6, ["revenue_adjusted"])
+    return _whatif(t)
 
 
 @query
@@ -588,7 +590,7 @@ def topic_labels(t: OrderTables) -> DataFrame:
 def topic_summary(t: OrderTables) -> DataFrame:
     clusters, labels = _topics(t)
     scored = _scored(t).join(clusters, "doc_id").join(labels, "topic_cluster")
-    return _rounded(text.topic_summary(scored), 6, ["avg_sentiment"])
+    return _rounded(text.topic_summary(scored), 9, ["avg_sentiment"])
 
 
 @query
@@ -624,12 +626,12 @@ def quarterly_opex_variance(t: OrderTables) -> DataFrame:
 
 @query
 def quarterly_sentiment(t: OrderTables) -> DataFrame:
-    return _rounded(linkage.quarterly_sentiment(_scored(t)), 6, ["avg_sentiment"])
+    return _rounded(linkage.quarterly_sentiment(_scored(t)), 9, ["avg_sentiment"])
 
 
 @query
 def sentiment_variance_link(t: OrderTables) -> DataFrame:
-    return _rounded(_link(t), 6, ["avg_sentiment"])
+    return _rounded(_link(t), 9, ["avg_sentiment"])
 
 
 @query

@@ -21,7 +21,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import MONEY, dbl, ratio
+from ..functions.numeric import MONEY, dbl, safe_div
 from ..functions.periods import month_start, quarter_key
 from .dimensions import literal_table
 from .schemas import COST_CENTERS, SEGMENTS, _schema
@@ -307,7 +307,7 @@ def revenue_fact(t: OrderTables) -> DataFrame:
         dbl(F.sum("is_churned")).alias("churned_customers"),
     )
     return fact.select(
-        "period", *grain, "customers", ratio("revenue", "customers").alias("arpu"),
+        "period", *grain, "customers", safe_div("revenue", "customers").alias("arpu"),
         "revenue", "new_logos", "churned_customers",
     )
 
