@@ -6,11 +6,14 @@ partitions arrive, and turned into DOUBLE only where a result leaves an operator
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 MONEY = DecimalType(18, 2)
+TOTAL = DecimalType(20, 2)
 RATIO_DIGITS = 6
 
 
@@ -23,6 +26,27 @@ def to_money(c: Column | str) -> Column:
     return F.round(_col(c), 2).cast(MONEY)
 
 
+def cents(c: Column | str, scale: int = 100) -> Column:
+    """Nearest whole number of cents of a floating-point amount, as BIGINT.
+
+    Per-row money arithmetic is done on whole numbers: turning a DOUBLE into DECIMAL goes
+    through its text form and costs far more than the rest of a scan.
+    """
+    return F.floor(_col(c) * scale + 0.5).cast("long")
+
+
+def div_half_up(num: Column, den: int) -> Column:
+    """Whole-number quotient, halves away from zero."""
+    half = den // 2
+    up = F.call_function("div", F.abs(num) + half, F.lit(den))
+    return F.when(num < 0, -up).otherwise(up)
+
+
+def from_cents(c: Column | str) -> Column:
+    """Exact DECIMAL amount of a BIGINT number of cents."""
+    return (_col(c).cast("decimal(20,0)") * F.lit(Decimal("0.01"))).cast(TOTAL)
+
+
 def dbl(c: Column | str) -> Column:
     return _col(c).cast("double")
 

@@ -29,18 +29,18 @@ def terms(text: Column | str, stop_words: Sequence[str] = ()) -> Column:
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    """Runs of ``n`` neighbouring tokens joined by a blank.
+    """Runs of ``n`` neighbouring tokens joined by a blank; a run with a NULL is left out.
 
     Built from shifted copies of the array, so that no lambda looks back into the
     whole array for each element.
     """
-    if n == 1:
-        return tokens
     length = F.greatest(F.size(tokens) - F.lit(n - 1), F.lit(0))
     shifted = [F.slice(tokens, F.lit(k + 1), length) for k in range(n)]
-    return reduce(
-        lambda left, right: F.zip_with(left, right, lambda a, b: F.concat_ws(" ", a, b)), shifted
+    blank = F.lit(" ")
+    joined = reduce(
+        lambda left, right: F.zip_with(left, right, lambda a, b: F.concat(a, blank, b)), shifted
     )
+    return F.filter(joined, lambda g: g.isNotNull())
 
 
 def lexicon_hits(
@@ -53,24 +53,39 @@ def lexicon_hits(
     """Struct ``(pos, neg)`` of lexicon hits in one pass over the tokens.
 
     A hit is flipped when a negation stands among the ``window`` tokens before it.
-    The running state keeps how many tokens ago that was, not the tokens.
+    The running state keeps how many tokens ago that was, not the tokens, and is packed
+    with both counts into one number, so that a token outside the lists, the usual
+    case, costs one set lookup and builds nothing.
     """
-    far = F.lit(window)
+    far, base = window, window + 1
+    pos_unit, neg_unit = base, base << 30
 
-    def state(pos: Column, neg: Column, gap: Column) -> Column:
-        return F.struct(pos.alias("pos"), neg.alias("neg"), gap.alias("gap"))
+    def unit(n: int) -> Column:
+        return F.lit(n).cast("long")
 
     def step(acc: Column, token: Column) -> Column:
-        good = token.isin(*positive)
-        bad = token.isin(*negative) & ~good
-        negated = acc["gap"] < far
-        up = (good & ~negated) | (bad & negated)
-        down = (good & negated) | (bad & ~negated)
-        return state(
-            acc["pos"] + up.cast("int"),
-            acc["neg"] + down.cast("int"),
-            F.when(token.isin(*negations), F.lit(0)).otherwise(F.least(acc["gap"] + 1, far)),
+        gap = acc % base
+        negated = gap < far
+        hit = (
+            F.when(
+                token.isin(*positive), F.when(negated, unit(neg_unit)).otherwise(unit(pos_unit))
+            )
+            .when(
+                token.isin(*negative), F.when(negated, unit(pos_unit)).otherwise(unit(neg_unit))
+            )
+            .otherwise(unit(0))
         )
-
-    zero = F.lit(0)
-    return F.aggregate(tokens, state(zero, zero, far), step)
+        next_gap = F.when(token.isin(*negations), unit(0)).otherwise(
+            F.least(gap + 1, unit(far))
+        )
+        return F.when(
+            ~token.isin(*positive, *negative, *negations),
+            F.when(negated, acc + 1).otherwise(acc),
+        ).otherwise(acc - gap + next_gap + hit)
+
+    packed = F.aggregate(tokens, unit(far), step)
+    counts = F.call_function("div", packed, unit(base))
+    return F.struct(
+        (counts % (1 << 30)).cast("int").alias("pos"),
+        F.call_function("div", counts, unit(1 << 30)).cast("int").alias("neg"),
+    )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions import lexicon
 from ..functions.lineage import cut
-from ..functions.numeric import dbl, safe_div
+from ..functions.numeric import safe_div
 from ..functions.text import lexicon_hits, ngrams, terms, words
 
 
@@ -71,40 +71,35 @@ def tone_agreement(matched: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 # ---------------------------------------------------------------- TF-IDF
 
-def default_stop_words() -> list[str]:
-    return StopWordsRemover.loadDefaultStopWords("english")
+MAX_TIES = 1800
+MAX_BROADCAST_TERMS = 100_000
 
 
-def _term_rows(
-    docs: DataFrame, key: str, text: str, stop_words: Sequence[str], sizes: tuple[int, int]
-) -> DataFrame:
-    """One row per term occurrence: document key and n-gram."""
-    found = docs.select(key, terms(text, stop_words).alias("u"))
-    low, high = sizes
-    grams = [ngrams(F.col("u"), n) for n in range(low, high + 1)]
-    return found.select(key, F.explode(F.concat(*grams)).alias("term"))
+def default_stop_words() -> list[str]:
+    return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def vocabulary(
-    docs: DataFrame,
-    key: str,
-    text: str,
-    stop_words: Sequence[str],
-    max_features: int,
-    sizes: tuple[int, int],
-) -> DataFrame:
-    """The ``max_features`` terms with the highest total count, equal ones by term.
+def _frequent_terms(
+    docs: DataFrame, text: str, stop_words: Sequence[str], max_features: int
+) -> list[str] | None:
+    """Terms that alone can build a vocabulary of ``max_features``; None if they are too many.
 
-    Counting combines before the shuffle, and the cut is a bounded top-k. ``idx`` numbers
-    the terms alphabetically.
+    An n-gram is at most as frequent as its rarest term. So with c the count of the
+    ``max_features``-th most frequent term, every n-gram that can reach the vocabulary
+    consists of terms counted c times or more. Those are read from a bounded top-k;
+    when equal counts make them more than the bound, the caller counts all n-grams.
     """
-    counts = _term_rows(docs, key, text, stop_words, sizes).groupBy("term").agg(
-        F.count(F.lit(1)).alias("total")
-    )
-    top = counts.orderBy(F.desc("total"), "term").limit(max_features)
-    return top.select(
-        "term", (F.row_number().over(Window.orderBy("term")) - 1).alias("idx")
+    bound = max_features + MAX_TIES
+    counts = (
+        docs.select(F.explode(terms(text, stop_words)).alias("term"))
+        .groupBy("term")
+        .agg(F.count(F.lit(1)).alias("total"))
     )
+    top = counts.orderBy(F.desc("total"), "term").limit(bound + 1).collect()
+    least = top[max_features - 1]["total"] if len(top) >= max_features else 0
+    if len(top) > bound and top[-1]["total"] >= least:
+        return None
+    return [r["term"] for r in top if r["total"] >= least]
 
 
 def tfidf(
@@ -117,20 +112,45 @@ def tfidf(
 ) -> DataFrame:
     """Weights of the vocabulary terms in each document: key, term, idx, weight.
 
-    Stop words go first, then 1- and 2-grams are built; idf is ln((1+n)/(1+df)) + 1 and
-    the weights of a document have length one. The vocabulary has at most
-    ``max_features`` rows, so it is safe to broadcast, and it cuts the occurrences down
-    before they are shuffled by document. A document without any term has no rows.
+    Stop words go first, then 1- and 2-grams are built. The vocabulary is the
+    ``max_features`` n-grams with the highest total count, equal ones by term, and
+    ``idx`` numbers it alphabetically. idf is ln((1+n)/(1+df)) + 1 and the weights of a
+    document have length one. A document without any term has no rows.
+
+    Counting single terms first (one job) keeps the long tail of rare n-grams from ever
+    being unfolded or shuffled: after it only n-grams of frequent terms are.
     """
     stop = list(default_stop_words() if stop_words is None else stop_words)
-    vocab = vocabulary(docs, key, text, stop, max_features, sizes)
-    occurrences = _term_rows(docs, key, text, stop, sizes).join(F.broadcast(vocab), "term")
-    tf = occurrences.groupBy(key, "term", "idx").agg(F.count(F.lit(1)).alias("tf"))
-    # keeps tf in the aggregate, so that its shuffle is the same one and is reused
-    df = tf.groupBy("term").agg(F.sum(F.when(F.col("tf") > 0, 1)).alias("df"))
+    found = docs.select(key, terms(text, stop).alias("u"))
+    frequent = _frequent_terms(docs, text, stop, max_features)
+    if frequent is not None:
+        if not frequent:
+            found = found.filter(F.lit(False))
+        found = found.select(
+            key, F.transform("u", lambda w: F.when(w.isin(*frequent), w)).alias("u")
+        )
+    grams = [ngrams(F.col("u"), n) for n in range(sizes[0], sizes[1] + 1)]
+    tf = (
+        found.select(key, F.explode(F.concat(*grams)).alias("term"))
+        .groupBy(key, "term")
+        .agg(F.count(F.lit(1)).alias("tf"))
+    )
+    # both sums come from tf, so the shuffle behind it is shared
+    vocab = (
+        tf.groupBy("term")
+        .agg(F.sum("tf").alias("total"), F.count("tf").alias("df"))
+        .orderBy(F.desc("total"), "term")
+        .limit(max_features)
+    )
     n = docs.select(F.count(F.lit(1)).alias("n")).scalar()
-    idf = df.select("term", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    raw = tf.join(F.broadcast(idf), "term").select(
+    vocab = vocab.select(
+        "term",
+        (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"),
+        (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"),
+    )
+    # at most max_features rows
+    small = F.broadcast(vocab) if max_features <= MAX_BROADCAST_TERMS else vocab
+    raw = tf.join(small, "term").select(
         key, "term", "idx", (F.col("tf") * F.col("idf")).alias("raw")
     )
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
@@ -176,15 +196,17 @@ def fit_topics(vectors: DataFrame, k: int = 5, starts: int = 10, seed: int = 42)
     return min(models, key=lambda m: m.summary.trainingCost)
 
 
-def topic_labels(model: KMeansModel, vocab: DataFrame, top: int = 6, sep: str = ", ") -> DataFrame:
-    """Each cluster's heaviest centroid terms; ``vocab`` holds (term, idx)."""
+def topic_labels(model: KMeansModel, weights: DataFrame, top: int = 6, sep: str = ", ") -> DataFrame:
+    """Each cluster's heaviest centroid terms; ``weights`` holds (term, idx)."""
     rows = [
         (c, i, float(v))
         for c, centre in enumerate(model.clusterCenters())
         for i, v in enumerate(centre)
     ]
-    weights = vocab.sparkSession.createDataFrame(rows, "topic_cluster int, idx int, weight double")
-    named = weights.join(F.broadcast(vocab.select("term", "idx").distinct()), "idx")
+    centres = weights.sparkSession.createDataFrame(
+        rows, "topic_cluster int, idx int, weight double"
+    )
+    named = centres.join(weights.select("term", "idx").distinct(), "idx")
     return top_terms(named, "topic_cluster", top, sep).withColumnRenamed(
         "top_keywords", "topic_cluster_label"
     )
@@ -213,10 +235,3 @@ def topic_summary(scored: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("comment_count"),
         F.avg("sentiment_score").alias("avg_sentiment"),
     )
-
-
-__all__ = [
-    "cut", "dbl", "default_stop_words", "doc_vectors", "fit_topics", "label_match", "sentiment",
-    "tfidf", "tokens", "tone_agreement", "top_terms", "topic_labels", "topic_summary", "topics",
-    "vocabulary",
-]

@@ -77,7 +77,7 @@ line AS (
          CAST(round(CAST(l_extendedprice AS DECIMAL(18,2))
               * (1 - CAST(l_discount AS DECIMAL(4,2))), 2) AS DECIMAL(18,2)) AS revenue,
          CAST(round(CAST(l_extendedprice AS DECIMAL(18,2))
-              * (CAST({order_ledger.COST_RATE} AS DECIMAL(4,2)) + CAST(l_tax AS DECIMAL(4,2))), 2)
+              * (CAST({order_ledger.COST_PERCENT / 100} AS DECIMAL(4,2)) + CAST(l_tax AS DECIMAL(4,2))), 2)
               AS DECIMAL(18,2)) AS expense
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey

@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.numeric import dbl
+from ..functions.numeric import dbl, from_cents
 from ..functions.periods import add_months
 from ..operators import commentary as text
 from ..operators import drivers, forecast, linkage, models, planning, pnl, recon, scenarios
@@ -78,7 +78,7 @@ def calendar_dim(t: OrderTables) -> DataFrame:
 # ---------------------------------------------------------------- ledger and checks
 
 def _journal(t: OrderTables) -> DataFrame:
-    return recon.gl_journal(order_ledger.postings(t, documents=True))
+    return recon.gl_journal(order_ledger.line_postings(t))
 
 
 @query
@@ -89,7 +89,7 @@ def gl_journal(t: OrderTables) -> DataFrame:
 def _ledger(t: OrderTables) -> DataFrame:
     """Journal columns that the checks read, without the dimension joins."""
     side = F.when(F.col("line_type") == "Revenue", "C").otherwise("D")
-    return order_ledger.postings(t, dims=False).select(
+    return order_ledger.account_postings(t).select(
         "period", "gl_account", "amount", side.alias("debit_credit")
     )
 
@@ -108,7 +108,7 @@ def gl_orphan_accounts(t: OrderTables) -> DataFrame:
 
 @query
 def recon_revenue(t: OrderTables) -> DataFrame:
-    return recon.recon_revenue(_ledger(t), order_ledger.order_lines(t, ()))
+    return recon.recon_revenue(_ledger(t), order_ledger.revenue_monthly(t, ()))
 
 
 @query
@@ -119,7 +119,7 @@ def dq_negative_revenue(t: OrderTables) -> DataFrame:
         "period",
         "profit_center",
         F.col("revenue_account").alias("gl_account"),
-        "revenue",
+        from_cents("revenue_cents").alias("revenue"),
     )
     return recon.dq_negative(lines, "revenue").withColumn("revenue", dbl("revenue"))
 
@@ -189,9 +189,7 @@ def pnl_quarterly(t: OrderTables) -> DataFrame:
 
 @query
 def yoy_revenue(t: OrderTables) -> DataFrame:
-    sums = order_ledger.revenue_lines(t, company=False).groupBy("profit_center", "period").agg(
-        dbl(F.sum("revenue")).alias("revenue")
-    )
+    sums = order_ledger.revenue_monthly(t).withColumn("revenue", dbl("revenue"))
     return pnl.yoy(sums, "revenue", ["profit_center"])
 
 
@@ -202,22 +200,22 @@ def latest_kpis(t: OrderTables) -> DataFrame:
 
 @query
 def qbr_segment_quarterly(t: OrderTables) -> DataFrame:
-    lines = order_ledger.revenue_lines(t, company=False, until=_closed())
-    return pnl.qbr_segment_quarterly(lines, order_ledger.segments(t), p.AS_OF)
+    months = order_ledger.revenue_monthly(t, until=_closed())
+    return pnl.qbr_segment_quarterly(months, order_ledger.segments(t), p.AS_OF)
 
 
 @query
 def segment_mix(t: OrderTables) -> DataFrame:
-    lines = order_ledger.revenue_lines(
-        t, company=False, since=date(min(p.MIX_YEARS), 1, 1), until=date(max(p.MIX_YEARS) + 1, 1, 1)
+    months = order_ledger.revenue_monthly(
+        t, since=date(min(p.MIX_YEARS), 1, 1), until=date(max(p.MIX_YEARS) + 1, 1, 1)
     )
-    return pnl.segment_mix(lines, order_ledger.segments(t), p.MIX_YEARS)
+    return pnl.segment_mix(months, order_ledger.segments(t), p.MIX_YEARS)
 
 
 @query
 def segment_mix_quarterly(t: OrderTables) -> DataFrame:
-    lines = order_ledger.revenue_lines(t, company=False)
-    return pnl.segment_mix(lines, order_ledger.segments(t), by_quarter=True)
+    months = order_ledger.revenue_monthly(t)
+    return pnl.segment_mix(months, order_ledger.segments(t), by_quarter=True)
 
 
 # ---------------------------------------------------------------- plans and variance
@@ -327,8 +325,7 @@ def whatif_impact(t: OrderTables) -> DataFrame:
 
 @query
 def opex_per_headcount(t: OrderTables) -> DataFrame:
-    lines = order_ledger.order_lines(t, ()).withColumnRenamed("expense", "amount")
-    return drivers.opex_per_headcount(lines, order_ledger.headcount_fact(t))
+    return drivers.opex_per_headcount(order_ledger.opex_total(t), order_ledger.headcount_fact(t))
 
 
 @query
@@ -341,15 +338,14 @@ def opex_allocate(t: OrderTables) -> DataFrame:
 
 @query
 def services_attach(t: OrderTables) -> DataFrame:
-    lines = order_ledger.revenue_lines(t, company=False)
-    return drivers.services_attach(lines, order_ledger.segments(t), p.SERVICES_RATE)
+    months = order_ledger.revenue_monthly(t)
+    return drivers.services_attach(months, order_ledger.segments(t), p.SERVICES_RATE)
 
 
 @query
 def allocate_by_mix(t: OrderTables) -> DataFrame:
-    lines = order_ledger.revenue_lines(t, company=False)
-    totals = lines.groupBy("period", "profit_center").agg(F.sum("revenue").alias("revenue"))
-    return _rounded(drivers.allocate_by_mix(totals, "revenue", p.COMPANY_MIX), 4, ["revenue"])
+    months = order_ledger.revenue_monthly(t)
+    return _rounded(drivers.allocate_by_mix(months, "revenue", p.COMPANY_MIX), 4, ["revenue"])
 
 
 @query
@@ -385,13 +381,13 @@ def lrp_scenarios(t: OrderTables) -> DataFrame:
 def _panel(t: OrderTables) -> DataFrame:
     """Closed months of revenue per segment and company."""
     return forecast.monthly_series(
-        order_ledger.revenue_lines(t, until=_closed()), "revenue", PANEL
+        order_ledger.revenue_monthly(t, PANEL, until=_closed()), "revenue", PANEL
     )
 
 
 def _company(t: OrderTables) -> DataFrame:
     """Closed months of company revenue."""
-    return forecast.monthly_series(order_ledger.order_lines(t, (), until=_closed()), "revenue")
+    return forecast.monthly_series(order_ledger.revenue_monthly(t, (), until=_closed()), "revenue")
 
 
 def _split(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -21,7 +21,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.numeric import MONEY, dbl, safe_div
+from ..functions.numeric import MONEY, cents, dbl, div_half_up, from_cents, safe_div
 from ..functions.periods import month_start, quarter_key
 from .dimensions import literal_table
 from .schemas import COST_CENTERS, SEGMENTS, _schema
@@ -29,7 +29,7 @@ from .schemas import COST_CENTERS, SEGMENTS, _schema
 REVENUE_ACCOUNTS = {"A": "400000", "N": "400100", "R": "400200"}
 EXPENSE_ACCOUNTS = {"A": "600000", "N": "600100", "R": "610000"}
 COGS_ACCOUNT = "500000"
-COST_RATE = "0.70"
+COST_PERCENT = 70
 FIRST_DOCUMENT = 4900000001
 FIRST_YEAR = 1995
 FIRST_QUARTER = date(1995, 1, 1)
@@ -168,7 +168,8 @@ def order_lines(
     since: date | None = None,
     until: date | None = None,
 ) -> DataFrame:
-    """One row per order line with both amounts, both accounts and the asked dimensions.
+    """One row per order line with both amounts (in cents), both accounts and the asked
+    dimensions.
 
     Orders, lines, parts, customers and suppliers all grow with the data, so no side is
     hinted: the planner broadcasts a side only under its size threshold, and splits a
@@ -177,18 +178,14 @@ def order_lines(
     unknown = set(columns) - LINE_COLUMNS
     if unknown:
         raise ValueError(f"unknown line columns: {sorted(unknown)}")
-    price = F.col("l_extendedprice").cast(MONEY)
+    price = cents("l_extendedprice")
     lines = t["lineitem"].select(
         "l_orderkey",
         "l_partkey",
         F.col("l_suppkey").alias("supplier"),
         "l_linenumber",
-        F.round(price * (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")), 2)
-        .cast(MONEY)
-        .alias("revenue"),
-        F.round(price * (F.lit(COST_RATE).cast("decimal(4,2)") + F.col("l_tax").cast("decimal(4,2)")), 2)
-        .cast(MONEY)
-        .alias("expense"),
+        div_half_up(price * (100 - cents("l_discount")), 100).alias("revenue_cents"),
+        div_half_up(price * (COST_PERCENT + cents("l_tax")), 100).alias("expense_cents"),
         _account("l_returnflag", REVENUE_ACCOUNTS).alias("revenue_account"),
         F.when(F.col("l_linestatus") == "F", COGS_ACCOUNT)
         .otherwise(_account("l_returnflag", EXPENSE_ACCOUNTS))
@@ -211,73 +208,92 @@ def order_lines(
 
 # ---------------------------------------------------------------- ledger facts
 
+_SALE = {"line_type": "Revenue", "dim1": "profit_center", "dim2": "revenue_company",
+         "gl_account": "revenue_account", "cents": "revenue_cents"}
+_COST = {"line_type": "Opex", "dim1": "cost_center", "dim2": "expense_company",
+         "gl_account": "expense_account", "cents": "expense_cents"}
+
+
+def _both_sides(lines: DataFrame, keep: Collection[str], fields: Collection[str]) -> DataFrame:
+    """Unfold each row into its revenue and its expense posting."""
+
+    def side(source: dict[str, str]) -> Column:
+        return F.struct(
+            F.lit(source["line_type"]).alias("line_type"),
+            *[F.col(source[f]).alias(f) for f in fields],
+        )
+
+    both = F.explode(F.array(side(_SALE), side(_COST))).alias("p")
+    return lines.select(*keep, both).select(*keep, "p.*")
+
+
 def postings(
     t: OrderTables,
     dims: bool = True,
     since: date | None = None,
     until: date | None = None,
-    documents: bool = False,
 ) -> DataFrame:
-    """Revenue and expense postings in one pass over the lines.
+    """Monthly revenue and expense postings, from one pass over the lines.
 
-    Each line is unfolded into its two postings after the joins, instead of joining
-    the line table twice and taking the union. ``dims=False`` leaves ``dim1`` and
-    ``dim2`` out, and with them three joins. ``documents`` adds document number, line
-    and posting date.
+    Each line is unfolded into its two postings, instead of joining the line table twice
+    and taking the union. ``dims=False`` leaves ``dim1`` and ``dim2`` out and with them
+    three joins; the lines are then summed per month and account pair before they are
+    unfolded. Cents are summed as whole numbers and become DECIMAL at month grain.
     """
-    lines = order_lines(t, LINE_COLUMNS if dims else (), since, until)
-
-    def side(line_type: str, dim1: str, dim2: str, account: str, amount: str) -> Column:
-        fields = [F.lit(line_type).alias("line_type")]
-        if dims:
-            fields += [F.col(dim1).alias("dim1"), F.col(dim2).alias("dim2")]
-        fields += [F.col(account).alias("gl_account"), F.col(amount).alias("amount")]
-        return F.struct(*fields)
-
-    both = F.explode(
-        F.array(
-            side("Revenue", "profit_center", "revenue_company", "revenue_account", "revenue"),
-            side("Opex", "cost_center", "expense_company", "expense_account", "expense"),
+    if dims:
+        lines = order_lines(t, LINE_COLUMNS, since, until)
+        fields = ["dim1", "dim2", "gl_account", "cents"]
+    else:
+        lines = order_lines(t, (), since, until).groupBy(
+            "period", "revenue_account", "expense_account"
+        ).agg(
+            F.sum("revenue_cents").alias("revenue_cents"),
+            F.sum("expense_cents").alias("expense_cents"),
         )
-    ).alias("p")
-    keep = ["period"]
-    if documents:
-        lines = lines.select(
-            "*",
-            (F.col("l_orderkey") + F.lit(FIRST_DOCUMENT)).alias("document_number"),
-            F.col("l_linenumber").alias("document_line"),
-            F.date_add("period", (F.col("l_partkey") % 28).cast("int")).alias("posting_date"),
-        )
-        keep = ["document_number", "document_line", "posting_date", "period"]
-    return lines.select(*keep, both).select(*keep, "p.*")
+        fields = ["gl_account", "cents"]
+    keys = ["period", *fields[:-1], "line_type"]
+    return (
+        _both_sides(lines, ["period"], fields)
+        .groupBy(*keys)
+        .agg(F.sum("cents").alias("cents"))
+        .select(*keys, from_cents("cents").alias("amount"))
+    )
+
+
+def line_postings(t: OrderTables) -> DataFrame:
+    """Postings of single order lines with document number, line and posting date."""
+    lines = order_lines(t).select(
+        "*",
+        (F.col("l_orderkey") + F.lit(FIRST_DOCUMENT)).alias("document_number"),
+        F.col("l_linenumber").alias("document_line"),
+        F.date_add("period", (F.col("l_partkey") % 28).cast("int")).alias("posting_date"),
+    )
+    keep = ["document_number", "document_line", "posting_date", "period"]
+    rows = _both_sides(lines, keep, ["dim1", "dim2", "gl_account", "cents"])
+    return rows.withColumn("amount", from_cents("cents").cast(MONEY)).drop("cents")
+
 
+def account_postings(t: OrderTables) -> DataFrame:
+    """Postings of single order lines without dimensions and documents."""
+    rows = _both_sides(order_lines(t, ()), ["period"], ["gl_account", "cents"])
+    return rows.withColumn("amount", from_cents("cents").cast(MONEY)).drop("cents")
 
-def revenue_lines(
+
+def revenue_monthly(
     t: OrderTables,
-    company: bool = True,
+    by: Collection[str] = ("profit_center",),
     since: date | None = None,
     until: date | None = None,
 ) -> DataFrame:
-    """Sales per order line: period, segment, company, account, customer, amount."""
-    columns = {"profit_center", "revenue_company"} if company else {"profit_center"}
-    names = ["period", "profit_center"] + (["company_code"] if company else [])
-    return (
-        order_lines(t, columns, since, until)
-        .withColumnsRenamed({"revenue_company": "company_code", "revenue_account": "gl_account"})
-        .select(*names, "gl_account", "customer", "revenue")
-    )
-
-
-def opex_lines(t: OrderTables, since: date | None = None, until: date | None = None) -> DataFrame:
-    """Expense per order line: period, cost centre, company, account, supplier, amount."""
-    return (
-        order_lines(t, {"expense_company"}, since, until)
-        .withColumnsRenamed(
-            {"expense_company": "company_code", "expense_account": "gl_account",
-             "expense": "amount"}
-        )
-        .select("period", "cost_center", "company_code", "gl_account", "supplier", "amount")
+    """Revenue per month and the asked keys among profit_center, company_code, gl_account."""
+    source = {"profit_center": "profit_center", "company_code": "revenue_company",
+              "gl_account": "revenue_account"}
+    columns = {source[k] for k in by} & LINE_COLUMNS
+    lines = order_lines(t, columns, since, until)
+    sums = lines.groupBy("period", *[F.col(source[k]).alias(k) for k in by]).agg(
+        F.sum("revenue_cents").alias("cents")
     )
+    return sums.select("period", *by, from_cents("cents").alias("revenue"))
 
 
 def revenue_fact(t: OrderTables) -> DataFrame:
@@ -288,21 +304,24 @@ def revenue_fact(t: OrderTables) -> DataFrame:
     at a customer's own months is bounded by the number of months.
     """
     grain = ["profit_center", "company_code", "gl_account"]
-    monthly = revenue_lines(t).groupBy("customer", *grain, "period").agg(
-        F.sum("revenue").alias("revenue")
+    monthly = (
+        order_lines(t, {"profit_center", "revenue_company"})
+        .withColumnsRenamed({"revenue_company": "company_code", "revenue_account": "gl_account"})
+        .groupBy("customer", *grain, "period")
+        .agg(F.sum("revenue_cents").alias("cents"))
     )
     own = Window.partitionBy("customer", *grain)
     first, last = F.min("period").over(own), F.max("period").over(own)
     flagged = monthly.select(
         *grain,
         "period",
-        "revenue",
+        "cents",
         (F.col("period") == first).cast("int").alias("is_new"),
         (F.col("period") == last).cast("int").alias("is_churned"),
     )
     fact = flagged.groupBy("period", *grain).agg(
         dbl(F.count(F.lit(1))).alias("customers"),
-        F.sum("revenue").alias("revenue"),
+        from_cents(F.sum("cents")).alias("revenue"),
         dbl(F.sum("is_new")).alias("new_logos"),
         dbl(F.sum("is_churned")).alias("churned_customers"),
     )
@@ -312,15 +331,29 @@ def revenue_fact(t: OrderTables) -> DataFrame:
     )
 
 
+def _expense_lines(t: OrderTables) -> DataFrame:
+    return order_lines(t, {"expense_company"}).withColumnsRenamed(
+        {"expense_company": "company_code", "expense_account": "gl_account"}
+    )
+
+
 def opex_fact(t: OrderTables) -> DataFrame:
-    return opex_lines(t).groupBy("period", "cost_center", "company_code", "gl_account").agg(
-        F.sum("amount").alias("amount")
+    """Monthly expense by cost centre, company and account."""
+    return _expense_lines(t).groupBy("period", "cost_center", "company_code", "gl_account").agg(
+        from_cents(F.sum("expense_cents")).alias("amount")
+    )
+
+
+def opex_total(t: OrderTables) -> DataFrame:
+    """Monthly expense of the company."""
+    return order_lines(t, ()).groupBy("period").agg(
+        from_cents(F.sum("expense_cents")).alias("amount")
     )
 
 
 def headcount_fact(t: OrderTables) -> DataFrame:
     """Heads = suppliers with a line in the month; cost escalates from a base per centre."""
-    heads = opex_lines(t).groupBy("period", "cost_center", "company_code").agg(
+    heads = _expense_lines(t).groupBy("period", "cost_center", "company_code").agg(
         dbl(F.countDistinct("supplier")).alias("headcount")
     )
     years = (F.year("period") - FIRST_YEAR) + F.month("period") / F.lit(12.0)
