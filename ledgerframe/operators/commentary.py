@@ -91,7 +91,8 @@ def _frequent_terms(
     """
     bound = max_features + MAX_TIES
     counts = (
-        docs.select(F.explode(terms(text, stop_words)).alias("term"))
+        docs.select(F.explode(terms(text)).alias("term"))
+        .filter(~F.col("term").isin(*stop_words))
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("total"))
     )
