@@ -30,14 +30,15 @@ def sentiment(
     negations: Sequence[str] = lexicon.NEGATIONS,
     window: int = 2,
     cut_at: float = 0.2,
+    keep_text: bool = False,
 ) -> DataFrame:
-    """Lexicon score and tone of each text; the text itself is dropped.
+    """Lexicon score and tone of each text; the text itself is dropped unless kept.
 
     The score is the balance of positive and negative hits, 0 without hits; a negation
     among the ``window`` words before a hit flips it. The tone is taken from the score
     before rounding. A narrow step: nothing is shuffled.
     """
-    rest = [c for c in docs.columns if c != text]
+    rest = [c for c in docs.columns if keep_text or c != text]
     hits = docs.select(
         *rest, lexicon_hits(words(text), positive, negative, negations, window).alias("h")
     ).select(*rest, F.col("h.pos").alias("pos"), F.col("h.neg").alias("neg"))

@@ -17,6 +17,7 @@ from .forecast import (
     BASELINES,
     FEATURES,
     baseline_predictions,
+    forecast_baselines,
     forecast_recursive,
     history,
     next_features,
@@ -146,6 +147,24 @@ def forecast_linear_recursive(
     return forecast_recursive(hist, "intercept", "coefficients", horizon, keys)
 
 
+def refit_forecast(
+    model_name: str,
+    series: DataFrame,
+    features: DataFrame,
+    horizon: int,
+    keys: Sequence[str] = (),
+) -> DataFrame:
+    """Months ahead of any model by its name, refitted on every complete row."""
+    if model_name in BASELINES:
+        ahead = forecast_baselines(series, horizon, keys)
+        return ahead.filter(F.col("model") == model_name)
+    if model_name == LINEAR:
+        ahead = forecast_linear_recursive(series, features, horizon, keys)
+    else:
+        ahead = forecast_tree_recursive(model_name, series, features, horizon, keys)
+    return ahead.select(*keys, "period", F.lit(model_name).alias("model"), "forecast")
+
+
 def forecast_tree_recursive(
     model_name: str,
     series: DataFrame,

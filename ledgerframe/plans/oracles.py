@@ -463,7 +463,7 @@ def oracle(name: str, ctes: list[str], body: str, recursive: bool = False) -> No
 
 _LA = [ACCOUNTS, LINE]
 oracle(
-    "table_profile_all", [],
+    "table_profile", [],
     "\nUNION ALL\n".join(
         f"SELECT {q(n)} AS table_name, (SELECT count(*) FROM {n}) AS row_count, "
         f"(SELECT count(*) FROM (DESCRIBE {n})) AS column_count"
@@ -650,7 +650,7 @@ oracle(
     rollup_sql("var_f", "forecast_amount", "period, line_type", "period, line_type"),
 )
 oracle(
-    "variance_quarterly_budget",
+    "variance_quarterly",
     [*_BUD, "vq AS (" + rollup_sql(
         "var_b", "budget_amount",
         "CAST(year(period) AS INTEGER) AS fiscal_year, "
@@ -835,6 +835,13 @@ oracle(
 FROM scored s LEFT JOIN cc USING (cost_center) LEFT JOIN lab USING (doc_id)
 LEFT JOIN top5 USING (doc_id)""",
 )
+oracle(
+    "commentary_detail", [CENTERS, *_TONE, TFIDF],
+    """SELECT s.doc_id, s.fiscal_quarter, department, text AS commentary_text, sentiment_score,
+  predicted_tone, top_keywords
+FROM scored s JOIN docs USING (doc_id) LEFT JOIN cc ON cc.cost_center = s.cost_center
+LEFT JOIN top5 ON top5.doc_id = s.doc_id""",
+)
 oracle(
     "tone_distribution", [CENTERS, *_TONE],
     f"""SELECT predicted_tone AS tone, count(*) AS count

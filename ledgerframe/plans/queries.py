@@ -12,10 +12,9 @@ from ..functions.numeric import dbl, from_cents
 from ..functions.periods import add_months
 from ..operators import commentary as text
 from ..operators import drivers, forecast, linkage, models, planning, pnl, recon, scenarios
-from ..operators.variance import variance, variance_quarterly, variance_rollup
-from ..sources import dimensions, order_ledger
+from ..operators import variance as var
+from ..sources import dimensions, order_ledger, tables
 from ..sources.order_ledger import OrderTables
-from ..sources.tables import table_profile
 from . import params as p
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,8 +48,8 @@ def _closed() -> date:
 # ---------------------------------------------------------------- sources
 
 @query
-def table_profile_all(t: OrderTables) -> DataFrame:
-    return table_profile({name: t[name] for name in TABLES})
+def table_profile(t: OrderTables) -> DataFrame:
+    return tables.table_profile({name: t[name] for name in TABLES})
 
 
 @query
@@ -261,7 +260,7 @@ def _lrp(t: OrderTables) -> DataFrame:
 
 def _variance_budget(t: OrderTables) -> DataFrame:
     actuals = _actuals(t)
-    return variance(_budget(actuals), actuals, "budget_amount")
+    return var.variance(_budget(actuals), actuals, "budget_amount")
 
 
 def _variance_forecast(t: OrderTables) -> DataFrame:
@@ -270,7 +269,7 @@ def _variance_forecast(t: OrderTables) -> DataFrame:
     One frame of months, from the first trailing one on, feeds both sides.
     """
     actuals = pnl.monthly_actuals(order_ledger.postings(t, since=add_months(p.AS_OF, -2)))
-    return variance(_run_rate(actuals), actuals, "forecast_amount")
+    return var.variance(_run_rate(actuals), actuals, "forecast_amount")
 
 
 @query
@@ -285,17 +284,17 @@ def variance_forecast(t: OrderTables) -> DataFrame:
 
 @query
 def variance_rollup_budget(t: OrderTables) -> DataFrame:
-    return variance_rollup(_variance_budget(t), ["period", "line_type"], "budget_amount")
+    return var.variance_rollup(_variance_budget(t), ["period", "line_type"], "budget_amount")
 
 
 @query
 def variance_rollup_forecast(t: OrderTables) -> DataFrame:
-    return variance_rollup(_variance_forecast(t), ["period", "line_type"], "forecast_amount")
+    return var.variance_rollup(_variance_forecast(t), ["period", "line_type"], "forecast_amount")
 
 
 @query
-def variance_quarterly_budget(t: OrderTables) -> DataFrame:
-    return variance_quarterly(_variance_budget(t), "budget_amount")
+def variance_quarterly(t: OrderTables) -> DataFrame:
+    return var.variance_quarterly(_variance_budget(t), "budget_amount")
 
 
 # ---------------------------------------------------------------- drivers
@@ -487,6 +486,22 @@ def forecast_linear(t: OrderTables) -> DataFrame:
     )
 
 
+@query
+def forecast_best(t: OrderTables) -> DataFrame:
+    """Each series forecast by the model, baseline or linear, that won its holdout."""
+    panel = _panel(t)
+    features = forecast.forecast_features(panel, PANEL)
+    split = forecast.holdout_split(features, p.HOLDOUT, PANEL)
+    holdout = forecast.baseline_predictions(split, PANEL).unionByName(
+        models.linear_predictions(split, PANEL)
+    )
+    best = forecast.best_model(forecast.accuracy(holdout, PANEL), PANEL)
+    ahead = forecast.forecast_baselines(panel, p.HORIZON, PANEL).unionByName(
+        models.refit_forecast(models.LINEAR, panel, features, p.HORIZON, PANEL)
+    )
+    return _rounded(forecast.pick_best(ahead, best, PANEL), 2, ["forecast"])
+
+
 @query
 def forecast_rf(t: OrderTables) -> DataFrame:
     return _rounded(
@@ -524,10 +539,10 @@ def model_leaderboard(t: OrderTables) -> DataFrame:
 
 # ---------------------------------------------------------------- commentary
 
-def _scored(t: OrderTables) -> DataFrame:
+def _scored(t: OrderTables, keep_text: bool = False) -> DataFrame:
     return text.sentiment(
         order_ledger.commentary(t), "commentary_text",
-        p.TONE_POSITIVE, p.TONE_NEGATIVE, p.TONE_NEGATIONS,
+        p.TONE_POSITIVE, p.TONE_NEGATIVE, p.TONE_NEGATIONS, keep_text=keep_text,
     )
 
 
@@ -599,6 +614,18 @@ def sentiment_by_department(t: OrderTables) -> DataFrame:
     )
 
 
+@query
+def commentary_detail(t: OrderTables) -> DataFrame:
+    """The texts with department, score, tone and keywords."""
+    scored = _scored(t, keep_text=True)
+    named = linkage.attach_department(scored, order_ledger.cost_centers(t))
+    keywords = text.top_terms(_rounded(_weights(t), 9, ["weight"]), "doc_id")
+    return named.join(keywords, "doc_id", "left").select(
+        "doc_id", "fiscal_quarter", "department", "commentary_text", "sentiment_score",
+        "predicted_tone", "top_keywords",
+    )
+
+
 @query
 def tone_distribution(t: OrderTables) -> DataFrame:
     named = linkage.attach_department(_scored(t), order_ledger.cost_centers(t))
