@@ -11,8 +11,8 @@ def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared folder, so that a lost executor costs
     no recomputation.
 
-    The folder is ``spark.checkpoint.dir``; only where it is unset (local tests) a
-    temporary one is made.
+    The folder is ``spark.checkpoint.dir``. Where it is unset a temporary one is made for a
+    local session; on a cluster that would be one machine's disk, so there it is an error.
     """
     spark = df.sparkSession
     context = spark.sparkContext
@@ -20,5 +20,9 @@ def cut(df: DataFrame) -> DataFrame:
         shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
             "spark.checkpoint.dir", None
         )
-        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="ledgerframe-"))
+        if shared is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
+            shared = tempfile.mkdtemp(prefix="ledgerframe-")
+        context.setCheckpointDir(shared)
     return df.checkpoint()

@@ -100,12 +100,17 @@ def linear_predictions(
 def attach(rows: DataFrame, per_series: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Bring one row per series to the rows of that series.
 
-    Without keys both sides are the one company series, matched on a constant.
+    A NULL in a key is a series of its own. Without keys both sides are the one company
+    series, matched on a constant.
     """
-    if keys:
-        return rows.join(per_series, list(keys))
-    one = F.lit(1).alias("_one")
-    return rows.select("*", one).join(per_series.select("*", one), "_one").drop("_one")
+    if not keys:
+        one = F.lit(1).alias("_one")
+        return rows.select("*", one).join(per_series.select("*", one), "_one").drop("_one")
+    own = {k: f"_own_{k}" for k in keys}
+    same = F.lit(True)
+    for k, name in own.items():
+        same = same & F.col(k).eqNullSafe(F.col(name))
+    return rows.join(per_series.withColumnsRenamed(own), same).drop(*own.values())
 
 
 def _assembled(df: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> DataFrame:

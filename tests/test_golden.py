@@ -224,3 +224,21 @@ def test_calendar(spark):
     assert len(rows) == 48
     assert tuple(rows[0]) == (dt.date(2023, 1, 1), 2023, "Q1", "Jan-2023", True)
     assert [r["is_actual"] for r in rows] == [True] * 42 + [False] * 6
+
+
+def test_a_null_key_is_a_series(spark):
+    one = series(spark, CUTOFF)
+    panel = one.withColumn("k", F.lit("a")).unionByName(
+        one.withColumn("k", F.lit(None).cast("string"))
+    )
+    features = forecast.forecast_features(panel, ["k"])
+    ahead = models.refit_forecast(models.LINEAR, panel, features, 6, ["k"])
+    assert {r["k"]: r["count"] for r in ahead.groupBy("k").count().collect()} == {"a": 6, None: 6}
+    best = forecast.best_model(
+        forecast.accuracy(
+            forecast.baseline_predictions(forecast.holdout_split(features, 6, ["k"]), ["k"]), ["k"]
+        ),
+        ["k"],
+    )
+    picked = forecast.pick_best(forecast.forecast_baselines(panel, 2, ["k"]), best, ["k"])
+    assert picked.count() == 4
