@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, packing, simhash
+from . import bpe, exact, packing, simhash, toxicity
 from .common import table
 
 
@@ -38,8 +38,22 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit_chain(docs, table(spark, sf_dir, "labels")))
+
+
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = bpe.encode_decode(table(spark, sf_dir, "documents"), _tokenizer("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256")
+    )
+
+
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_toxicity": op8_toxicity,
+    "op9_bpe": op9_bpe,
 }
