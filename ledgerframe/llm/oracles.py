@@ -1,5 +1,7 @@
 """SQL counterparts of the queries, where SQL can express them."""
 
+from . import rules
+
 OP6 = """
 SELECT doc_id,
        max(doc_id) OVER (PARTITION BY body) AS keep_id,
@@ -9,4 +11,53 @@ SELECT doc_id,
 FROM (SELECT doc_id, coalesce(text, '') AS body FROM documents)
 """
 
-ORACLES = {"op6_exact_dedup": OP6}
+# the fixed phrases are the operator's own parameter
+OP3 = f"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents
+), toks AS (
+    SELECT r, unnest(ws) AS w, generate_subscripts(ws, 1) AS i
+    FROM (SELECT r, list_filter(string_split_regex(t, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM docs)
+), runs AS (
+    SELECT r, i, w || ' ' || lead(w) OVER o || ' ' || lead(w, 2) OVER o AS run
+    FROM toks WINDOW o AS (PARTITION BY r ORDER BY i)
+), again AS (
+    SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, run) AS n FROM runs WHERE run IS NOT NULL) WHERE n > 1
+), covered AS (
+    SELECT r, count(DISTINCT i + k) AS n_repeat_words FROM again, (VALUES (0), (1), (2)) AS s(k) GROUP BY r
+), lines AS (
+    SELECT r, l, len(list_filter(string_split_regex(l, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')) AS n
+    FROM (SELECT r, unnest(string_split(t, chr(10))) AS l FROM docs)
+    WHERE regexp_matches(l, '[^\\x20\\x09-\\x0D]')
+), judged AS (
+    SELECT r, l, length(regexp_replace(l, '[\\x20\\x09-\\x0D]+', '', 'g')) AS chars,
+        (n > 1 AND 2 * length(regexp_replace(l, '[^#*$%&<>]+', '', 'g')) >= n)
+        OR (n > 1 AND 2 * length(regexp_replace(l, '[^!]+', '', 'g')) >= n)
+        OR (n >= {rules.LONG_LINE_WORDS} AND NOT regexp_matches(l, '[.!?…。؟।]'))
+        OR (length(regexp_replace(l, '[^|»›•·]+', '', 'g')) >= 2
+            AND 4 * length(regexp_replace(l, '[^|»›•·]+', '', 'g')) >= n)
+        OR (n <= {rules.BOILERPLATE_WORDS} AND regexp_matches(l, '(?i){rules.BOILERPLATE}')) AS fails
+    FROM lines
+), by_line AS (
+    SELECT r, count(*) - count(DISTINCT l) AS n_dup_lines, count(*) AS n_lines,
+        count(*) FILTER (fails) AS n_failed_lines, coalesce(sum(chars) FILTER (NOT fails), 0) AS cleaned_chars
+    FROM judged GROUP BY r
+), by_word AS (SELECT r, count(*) AS n_words, sum(length(w)) AS word_chars FROM toks GROUP BY r),
+counted AS (
+    SELECT doc_id, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0)::BIGINT AS word_chars,
+        length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+        coalesce(n_dup_lines, 0) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words,
+        coalesce(n_lines, 0) AS n_lines, coalesce(n_failed_lines, 0) AS n_failed_lines,
+        coalesce(cleaned_chars, 0)::BIGINT AS cleaned_chars
+    FROM docs LEFT JOIN by_word USING (r) LEFT JOIN covered USING (r) LEFT JOIN by_line USING (r)
+), base AS (
+    SELECT *, n_words < {rules.MIN_WORDS}
+        OR 100 * n_repeat_words > {rules.MAX_REPEAT_PERCENT} * n_words AS base_failed
+    FROM counted
+)
+SELECT *, NOT base_failed
+    AND 100 * (word_chars - cleaned_chars) <= {rules.MAX_LOST_PERCENT} * word_chars AS kept
+FROM base
+"""
+
+ORACLES = {"op3_quality_rules": OP3, "op6_exact_dedup": OP6}

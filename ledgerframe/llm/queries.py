@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, packing, simhash, toxicity
+from . import bpe, exact, packing, rules, simhash, toxicity
 from .common import table
 
 
@@ -15,6 +15,10 @@ def _tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge_lines(table(spark, sf_dir, "documents"))
+
+
 def byte_bpe() -> str:
     return _tokenizer("byte_bpe_50k.json")
 
@@ -52,6 +56,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_simhash": op2_simhash,
+    "op3_quality_rules": op3_quality_rules,
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_toxicity": op8_toxicity,
