@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, packing, rules, simhash, toxicity
+from . import bpe, exact, packing, pii, rules, simhash, toxicity
 from .common import table
 
 
@@ -42,6 +42,16 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"), hash_all=True)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.found_spans(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        *[F.size(kind).cast("long").alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.span_string(pii.all_spans(base_only=True)), 256).alias("base_sha256"),
+        pii.span_string(pii.all_spans()).alias("spans"),
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.fit_chain(docs, table(spark, sf_dir, "labels")))
@@ -59,6 +69,7 @@ QUERIES = {
     "op3_quality_rules": op3_quality_rules,
     "op4_packing": op4_packing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_pii": op7_pii,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
 }
