@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,16 +14,68 @@ from pyspark.sql import functions as F
 from .common import keep, texts
 
 CAPACITY = 2048
-END_ID = 0
-
-
-def _tokenizer(path: str):
-    import os
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-    from tokenizers import Tokenizer
+END_ID = (0).to_bytes(4, "little")
+SPACE = " \t\n\v\f\r"
+SEGMENT = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+# anything else that some definition takes for white space
+OTHER_SPACE = re.compile(
+    r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
+)
+# segments a task remembers before it starts anew
+KNOWN_SEGMENTS = 500_000
+GROUP = 1000
+
+
+class SegmentEncoder:
+    """The tokenizer's ids of whole texts, by remembered segments.
+
+    A segment is a run of ASCII white space and the run without any behind it. The split
+    into words neither looks back before such a run nor beyond a segment's end, so the
+    segments' ids joined are the text's. Where other white space may stand beside it, the
+    text is encoded in one piece.
+    """
 
-    return Tokenizer.from_file(path)
+    def __init__(self, path: str):
+        import os
+
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
+        from tokenizers import Tokenizer
+
+        self.library = Tokenizer.from_file(path)
+        vocab = self.library.get_vocab(with_added_tokens=True)
+        # a token's name has a character for each of its bytes
+        self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
+        self.sizes[list(vocab.values())] = [len(name) for name in vocab]
+        self.known: dict[str, bytes] = {}
+
+    def _encode(self, values: list[str]) -> list[bytes]:
+        found = self.library.encode_batch_fast(values, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _learn(self, segments: list[str]) -> None:
+        """Remember new segments. Those with white space in front are encoded many at a
+        time, one behind the other; the tokens' sizes tell where each one ends."""
+        apart = [g[0] not in SPACE or g[-1] in SPACE for g in segments]
+        alone = [g for g, a in zip(segments, apart) if a]
+        self.known.update(zip(alone, self._encode(alone)))
+        joined = [g for g, a in zip(segments, apart) if not a]
+        groups = [joined[at : at + GROUP] for at in range(0, len(joined), GROUP)]
+        for group, raw in zip(groups, self._encode(["".join(group) for group in groups])):
+            reached = np.cumsum(self.sizes[np.frombuffer(raw, "<u4")])
+            ends = 4 * (np.searchsorted(reached, np.cumsum([len(g.encode()) for g in group])) + 1)
+            self.known.update((g, raw[lo:hi]) for g, lo, hi in zip(group, [0, *ends.tolist()], ends.tolist()))
+
+    def encode(self, values: list[str]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of each value."""
+        plain = [not OTHER_SPACE.search(v) for v in values]
+        rows = [SEGMENT.findall(v) if p else [] for v, p in zip(values, plain)]
+        new = set().union(*rows) - self.known.keys()
+        if new and len(self.known) + len(new) > KNOWN_SEGMENTS:
+            self.known.clear()
+            new = set().union(*rows)
+        self._learn(list(new))
+        whole = iter(self._encode([v for v, p in zip(values, plain) if not p]))
+        return [b"".join(map(self.known.__getitem__, row)) if p else next(whole) for row, p in zip(rows, plain)]
 
 
 def token_pieces(
@@ -38,21 +92,21 @@ def token_pieces(
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _tokenizer(tokenizer)
+        encoder = SegmentEncoder(tokenizer)
         for batch, values in texts(batches):
-            for at in range(0, len(values), 64):
+            for at in range(0, len(values), 256):
                 rows, pieces, starts, lengths, ids = [], [], [], [], []
-                encoded = encoder.encode_batch_fast(values[at : at + 64], add_special_tokens=False)
-                for row, found in enumerate(encoded):
-                    flat = np.array([*found.ids, END_ID], "<u4")
-                    head = len(flat) % capacity or capacity
-                    for piece, lo in enumerate([0, *range(head, len(flat), capacity)]):
-                        part = flat[lo : head if piece == 0 else lo + capacity]
-                        rows.append(at + row)
+                for row, found in enumerate(encoder.encode(values[at : at + 256]), at):
+                    flat = found + END_ID
+                    size = len(flat) // 4
+                    head = size % capacity or capacity
+                    for piece, lo in enumerate([0, *range(head, size, capacity)]):
+                        hi = lo + capacity if piece else head
+                        rows.append(row)
                         pieces.append(piece)
                         starts.append(lo)
-                        lengths.append(len(part))
-                        ids.append(part.tobytes())
+                        lengths.append(hi - lo)
+                        ids.append(flat[4 * lo : 4 * hi])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(pa.array(rows, pa.int64())),
