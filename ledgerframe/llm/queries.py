@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, packing, pii, rules, simhash, toxicity
+from . import bpe, exact, extract, packing, pii, rules, simhash, toxicity
 from .common import table
 
 
@@ -38,6 +38,11 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_digests(packing.token_pieces(table(spark, sf_dir, "documents"), byte_bpe()))
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = extract.extract(table(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.exact_groups(table(spark, sf_dir, "documents"), hash_all=True)
 
@@ -68,6 +73,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op4_packing": op4_packing,
+    "op5_html_extraction": op5_html_extraction,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_pii": op7_pii,
     "op8_toxicity": op8_toxicity,
