@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, extract, packing, pii, rules, simhash, toxicity
+from . import bpe, exact, extract, packing, pii, quality, rules, simhash, toxicity
 from .common import table
 
 
@@ -28,6 +28,10 @@ def packed_digests(pieces: DataFrame) -> DataFrame:
     return packing.pack(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(table(spark, sf_dir, "documents"))
+
+
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_groups(table(spark, sf_dir, "documents"))
     digits = F.lpad(F.lower(F.hex("fp")), 16, "0")
@@ -70,6 +74,7 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op4_packing": op4_packing,
