@@ -22,6 +22,11 @@ from .common import GAP, body, texts
 ABSTAIN, BAD, GOOD = 0, 1, 2
 ROUNDS = 50
 LEAN = 0.05
+# how often a labeller may call a good document bad: several kinds of bad documents are
+# one class here, and the rarer ones would else pass for good ones that were misjudged
+MAX_FALSE = 0.002
+# words added to a text's length, so that a few words alone don't decide
+SMOOTH_WORDS = 20
 SAMPLE_ROWS = 6000
 BUCKETS = 1 << 14
 STEPS = 300
@@ -72,8 +77,8 @@ def _pattern(text: Column) -> Column:
 def posteriors(counts: dict[int, int], labellers: int, rounds: int = ROUNDS) -> dict[int, float]:
     """Probability of a good document for each pattern of votes.
 
-    ``counts`` has how many documents show a pattern, all documents together. Classes
-    start from the majority of votes; then the share of good documents and every
+    ``counts`` has how many documents show a pattern, all documents together. At the
+    start two bad votes make a document bad, as heuristics speak up seldom; then the share of good documents and every
     labeller's chances to vote good, bad or not at all in either class are estimated from
     the posteriors, and the posteriors from them. The chances lean on a prior of right
     labellers that weighs as much as a twentieth of the documents, so that the classes
@@ -84,8 +89,7 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = ROUNDS) ->
         return {}
     weight = np.array([counts[p] for p in patterns.tolist()], float)
     vote = np.stack([patterns // 3**k % 3 for k in reversed(range(labellers))], axis=1)
-    good = (vote == GOOD).sum(axis=1) + 1.0
-    good /= good + (vote == BAD).sum(axis=1) * 2.0 + 1.0
+    good = 1 / (1 + np.exp(3.0 * (vote == BAD).sum(axis=1) - 4.0))
     # chances to abstain, vote bad, vote good in the bad class and in the good one
     lean = np.array([[0.4, 0.4, 0.2], [0.3, 0.01, 0.69]]) * (weight.sum() * LEAN)
     for _ in range(rounds):
@@ -94,7 +98,9 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = ROUNDS) ->
         odds = np.repeat(prior[:, None], len(patterns), axis=1)
         for k in range(labellers):
             seen = np.stack([(share * weight) @ (vote[:, k] == v) for v in (ABSTAIN, BAD, GOOD)], axis=1) + lean
-            odds += np.log(seen / seen.sum(axis=1, keepdims=True))[:, vote[:, k]]
+            chance = seen / seen.sum(axis=1, keepdims=True)
+            chance[1, BAD] = min(chance[1, BAD], MAX_FALSE)
+            odds += np.log(chance)[:, vote[:, k]]
         good = 1 / (1 + np.exp((odds[0] - odds[1]).clip(-50, 50)))
     return dict(zip(patterns.tolist(), good.tolist()))
 
@@ -123,7 +129,7 @@ class Shapes:
 
     def of(self, text: str) -> dict[int, float]:
         words = text.split()
-        n = len(words) or 1
+        n = len(words) + SMOOTH_WORDS
         out = {b: c / n for b, c in Counter(map(self._bucket, words)).items()}
         for name, value in (
             (f"length {min(n, 1000).bit_length()}", 1.0),
