@@ -60,4 +60,44 @@ SELECT *, NOT base_failed
 FROM base
 """
 
-ORACLES = {"op3_quality_rules": OP3, "op6_exact_dedup": OP6}
+OP10 = """
+WITH RECURSIVE rows AS (
+    SELECT DISTINCT conv_id, turn::BIGINT AS turn, role, coalesce(text, '') AS body FROM conversations
+), msgs AS (
+    SELECT *, coalesce('=' || conv_id, '') AS c, row_number() OVER (
+        PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(coalesce(role, '') || chr(1) || body)) - 1 AS n
+    FROM rows
+), cut AS (
+    SELECT c, n, l, i, length(regexp_replace(regexp_extract(l, '^((?:[\\x20\\t]*>)*)', 1), '[^>]', '', 'g')) AS level
+    FROM (SELECT c, n, unnest(string_split(body, chr(10))) AS l, generate_subscripts(string_split(body, chr(10)), 1) AS i FROM msgs)
+), said AS (
+    SELECT c, n, i, level, trim(regexp_replace(lower(regexp_replace(l, '^(?:[\\x20\\t]*>)+\\x20?', '')), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS s
+    FROM cut
+), hits AS (
+    SELECT q.c, q.n, q.i, q.level, max(o.n) AS parent
+    FROM said q JOIN said o ON o.c = q.c AND o.s = q.s AND o.n < q.n AND o.level = 0
+    WHERE q.level > 0 AND q.s <> '' GROUP BY ALL
+), links AS (
+    SELECT c, n, arg_max(parent, [-level, hits, parent]) AS parent
+    FROM (SELECT c, n, level, parent, count(*) AS hits FROM hits GROUP BY ALL) GROUP BY c, n
+), tree AS (
+    SELECT m.c, m.n, coalesce(l.parent, CASE WHEN m.n > 0 THEN m.n - 1 END) AS parent FROM msgs m LEFT JOIN links l USING (c, n)
+), ranked AS (
+    SELECT *, parent IS NOT NULL AND row_number() OVER (PARTITION BY c, parent ORDER BY n) = 1 AS goes_on FROM tree
+), threads AS (
+    SELECT c, n, n AS thread FROM ranked WHERE NOT goes_on
+    UNION ALL
+    SELECT r.c, r.n, t.thread FROM threads t JOIN ranked r ON r.c = t.c AND r.parent = t.n AND r.goes_on
+), own AS (
+    SELECT m.c, m.n, trim(regexp_replace(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (level = 0), ''), '^\\n+|\\n+$', '', 'g')) AS text
+    FROM msgs m JOIN cut USING (c, n) GROUP BY m.c, m.n
+)
+SELECT m.conv_id, m.turn, m.role, p.turn AS reply_to, t.thread,
+    row_number() OVER (PARTITION BY m.c, t.thread ORDER BY m.n) - 1 AS position,
+    (SELECT count(*) FROM said q WHERE q.c = m.c AND q.n = m.n AND q.level > 0 AND q.s <> '') AS n_quoted,
+    own.text, '<|' || coalesce(m.role, 'user') || '|>' || chr(10) || own.text || '<|end|>' || chr(10) AS formatted
+FROM msgs m JOIN tree r USING (c, n) JOIN threads t USING (c, n) JOIN own USING (c, n)
+LEFT JOIN msgs p ON p.c = r.c AND p.n = r.parent
+"""
+
+ORACLES = {"op10_chat_formatting": OP10, "op3_quality_rules": OP3, "op6_exact_dedup": OP6}

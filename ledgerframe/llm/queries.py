@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact, extract, packing, pii, quality, rules, simhash, toxicity
+from . import bpe, chat, exact, extract, packing, pii, quality, rules, simhash, toxicity
 from .common import table
 
 
@@ -73,6 +73,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_simhash": op2_simhash,
@@ -83,4 +87,5 @@ QUERIES = {
     "op7_pii": op7_pii,
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
+    "op10_chat_formatting": op10_chat_formatting,
 }
