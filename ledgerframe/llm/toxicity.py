@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -12,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import keep, texts
 
 # the chain, in order: flooding and shouting, abuse, both of them
 CATEGORIES = ("disruptive", "toxic", "disruptive_toxic")
@@ -23,6 +22,8 @@ STEPS = 100
 PENALTY = 0.3
 # standard deviations by which a feature must differ between the outcomes to be used
 SIGNAL = 4.0
+# the same, for all that is brought to the driver; the models' own folds decide after it
+PRESCREEN = 2.0
 CUT = 0.5
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
@@ -110,19 +111,17 @@ def _odds(rows, cols, extra, fitted, n):
     return (np.bincount(rows, weights=w[cols], minlength=n) + b + extra @ v).clip(-ODDS, ODDS)
 
 
-def train(sample: list[tuple[int, Sequence[str], Sequence[bool]]], names: Sequence[str] = CATEGORIES) -> Chain:
-    """Fit the chain on ``(fold, features, outcomes)`` rows.
+def train(
+    sample: list[tuple[int, Sequence[int], Sequence[bool]]], index: dict[str, int], names: Sequence[str] = CATEGORIES
+) -> Chain:
+    """Fit the chain on ``(fold, features, outcomes)`` rows; features by their number.
 
     A category's model sees the log-odds of the categories before it. For its training
     they come from models fitted without the row's fold, so that they are as uncertain as
     those of new texts; the model that is kept is fitted on all rows.
     """
-    sample = list(sample)
-    counts = Counter(f for _, features, _ in sample for f in features)
-    index = {f: i for i, f in enumerate(sorted(f for f, n in counts.items() if n >= MIN_DOCS))}
-    sizes = [[index[f] for f in features if f in index] for _, features, _ in sample]
-    rows = np.repeat(np.arange(len(sample)), [len(s) for s in sizes])
-    cols = np.fromiter((i for s in sizes for i in s), np.int64, len(rows))
+    rows = np.repeat(np.arange(len(sample)), [len(features) for _, features, _ in sample])
+    cols = np.fromiter((i for _, features, _ in sample for i in features), np.int64, len(rows))
     folds = np.array([fold for fold, _, _ in sample], np.int64)
     outcome = np.array([o for _, _, o in sample], float).reshape(len(sample), len(names))
     chain = Chain(names, index, np.zeros((len(index), len(names))), np.zeros(len(names)), np.zeros((len(names),) * 2))
@@ -157,21 +156,51 @@ def fit_chain(
     draw = label.orderBy(F.xxhash64("doc_id", F.lit(0)), "doc_id").limit(sample_rows)
     drawn = draw.select("doc_id", F.array(*[c.cast("boolean") for c in categories()]).alias("outcomes"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, values in texts(batches):
-            # features come along as one string, which arrives compactly
-            found = pa.array(["\n".join(sorted(_features(t))) for t in values], pa.string())
+            found = pa.array([sorted(_features(t)) for t in values], pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), found], ["fold", "outcomes", "features"])
 
     picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")).join(F.broadcast(drawn), "doc_id")
     fold = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(FOLDS)).cast("int")
-    sample = picked.select(fold.alias("fold"), "text", "outcomes", F.col("doc_id"))
-    found = sample.select("fold", "text", "outcomes").mapInArrow(
-        run, "fold int, outcomes array<boolean>, features string"
+    described = picked.select(fold.alias("fold"), "text", "outcomes").mapInArrow(
+        describe, "fold int, outcomes array<boolean>, features array<string>"
+    )
+    # repeated rows of a key are one example
+    sample = keep(described.distinct())
+    index = {f: i for i, f in enumerate(_telling(sample))}
+    sent = docs.sparkSession.sparkContext.broadcast(index)
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = sent.value
+        for batch in batches:
+            found = [[known[f] for f in features if f in known] for features in batch.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["fold", "outcomes", "features"]
+            )
+
+    numbered = sample.mapInArrow(number, "fold int, outcomes array<boolean>, features array<int>")
+    # the order makes the sums repeatable
+    rows = numbered.orderBy("fold", "outcomes", "features").collect()
+    return train([(r["fold"], r["features"], r["outcomes"]) for r in rows], index)
+
+
+def _telling(sample: DataFrame) -> list[str]:
+    """Features of ``MIN_DOCS`` rows or more that stand out, if slightly, for a category."""
+    hits = [F.sum(F.col("outcomes")[k].cast("long")).alias(f"h{k}") for k in range(len(CATEGORIES))]
+    total = sample.agg(F.count(F.lit(1)).alias("n"), *hits).collect()[0]
+    if not total["n"]:
+        return []
+    counts = sample.select("outcomes", F.explode("features").alias("f")).groupBy("f").agg(
+        F.count(F.lit(1)).alias("n"), *hits
     )
-    # repeated rows of a key are one example; the order makes the sums repeatable
-    rows = found.distinct().orderBy("fold", "features").collect()
-    return train([(r["fold"], r["features"].split("\n") if r["features"] else [], r["outcomes"]) for r in rows])
+    tests = F.lit(False)
+    for k in range(len(CATEGORIES)):
+        share = total[f"h{k}"] / total["n"]
+        spread = share * (1 - share)
+        gap = F.col(f"h{k}") - F.col("n") * share
+        tests = tests | (gap * gap > PRESCREEN**2 * F.col("n") * spread)
+    return sorted(r["f"] for r in counts.filter((F.col("n") >= MIN_DOCS) & tests).select("f").collect())
 
 
 def _with_probabilities(docs: DataFrame, chain: Chain, text: str) -> DataFrame:
