@@ -2,27 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the cluster's shared folder, so that a lost executor costs
-    no recomputation.
-
-    The folder is ``spark.checkpoint.dir``. Where it is unset a temporary one is made for a
-    local session; on a cluster that would be one machine's disk, so there it is an error.
+    no recomputation. The folder is ``spark.checkpoint.dir``; without it this is an error.
     """
     spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
-        shared = context.getConf().get("spark.checkpoint.dir") or spark.conf.get(
-            "spark.checkpoint.dir", None
-        )
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            shared = tempfile.mkdtemp(prefix="ledgerframe-")
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if not shared:
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared)
     return df.checkpoint()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -52,40 +52,26 @@ def lexicon_hits(
 ) -> Column:
     """Struct ``(pos, neg)`` of lexicon hits in one pass over the tokens.
 
-    A hit is flipped when a negation stands among the ``window`` tokens before it.
-    The running state keeps how many tokens ago that was, not the tokens, and is packed
-    with both counts into one number, so that a token outside the lists, the usual
-    case, costs one set lookup and builds nothing.
+    A hit is flipped when a negation stands among the ``window`` tokens before it. The
+    running state keeps how many tokens ago that was, not the tokens, and both counts.
     """
-    far, base = window, window + 1
-    pos_unit, neg_unit = base, base << 30
-
-    def unit(n: int) -> Column:
-        return F.lit(n).cast("long")
-
     def step(acc: Column, token: Column) -> Column:
-        gap = acc % base
-        negated = gap < far
-        hit = (
-            F.when(
-                token.isin(*positive), F.when(negated, unit(neg_unit)).otherwise(unit(pos_unit))
-            )
-            .when(
-                token.isin(*negative), F.when(negated, unit(pos_unit)).otherwise(unit(neg_unit))
-            )
-            .otherwise(unit(0))
-        )
-        next_gap = F.when(token.isin(*negations), unit(0)).otherwise(
-            F.least(gap + 1, unit(far))
+        negated = acc["gap"] < window
+        up, down = token.isin(*positive), token.isin(*negative) & ~token.isin(*positive)
+        return F.struct(
+            (acc["pos"] + F.when((up & ~negated) | (down & negated), 1).otherwise(0)).alias("pos"),
+            (acc["neg"] + F.when((down & ~negated) | (up & negated), 1).otherwise(0)).alias("neg"),
+            F.when(token.isin(*negations), F.lit(0))
+            .otherwise(F.least(acc["gap"] + 1, F.lit(window)))
+            .alias("gap"),
         )
-        return F.when(
-            ~token.isin(*positive, *negative, *negations),
-            F.when(negated, acc + 1).otherwise(acc),
-        ).otherwise(acc - gap + next_gap + hit)
-
-    packed = F.aggregate(tokens, unit(far), step)
-    counts = F.call_function("div", packed, unit(base))
-    return F.struct(
-        (counts % (1 << 30)).cast("int").alias("pos"),
-        F.call_function("div", counts, unit(1 << 30)).cast("int").alias("neg"),
+
+    start = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("neg"), F.lit(window).alias("gap"))
+    return F.aggregate(
+        tokens, start, step, lambda acc: F.struct(acc["pos"].alias("pos"), acc["neg"].alias("neg"))
     )
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once, also where lambdas look at it again."""
+    return F.element_at(F.transform(F.array(value), use), 1)

@@ -7,13 +7,14 @@ from collections.abc import Sequence
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import lexicon
 from ..functions.lineage import cut
 from ..functions.numeric import safe_div
-from ..functions.text import lexicon_hits, ngrams, terms, words
+from ..functions.text import let, lexicon_hits, ngrams, terms, words
 
 
 def tokens(docs: DataFrame, text: str, out: str = "tokens") -> DataFrame:
@@ -72,39 +73,80 @@ def tone_agreement(matched: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 # ---------------------------------------------------------------- TF-IDF
 
-MAX_TIES = 1800
-MAX_BROADCAST_TERMS = 100_000
+# hash slots in which the counts of words are summed; see _frequent
+SLOTS = 1 << 14
 
 
 def default_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def _frequent_terms(
-    docs: DataFrame, text: str, stop_words: Sequence[str], max_features: int
-) -> list[str] | None:
-    """Terms that alone can build a vocabulary of ``max_features``; None if they are too many.
+def _slot(word: Column) -> Column:
+    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
 
-    An n-gram is at most as frequent as its rarest term. So with c the count of the
-    ``max_features``-th most frequent term, every n-gram that can reach the vocabulary
-    consists of terms counted c times or more. Those are read from a bounded top-k;
-    when equal counts make them more than the bound, the caller counts all n-grams.
+
+def _frequent(found: DataFrame, max_features: int) -> Column:
+    """Array over the hash slots: whether words of the slot may build the vocabulary.
+
+    An n-gram is at most as frequent as its rarest word. So with c the count of the
+    ``max_features``-th most frequent word, every n-gram that can reach the vocabulary
+    consists of words counted c times or more, and their slots are counted that often
+    too. The array has a fixed size, whatever the number of words or of equal counts.
     """
-    bound = max_features + MAX_TIES
-    counts = (
-        docs.select(F.explode(terms(text)).alias("term"))
-        .filter(~F.col("term").isin(*stop_words))
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("total"))
+    counts = found.select(F.explode("u").alias("term")).groupBy("term").agg(
+        F.count(F.lit(1)).alias("total")
+    )
+    top = counts.select("total").orderBy(F.desc("total")).limit(max_features)
+    least = top.agg(
+        F.when(F.count(F.lit(1)) == max_features, F.min("total")).otherwise(0).alias("c")
     )
-    top = counts.orderBy(F.desc("total"), "term").limit(bound + 1).collect()
-    least = top[max_features - 1]["total"] if len(top) >= max_features else 0
-    if len(top) > bound and top[-1]["total"] >= least:
-        return None
-    return [r["term"] for r in top if r["total"] >= least]
+    slots = counts.groupBy(_slot(F.col("term")).alias("slot")).agg(F.sum("total").alias("total"))
+    chosen = slots.filter(F.col("total") >= least.scalar()).agg(F.collect_list("slot").alias("s"))
+    every = F.sequence(F.lit(0), F.lit(SLOTS - 1))
+    return chosen.select(
+        F.transform(every, lambda i: F.array_contains("s", i)).alias("f")
+    ).scalar()
 
 
-def tfidf(
+def _grams(
+    docs: DataFrame, key: str, text: str, stop: Sequence[str], max_features: int,
+    sizes: tuple[int, int],
+) -> DataFrame:
+    """``(key, g)``: each document's n-grams of words that may build the vocabulary."""
+    found = docs.select(key, terms(text, stop).alias("u"))
+    flagged = found.select(key, "u", _frequent(found, max_features).alias("f"))
+    marked = flagged.select(
+        key, F.transform("u", lambda w: F.when(F.get("f", _slot(w)), w)).alias("u")
+    )
+    grams = [ngrams(F.col("u"), n) for n in range(sizes[0], sizes[1] + 1)]
+    return marked.select(key, F.concat(*grams).alias("g"))
+
+
+def _vocabulary(grams: DataFrame, docs: DataFrame, max_features: int) -> Column:
+    """Struct of the vocabulary's ``terms`` in alphabetical order and their ``idf``."""
+
+    def counted(column: Column, df: int) -> Column:
+        return F.transform(column, lambda x: F.struct(x.alias("term"), F.lit(df).alias("df")))
+
+    both = F.concat(counted(F.col("g"), 0), counted(F.array_distinct("g"), 1))
+    vocab = (
+        grams.select(F.explode(both).alias("x"))
+        .groupBy(F.col("x.term").alias("term"))
+        .agg(F.count_if(F.col("x.df") == 0).alias("total"), F.sum("x.df").alias("df"))
+        .orderBy(F.desc("total"), "term")
+        .limit(max_features)
+    )
+    n = docs.select(F.count(F.lit(1)).alias("n")).scalar()
+    listed = F.array_sort(F.collect_list(F.struct("term", "idf")))
+    return (
+        vocab.select("term", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+        .agg(listed.alias("v"))
+        .select(F.struct(F.col("v.term").alias("terms"), F.col("v.idf").alias("idf")).alias("v"))
+        .scalar()
+    )
+
+
+def term_weights(
     docs: DataFrame,
     key: str,
     text: str,
@@ -112,51 +154,68 @@ def tfidf(
     max_features: int = 200,
     sizes: tuple[int, int] = (1, 2),
 ) -> DataFrame:
-    """Weights of the vocabulary terms in each document: key, term, idx, weight.
+    """``(key, w)``: each document's vocabulary terms as structs (term, idx, weight).
 
     Stop words go first, then 1- and 2-grams are built. The vocabulary is the
     ``max_features`` n-grams with the highest total count, equal ones by term, and
     ``idx`` numbers it alphabetically. idf is ln((1+n)/(1+df)) + 1 and the weights of a
-    document have length one. A document without any term has no rows.
+    document have length one. A document without any term has an empty array.
 
-    Counting single terms first (one job) keeps the long tail of rare n-grams from ever
-    being unfolded or shuffled: after it only n-grams of frequent terms are.
+    Only words and the n-grams of frequent words are counted across documents; the
+    vocabulary then meets each document in its row, without a shuffle of documents.
     """
     stop = list(default_stop_words() if stop_words is None else stop_words)
-    found = docs.select(key, terms(text, stop).alias("u"))
-    frequent = _frequent_terms(docs, text, stop, max_features)
-    if frequent is not None:
-        if not frequent:
-            found = found.filter(F.lit(False))
-        found = found.select(
-            key, F.transform("u", lambda w: F.when(w.isin(*frequent), w)).alias("u")
+    grams = _grams(docs, key, text, stop, max_features, sizes)
+    rows = grams.select(key, "g", _vocabulary(grams, docs, max_features).alias("v"))
+    place = F.transform("g", lambda x: F.array_position("v.terms", x).cast("int"))
+
+    def weigh(places: Column) -> Column:
+        own = F.array_distinct(places)
+        starts = F.transform(own, lambda i: F.array_position(places, i))
+        ends = F.concat(
+            F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))),
+            F.array(F.size(places).cast("long") + 1),
         )
-    grams = [ngrams(F.col("u"), n) for n in range(sizes[0], sizes[1] + 1)]
-    tf = (
-        found.select(key, F.explode(F.concat(*grams)).alias("term"))
-        .groupBy(key, "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    # both sums come from tf, so the shuffle behind it is shared
-    vocab = (
-        tf.groupBy("term")
-        .agg(F.sum("tf").alias("total"), F.count("tf").alias("df"))
-        .orderBy(F.desc("total"), "term")
-        .limit(max_features)
-    )
-    n = docs.select(F.count(F.lit(1)).alias("n")).scalar()
-    vocab = vocab.select(
-        "term",
-        (F.row_number().over(Window.orderBy("term")) - 1).alias("idx"),
-        (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"),
-    )
-    # at most max_features rows
-    small = F.broadcast(vocab) if max_features <= MAX_BROADCAST_TERMS else vocab
-    raw = tf.join(small, "term").select(
-        key, "term", "idx", (F.col("tf") * F.col("idf")).alias("raw")
+        return F.zip_with(
+            own, F.zip_with(starts, F.slice(ends, 1, F.size(own)), lambda a, b: b - a),
+            lambda i, tf: F.struct(i.alias("i"), (tf * F.element_at("v.idf", i)).alias("raw")),
+        )
+
+    def scale(raw: Column) -> Column:
+        norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda acc, x: acc + x["raw"] * x["raw"]))
+        return F.transform(raw, lambda x: F.struct(
+            F.element_at("v.terms", x["i"]).alias("term"), (x["i"] - 1).alias("idx"),
+            (x["raw"] / norm).alias("weight"),
+        ))
+
+    # sorted places: equal ones are neighbours, so a term's count is the gap to the next
+    weighed = let(F.array_sort(F.filter(place, lambda i: i > 0)), weigh)
+    return rows.select(
+        key, F.when(F.size("g") > 0, let(weighed, scale)).otherwise(F.array()).alias("w")
     )
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
-    return raw.select(key, "term", "idx", (F.col("raw") / norm).alias("weight"))
+
+
+def tfidf(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    stop_words: Sequence[str] | None = None,
+    max_features: int = 200,
+    sizes: tuple[int, int] = (1, 2),
+) -> DataFrame:
+    """``term_weights`` with one row per document and term: key, term, idx, weight."""
+    rows = term_weights(docs, key, text, stop_words, max_features, sizes)
+    return rows.select(key, F.explode("w").alias("x")).select(key, "x.*")
+
+
+def row_top_terms(rows: DataFrame, key: str, k: int = 5, sep: str = ", ", digits: int = 9) -> DataFrame:
+    """The ``k`` heaviest terms of each row of ``term_weights`` as one string, weights
+    that agree in ``digits`` digits by term. Documents without terms are left out."""
+    ranked = F.array_sort(F.transform("w", lambda x: F.struct(
+        (-F.round(x["weight"], digits)).alias("r"), x["term"].alias("term")
+    )))
+    top = F.transform(F.slice(ranked, 1, k), lambda x: x["term"])
+    return rows.filter(F.size("w") > 0).select(key, F.array_join(top, sep).alias("top_keywords"))
 
 
 def top_terms(weights: DataFrame, key: str, k: int = 5, sep: str = ", ") -> DataFrame:
@@ -173,18 +232,14 @@ def top_terms(weights: DataFrame, key: str, k: int = 5, sep: str = ", ") -> Data
 
 # ---------------------------------------------------------------- topics
 
-def doc_vectors(docs: DataFrame, weights: DataFrame, key: str, size: int = 200) -> DataFrame:
-    """One vector per document; a document without terms gets the zero vector."""
-    entries = weights.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("idx", "weight"))).alias("m")
-    )
-    cells = F.transform(
+def doc_vectors(rows: DataFrame, key: str, size: int = 200) -> DataFrame:
+    """One vector per row of ``term_weights``; a document without terms gets zeros."""
+    own = F.transform("w", lambda x: x["idx"])
+    cells = let(own, lambda idx: F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda i: F.coalesce(F.try_element_at(F.col("m"), i), F.lit(0.0)),
-    )
-    return docs.select(key).join(entries, key, "left").select(
-        key, array_to_vector(cells).alias("features")
-    )
+        lambda i: F.coalesce(F.get(F.col("w.weight"), F.array_position(idx, i).cast("int") - 1), F.lit(0.0)),
+    ))
+    return rows.select(key, array_to_vector(cells).alias("features"))
 
 
 def fit_topics(vectors: DataFrame, k: int = 5, starts: int = 10, seed: int = 42) -> KMeansModel:
@@ -215,20 +270,21 @@ def topic_labels(model: KMeansModel, weights: DataFrame, top: int = 6, sep: str
 
 
 def topics(
-    docs: DataFrame,
-    weights: DataFrame,
+    rows: DataFrame,
     key: str,
     k: int = 5,
     starts: int = 10,
     seed: int = 42,
     size: int = 200,
 ) -> tuple[DataFrame, DataFrame]:
-    """Cluster of each document, and the clusters' labels."""
-    kept = cut(weights)
-    vectors = cut(doc_vectors(docs, kept, key, size))
+    """Cluster of each document of ``term_weights``, and the clusters' labels."""
+    kept = cut(rows)
+    vectors = doc_vectors(kept, key, size).persist(StorageLevel.MEMORY_AND_DISK)
     model = fit_topics(vectors, k, starts, seed)
-    labels = topic_labels(model, kept)
-    return model.transform(vectors).select(key, "topic_cluster"), labels
+    vectors.unpersist()
+    weights = kept.select(F.explode("w").alias("x")).select("x.term", "x.idx")
+    labels = topic_labels(model, weights)
+    return model.transform(doc_vectors(kept, key, size)).select(key, "topic_cluster"), labels
 
 
 def topic_summary(scored: DataFrame) -> DataFrame:

@@ -13,7 +13,6 @@ from ..functions.numeric import dbl, or_zero, ratio
 from ..functions.rows import literal_rows
 
 ORDER = ("Downside", "Base", "Upside")
-MAX_SCENARIOS = 1000
 
 
 class Scenario(NamedTuple):
@@ -23,17 +22,11 @@ class Scenario(NamedTuple):
     opex_growth_delta: float
 
 
-def scenarios_from(rows: DataFrame | Iterable[Sequence]) -> list[Scenario]:
-    """Scenarios from literal rows or from an assumptions table.
+def scenarios_from(rows: Iterable[Sequence]) -> list[Scenario]:
+    """Scenarios from literal rows; what follows the four fields is left out.
 
-    Assumptions are parameters of a plan, so a table of them is read to the driver; one
-    that is too long to be assumptions is refused.
+    Assumptions are parameters of a plan: a table of them is read by its owner.
     """
-    if isinstance(rows, DataFrame):
-        found = rows.select(*Scenario._fields).take(MAX_SCENARIOS + 1)
-        if len(found) > MAX_SCENARIOS:
-            raise ValueError(f"more than {MAX_SCENARIOS} scenarios: not an assumptions table")
-        return [Scenario(*r) for r in found]
     return [Scenario(*tuple(r)[:4]) for r in rows]
 
 

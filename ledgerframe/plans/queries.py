@@ -547,7 +547,7 @@ def _scored(t: OrderTables, keep_text: bool = False) -> DataFrame:
 
 
 def _weights(t: OrderTables) -> DataFrame:
-    return text.tfidf(
+    return text.term_weights(
         order_ledger.commentary(t), "doc_id", "commentary_text", p.STOP_WORDS, p.MAX_FEATURES
     )
 
@@ -575,16 +575,17 @@ def tone_agreement(t: OrderTables) -> DataFrame:
 
 @query
 def tfidf_terms(t: OrderTables) -> DataFrame:
-    return _rounded(_weights(t), 6, ["weight"])
+    rows = _weights(t).select("doc_id", F.explode("w").alias("x"))
+    return _rounded(rows.select("doc_id", "x.*"), 6, ["weight"])
 
 
 @query
 def doc_top_keywords(t: OrderTables) -> DataFrame:
-    return text.top_terms(_rounded(_weights(t), 9, ["weight"]), "doc_id")
+    return text.row_top_terms(_weights(t), "doc_id")
 
 
 def _topics(t: OrderTables) -> tuple[DataFrame, DataFrame]:
-    return text.topics(order_ledger.commentary(t), _weights(t), "doc_id", size=p.MAX_FEATURES)
+    return text.topics(_weights(t), "doc_id", size=p.MAX_FEATURES)
 
 
 @query
@@ -608,7 +609,7 @@ def topic_summary(t: OrderTables) -> DataFrame:
 def sentiment_by_department(t: OrderTables) -> DataFrame:
     """Commentary detail with department, keywords and label."""
     named = linkage.attach_department(_scored(t), order_ledger.cost_centers(t))
-    keywords = text.top_terms(_rounded(_weights(t), 9, ["weight"]), "doc_id")
+    keywords = text.row_top_terms(_weights(t), "doc_id")
     return text.label_match(named, order_ledger.authored_labels(t), "doc_id").join(
         keywords, "doc_id", "left"
     )
@@ -619,7 +620,7 @@ def commentary_detail(t: OrderTables) -> DataFrame:
     """The texts with department, score, tone and keywords."""
     scored = _scored(t, keep_text=True)
     named = linkage.attach_department(scored, order_ledger.cost_centers(t))
-    keywords = text.top_terms(_rounded(_weights(t), 9, ["weight"]), "doc_id")
+    keywords = text.row_top_terms(_weights(t), "doc_id")
     return named.join(keywords, "doc_id", "left").select(
         "doc_id", "fiscal_quarter", "department", "commentary_text", "sentiment_score",
         "predicted_tone", "top_keywords",

@@ -9,8 +9,8 @@ sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = (
+def spark(tmp_path_factory):
+    builder = (
         SparkSession.builder.master("local[8]")
         .appName("ledgerframe-tests")
         .config("spark.sql.shuffle.partitions", "8")
@@ -20,8 +20,10 @@ def spark():
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.host", "127.0.0.1")
-        .getOrCreate()
     )
+    session = builder.getOrCreate()
+    if not session.conf.get("spark.checkpoint.dir", None):
+        session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

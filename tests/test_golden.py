@@ -138,8 +138,7 @@ def test_scenarios(spark):
 
 def test_lrp_scenarios(spark):
     lrp = spark.createDataFrame(g.LRP, "fiscal_year int, plan_revenue double, plan_opex double")
-    table = dimensions.scenario_assumptions(spark)
-    out = scenarios.lrp_scenarios(lrp, scenarios.scenarios_from(table))
+    out = scenarios.lrp_scenarios(lrp, scenarios.scenarios_from(dimensions.SCENARIOS))
     got = {(r["scenario"], r["fiscal_year"]): r for r in out.collect()}
     for name, year, revenue, opex, margin in g.LRP_SCENARIOS:
         r = got[name, year]

@@ -49,6 +49,13 @@ def test_filters_reach_the_scan(spark):
     assert "l_shipdate" not in plan and "l_quantity" not in plan
 
 
+def test_documents_are_weighed_in_their_row(spark):
+    # only words and n-grams are shuffled; nothing is by document
+    df = QUERIES["doc_top_keywords"](spark, PATH)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(term" in plan
+
+
 def test_topics_are_nearest_and_repeatable(spark):
     first = {tuple(r) for r in QUERIES["topic_clusters"](spark, PATH).collect()}
     again = {tuple(r) for r in QUERIES["topic_clusters"](spark, PATH).collect()}
