@@ -219,21 +219,16 @@ def encode_decode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: st
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = TextCoder(tokenizer)
         for batch, values in texts(batches):
-            for at in range(0, len(values), 256):
-                counts, ids, decoded = [], [], []
-                for n, i, d in coder.code(values[at : at + 256]):
-                    counts.append(n)
-                    ids.append(i)
-                    decoded.append(d)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(at, 256),
-                        pa.array(counts, pa.int64()),
-                        pa.array(ids, pa.binary()).cast(pa.string()),
-                        pa.array(decoded, pa.binary()).cast(pa.string()),
-                    ],
-                    ["doc_id", "n_tokens", "ids", "decoded"],
-                )
+            counts, ids, decoded = zip(*coder.code(values))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0),
+                    pa.array(counts, pa.int64()),
+                    pa.array(ids, pa.binary()).cast(pa.string()),
+                    pa.array(decoded, pa.binary()).cast(pa.string()),
+                ],
+                ["doc_id", "n_tokens", "ids", "decoded"],
+            )
 
     picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     return picked.mapInArrow(run, f"doc_id {kind}, n_tokens bigint, ids string, decoded string")

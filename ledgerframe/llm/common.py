@@ -49,7 +49,18 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(text, GAP, -1), "")
 
 
-def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Each batch with its column ``text`` as strings; NULL is empty."""
+# texts that a Python worker holds as strings at once
+SLICE_ROWS = 256
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches, a few at a time."""
     for batch in batches:
-        yield batch, [t or "" for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
+def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """The rows, a few at a time, with their column ``text`` as strings; NULL is empty."""
+    for part in slices(batches):
+        yield part, [t or "" for t in part.column(part.schema.get_field_index("text")).to_pylist()]

@@ -12,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 TAG = re.compile(r"""<(/?)([A-Za-z][^\s/<>]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/<>]*+)([^<>]*+)>?|<[!?/][^>]*+>?""")
 MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
@@ -270,7 +272,7 @@ def extract(pages: DataFrame, key: str = "page_id", url: str = "url", html: str
     kinds = [pages.schema[c].dataType.simpleString() for c in (key, url)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [main_text(h) if h else "" for h in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.string())], ["page_id", "url", "text"]

@@ -22,7 +22,7 @@ OTHER_SPACE = re.compile(
     r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
 )
 # segments a task remembers before it starts anew
-KNOWN_SEGMENTS = 500_000
+KNOWN_SEGMENTS = 150_000
 GROUP = 1000
 
 
@@ -94,29 +94,28 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = SegmentEncoder(tokenizer)
         for batch, values in texts(batches):
-            for at in range(0, len(values), 256):
-                rows, pieces, starts, lengths, ids = [], [], [], [], []
-                for row, found in enumerate(encoder.encode(values[at : at + 256]), at):
-                    flat = found + END_ID
-                    size = len(flat) // 4
-                    head = size % capacity or capacity
-                    for piece, lo in enumerate([0, *range(head, size, capacity)]):
-                        hi = lo + capacity if piece else head
-                        rows.append(row)
-                        pieces.append(piece)
-                        starts.append(lo)
-                        lengths.append(hi - lo)
-                        ids.append(flat[4 * lo : 4 * hi])
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).take(pa.array(rows, pa.int64())),
-                        pa.array(pieces, pa.int32()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(lengths, pa.int64()),
-                        pa.array(ids, pa.binary()),
-                    ],
-                    ["doc_id", "piece", "start", "length", "ids"],
-                )
+            rows, pieces, starts, lengths, ids = [], [], [], [], []
+            for row, found in enumerate(encoder.encode(values)):
+                flat = found + END_ID
+                size = len(flat) // 4
+                head = size % capacity or capacity
+                for piece, lo in enumerate([0, *range(head, size, capacity)]):
+                    hi = lo + capacity if piece else head
+                    rows.append(row)
+                    pieces.append(piece)
+                    starts.append(lo)
+                    lengths.append(hi - lo)
+                    ids.append(flat[4 * lo : 4 * hi])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(0).take(pa.array(rows, pa.int64())),
+                    pa.array(pieces, pa.int32()),
+                    pa.array(starts, pa.int64()),
+                    pa.array(lengths, pa.int64()),
+                    pa.array(ids, pa.binary()),
+                ],
+                ["doc_id", "piece", "start", "length", "ids"],
+            )
 
     picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     return picked.mapInArrow(

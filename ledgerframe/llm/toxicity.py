@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import keep, texts
+from .common import keep, slices, texts
 
 # the chain, in order: flooding and shouting, abuse, both of them
 CATEGORIES = ("disruptive", "toxic", "disruptive_toxic")
@@ -173,7 +173,7 @@ def fit_chain(
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = sent.value
-        for batch in batches:
+        for batch in slices(batches):
             found = [[known[f] for f in features if f in known] for features in batch.column(2).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["fold", "outcomes", "features"]
@@ -214,7 +214,7 @@ def _with_probabilities(docs: DataFrame, chain: Chain, text: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = Chain(*sent.value)
-        for batch in batches:
+        for batch in slices(batches):
             found = [model.probabilities(t or "") for t in batch.column(at).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(found, pa.list_(pa.float64()))], [*cols, "__p"])
 
