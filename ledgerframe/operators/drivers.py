@@ -14,6 +14,8 @@ from ..functions.rows import literal_rows
 def driver_model(revenue: DataFrame) -> DataFrame:
     """Customers, revenue per customer and churn by month and segment.
 
+    ``revenue`` should be at segment grain: customers of finer cells are added up.
+
     Rows without a customer count are left out. Churn is over the closing base.
     """
     sums = (
@@ -73,11 +75,19 @@ def whatif_impact(adjusted: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def opex_per_headcount(opex: DataFrame, heads: DataFrame) -> DataFrame:
-    """Monthly expense (cost of sales included) over heads, for months that have both."""
-    cost = opex.groupBy("period").agg(F.sum("amount").alias("amount"))
-    people = heads.groupBy("period").agg(F.sum("headcount").alias("total_headcount"))
-    return cost.join(people, "period").select(
+def opex_per_headcount(opex: DataFrame, heads: DataFrame | None = None) -> DataFrame:
+    """Monthly expense (cost of sales included) over heads, for months that have both.
+
+    Without ``heads`` the expense table has the ``headcount`` too.
+    """
+    amount, people = F.sum("amount").alias("amount"), F.sum("headcount").alias("total_headcount")
+    if heads is None:
+        both = opex.groupBy("period").agg(amount, people)
+    else:
+        both = opex.groupBy("period").agg(amount).join(
+            heads.groupBy("period").agg(people), "period"
+        )
+    return both.select(
         "period",
         dbl("amount").alias("amount"),
         "total_headcount",

@@ -30,11 +30,14 @@ MODELS = (LINEAR, FOREST, BOOSTING)
 SEED = 42
 
 
+TREES = {FOREST: 300, BOOSTING: 250}
+
+
 def _estimators() -> dict[str, Callable]:
     common = {"featuresCol": "x", "labelCol": "y", "predictionCol": "prediction", "seed": SEED}
     return {
-        FOREST: lambda: RandomForestRegressor(numTrees=300, maxDepth=5, **common),
-        BOOSTING: lambda: GBTRegressor(maxIter=250, maxDepth=3, stepSize=0.05, **common),
+        FOREST: lambda n: RandomForestRegressor(numTrees=n, maxDepth=5, **common),
+        BOOSTING: lambda n: GBTRegressor(maxIter=n, maxDepth=3, stepSize=0.05, **common),
     }
 
 
@@ -43,9 +46,15 @@ def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[StructField]:
 
 
 def _least_squares(x: np.ndarray, y: np.ndarray) -> tuple[float, np.ndarray]:
-    """Intercept and coefficients on centred columns (least norm when undetermined)."""
+    """Intercept and coefficients (least norm in standard units when undetermined).
+
+    Columns are brought to mean 0 and deviation 1, so that which of them are redundant
+    does not depend on whether they count months or money.
+    """
     mx, my = x.mean(axis=0), y.mean()
-    b = np.linalg.lstsq(x - mx, y - my, rcond=None)[0]
+    spread = x.std(axis=0)
+    spread[spread == 0] = 1.0
+    b = np.linalg.lstsq((x - mx) / spread, y - my, rcond=1e-10)[0] / spread
     return float(my - mx @ b), b
 
 
@@ -117,14 +126,20 @@ def _assembled(df: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> DataF
     return VectorAssembler(inputCols=list(columns), outputCol="x").transform(df)
 
 
-def fit_tree(model_name: str, train: DataFrame):
-    """Fit a tree model on train rows of one or many series together."""
-    return _estimators()[model_name]().fit(_assembled(train.select(*FEATURES, "y")))
+def fit_tree(model_name: str, train: DataFrame, trees: int | None = None):
+    """Fit a tree model on train rows of one or many series together.
+
+    ``train`` is read several times: cut it first.
+    """
+    count = TREES[model_name] if trees is None else trees
+    return _estimators()[model_name](count).fit(_assembled(train.select(*FEATURES, "y")))
 
 
-def tree_predictions(model_name: str, split: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Holdout predictions of a tree model fitted on all train rows."""
-    model = fit_tree(model_name, split.filter(F.col("split") == "train"))
+def tree_predictions(
+    model_name: str, split: DataFrame, keys: Sequence[str] = (), trees: int | None = None
+) -> DataFrame:
+    """Holdout predictions of a tree model fitted on all train rows; cut ``split`` first."""
+    model = fit_tree(model_name, split.filter(F.col("split") == "train"), trees)
     test = _assembled(split.filter(F.col("split") == "test"))
     return model.transform(test).select(
         *keys,
@@ -135,13 +150,15 @@ def tree_predictions(model_name: str, split: DataFrame, keys: Sequence[str] = ()
     )
 
 
-def fit_predict(model_name: str, split: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+def fit_predict(
+    model_name: str, split: DataFrame, keys: Sequence[str] = (), trees: int | None = None
+) -> DataFrame:
     """Long-form holdout predictions of any model by its name."""
     if model_name in BASELINES:
         return baseline_predictions(split, keys, models=[model_name])
     if model_name == LINEAR:
         return linear_predictions(split, keys)
-    return tree_predictions(model_name, split, keys)
+    return tree_predictions(model_name, split, keys, trees)
 
 
 def forecast_linear_recursive(
@@ -158,6 +175,7 @@ def refit_forecast(
     features: DataFrame,
     horizon: int,
     keys: Sequence[str] = (),
+    trees: int | None = None,
 ) -> DataFrame:
     """Months ahead of any model by its name, refitted on every complete row."""
     if model_name in BASELINES:
@@ -166,7 +184,7 @@ def refit_forecast(
     if model_name == LINEAR:
         ahead = forecast_linear_recursive(series, features, horizon, keys)
     else:
-        ahead = forecast_tree_recursive(model_name, series, features, horizon, keys)
+        ahead = forecast_tree_recursive(model_name, series, features, horizon, keys, trees)
     return ahead.select(*keys, "period", F.lit(model_name).alias("model"), "forecast")
 
 
@@ -176,13 +194,14 @@ def forecast_tree_recursive(
     features: DataFrame,
     horizon: int,
     keys: Sequence[str] = (),
+    trees: int | None = None,
 ) -> DataFrame:
     """Months ahead of a tree model refitted on every complete row.
 
     One row per series goes through the model once per month ahead; each prediction is
     appended to the series' recent values before the next.
     """
-    model = fit_tree(model_name, features)
+    model = fit_tree(model_name, features, trees)
     state = history(series, keys).withColumn(
         "out", F.expr("CAST(array() AS array<double>)")
     )

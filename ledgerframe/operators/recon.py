@@ -62,7 +62,8 @@ def orphan_accounts(gl: DataFrame, accounts: DataFrame) -> DataFrame:
 
 
 def recon_revenue(gl: DataFrame, revenue: DataFrame) -> DataFrame:
-    """Ledger credits against the revenue fact, month by month; the variance must be 0."""
+    """Ledger credits against the revenue fact, month by month; a variance other than 0 is
+    a gap in one of them."""
     ledger = (
         gl.filter(F.col("debit_credit") == "C")
         .groupBy("period")

@@ -88,38 +88,50 @@ line AS (
   LEFT JOIN home sh ON s_nationkey = sh.n_nationkey),
 post AS (
   SELECT period, 'Revenue' AS line_type, profit_center AS dim1, rev_company AS dim2,
-         rev_account AS gl_account, revenue AS amount, l_orderkey, l_linenumber, l_partkey
+         rev_account AS gl_account, revenue AS amount, l_orderkey, l_linenumber, l_partkey,
+         supplier, revenue AS rev, expense AS exp, rev_account, exp_account
   FROM line
   UNION ALL
   SELECT period, 'Opex', cost_center, exp_company, exp_account, expense,
-         l_orderkey, l_linenumber, l_partkey
+         l_orderkey, l_linenumber, l_partkey, supplier, revenue, expense, rev_account, exp_account
   FROM line),
 act AS (
   SELECT period, dim1, dim2, gl_account, line_type, sum(amount) AS actual_amount
   FROM post GROUP BY ALL)"""
 
-REV_FACT = """
-sub AS (
-  SELECT customer, profit_center, rev_company AS company_code, rev_account AS gl_account,
-         min(period) AS first_month, max(period) AS last_month
+
+
+def _rev_fact(name: str, grain: dict[str, str]) -> str:
+    """Customer counts by the grain's columns; nobody churns in the last month on record."""
+    own = ", ".join(f"{c} AS {k}" for k, c in grain.items())
+    same = " AND ".join(f"l.{c} = s.{k}" for k, c in grain.items())
+    return f"""
+{name}_sub AS (
+  SELECT customer, {own}, min(period) AS first_month, max(period) AS last_month
   FROM line GROUP BY ALL),
-rev_fact AS (
-  SELECT l.period, l.profit_center, l.rev_company AS company_code, l.rev_account AS gl_account,
+{name} AS (
+  SELECT l.period, {', '.join(f'l.{c} AS {k}' for k, c in grain.items())},
          CAST(count(DISTINCT l.customer) AS DOUBLE) AS customers,
          sum(l.revenue) AS revenue,
          CAST(count(DISTINCT CASE WHEN s.first_month = l.period THEN l.customer END) AS DOUBLE)
            AS new_logos,
-         CAST(count(DISTINCT CASE WHEN s.last_month = l.period THEN l.customer END) AS DOUBLE)
-           AS churned_customers
-  FROM line l JOIN sub s ON l.customer = s.customer AND l.profit_center = s.profit_center
-   AND l.rev_company = s.company_code AND l.rev_account = s.gl_account
-  GROUP BY 1, 2, 3, 4)"""
+         CAST(count(DISTINCT CASE WHEN s.last_month = l.period AND l.period <
+              (SELECT CAST(date_trunc('month', max(o_orderdate)) AS DATE) FROM orders)
+              THEN l.customer END) AS DOUBLE) AS churned_customers
+  FROM line l JOIN {name}_sub s ON l.customer = s.customer AND {same}
+  GROUP BY ALL)"""
+
+
+REV_FACT = _rev_fact("rev_fact", {
+    "profit_center": "profit_center", "company_code": "rev_company", "gl_account": "rev_account",
+})
+SEG_FACT = _rev_fact("seg_fact", {"profit_center": "profit_center"})
 
 DRIVERS = """
 drv AS (
   SELECT period, profit_center, sum(customers) AS customers, CAST(sum(revenue) AS DOUBLE) AS revenue,
          sum(new_logos) AS new_logos, sum(churned_customers) AS churned
-  FROM rev_fact WHERE customers IS NOT NULL GROUP BY period, profit_center),
+  FROM seg_fact WHERE customers IS NOT NULL GROUP BY period, profit_center),
 drv2 AS (
   SELECT *, revenue / nullif(customers, 0) AS arpu, churned / nullif(customers, 0) AS churn FROM drv),
 adj AS (
@@ -483,6 +495,11 @@ oracle(
     f"""SELECT period, cost_center, exp_company AS company_code, exp_account AS gl_account,
   {dbl('sum(expense)')} AS amount FROM line GROUP BY 1, 2, 3, 4""",
 )
+oracle("csv_round_trip", [], ORACLES["opex_fact"])
+oracle(
+    "table_round_trip", [],
+    f"SELECT * FROM ({ORACLES['opex_fact']}) WHERE year(period) = {p.FILTER_YEARS[0]}",
+)
 oracle("headcount_fact", [BASE_COST, LINE, HEADS], "SELECT * FROM head_fact")
 oracle(
     "calendar_dim", [],
@@ -495,7 +512,8 @@ FROM (SELECT unnest(generate_series(date_trunc('month', min(o_orderdate))::TIMES
 )
 oracle(
     "gl_journal", [LINE],
-    f"""SELECT l_orderkey + {order_ledger.FIRST_DOCUMENT} AS document_number,
+    f"""SELECT row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey, supplier, rev, exp,
+    rev_account, exp_account, line_type DESC) AS document_number,
   l_linenumber AS document_line, CAST(period + to_days(CAST(l_partkey % 28 AS INTEGER)) AS DATE)
     AS posting_date,
   period, dim2 AS company_code, CASE WHEN line_type = 'Revenue' THEN dim1 END AS profit_center,
@@ -519,7 +537,8 @@ WHERE a.gl_account IS NULL""",
 )
 oracle(
     "recon_revenue",
-    [LINE, "g AS (SELECT period, sum(amount) AS gl FROM post WHERE line_type = 'Revenue' GROUP BY 1)",
+    [LINE, "g AS (SELECT period, sum(amount) AS gl FROM post WHERE line_type = 'Revenue' "
+           f"AND NOT (period = DATE '{p.LEDGER_GAP[0]}' AND gl_account = {q(p.LEDGER_GAP[1])}) GROUP BY 1)",
      "f AS (SELECT period, sum(revenue) AS src FROM line GROUP BY 1)"],
     f"""SELECT coalesce(g.period, f.period) AS period, {dbl('gl')} AS gl_revenue,
   {dbl('src')} AS source_revenue,
@@ -529,10 +548,12 @@ FROM g FULL OUTER JOIN f ON g.period = f.period""",
 oracle(
     "dq_negative_revenue", [LINE],
     f"""SELECT l_orderkey AS document_number, l_linenumber AS document_line, period, profit_center,
-  rev_account AS gl_account, {dbl('revenue')} AS revenue FROM line WHERE revenue < 0""",
+  rev_account AS gl_account, {dbl('signed')} AS revenue
+FROM (SELECT *, CASE WHEN rev_account = {q(order_ledger.REVENUE_ACCOUNTS['R'])} THEN -revenue ELSE revenue END
+      AS signed FROM line) WHERE signed < 0""",
 )
 oracle(
-    "dq_negative_net_new", [LINE, REV_FACT, DRIVERS],
+    "dq_negative_net_new", [LINE, SEG_FACT, DRIVERS],
     """SELECT period, profit_center, new_logos - churned AS net_new_customers FROM drv
 WHERE new_logos - churned < 0""",
 )
@@ -540,6 +561,8 @@ oracle(
     "dq_null_dimensions", [LINE, DOCS],
     """SELECT 'opex' AS table_name, count(*) AS null_rows FROM line WHERE cost_center IS NULL
 UNION ALL SELECT 'revenue', count(*) FROM line WHERE profit_center IS NULL
+UNION ALL SELECT 'line_without_order', count(*) FROM lineitem
+  WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey IS NOT NULL)
 UNION ALL SELECT 'authored_label', count(*) FROM docs LEFT JOIN lab USING (doc_id)
 WHERE label IS NULL""",
 )
@@ -640,6 +663,12 @@ FROM fc""",
 )
 oracle("lrp_plan", [LINE, LRP], "SELECT * FROM lrp")
 oracle("variance_budget", _BUD, variance_sql("var_b", "budget_amount"))
+_CHOSEN = (f"year(period) IN ({', '.join(map(str, p.FILTER_YEARS))}) "
+           f"AND {{}} IN {in_list(p.FILTER_SEGMENTS)}")
+oracle(
+    "variance_budget_filtered", _BUD,
+    variance_sql("var_b", "budget_amount") + " WHERE " + _CHOSEN.format("dim1"),
+)
 oracle("variance_forecast", _FC, variance_sql("var_f", "forecast_amount"))
 oracle(
     "variance_rollup_budget", _BUD,
@@ -659,13 +688,12 @@ oracle(
   AS favourable FROM vq""",
 )
 
-_DRV = [LINE, REV_FACT, DRIVERS]
-oracle(
-    "driver_model_revenue", _DRV,
-    f"""SELECT period, profit_center, customers, revenue, new_logos, churned,
+_DRV = [LINE, SEG_FACT, DRIVERS]
+_DRIVER_ROWS = """SELECT period, profit_center, customers, revenue, new_logos, churned,
   arpu AS arpu_implied, new_logos - churned AS net_new_customers,
-  churn AS churn_rate_implied FROM drv2""",
-)
+  churn AS churn_rate_implied FROM drv2"""
+oracle("driver_model_revenue", _DRV, _DRIVER_ROWS)
+oracle("driver_model_filtered", _DRV, _DRIVER_ROWS + " WHERE " + _CHOSEN.format("profit_center"))
 oracle(
     "whatif_drivers", _DRV,
     f"""SELECT period, profit_center, customers, revenue, new_logos, churned,
@@ -721,11 +749,11 @@ oracle(
 )
 oracle(
     "customer_rollforward",
-    [LINE, REV_FACT, f"""
+    [LINE, SEG_FACT, f"""
 flow AS (
   SELECT profit_center, period, sum(new_logos) AS n, sum(churned_customers) AS c,
          row_number() OVER (PARTITION BY profit_center ORDER BY period) AS i
-  FROM rev_fact GROUP BY 1, 2),
+  FROM seg_fact GROUP BY 1, 2),
 roll AS (
   SELECT profit_center, period, n, c, i,
          greatest({p.OPENING_CUSTOMERS}::DOUBLE + n - c, 0.0::DOUBLE) AS customers FROM flow WHERE i = 1

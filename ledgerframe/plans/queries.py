@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
 
@@ -74,6 +75,36 @@ def calendar_dim(t: OrderTables) -> DataFrame:
     return pnl.calendar_dim(bounds, p.AS_OF)
 
 
+def _scratch(t: OrderTables, name: str) -> str:
+    """A new folder below the cluster's shared one."""
+    shared = t.spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    return f"{shared.rstrip('/')}/ledgerframe/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def csv_round_trip(t: OrderTables) -> DataFrame:
+    """The expense fact written as CSV and read again by its declared schema."""
+    fact = order_ledger.opex_fact(t)
+    path = _scratch(t, "csv")
+    tables.write_csv(fact, path)
+    return tables.read_csv(t.spark, path, fact.schema).withColumn("amount", dbl("amount"))
+
+
+@query
+def table_round_trip(t: OrderTables) -> DataFrame:
+    """The expense fact written by fiscal year; one year of it read through a view."""
+    path = _scratch(t, "table")
+    tables.write_table(order_ledger.opex_fact(t), path)
+    tables.create_views({"stored_opex": tables.read_table(t.spark, path, "period")})
+    year = p.FILTER_YEARS[0]
+    return t.spark.sql(
+        f"SELECT period, cost_center, company_code, gl_account, CAST(amount AS DOUBLE) AS amount "
+        f"FROM stored_opex WHERE fiscal_year = {year}"
+    )
+
+
 # ---------------------------------------------------------------- ledger and checks
 
 def _journal(t: OrderTables) -> DataFrame:
@@ -107,18 +138,25 @@ def gl_orphan_accounts(t: OrderTables) -> DataFrame:
 
 @query
 def recon_revenue(t: OrderTables) -> DataFrame:
-    return recon.recon_revenue(_ledger(t), order_ledger.revenue_monthly(t, ()))
+    """Two facts that are built apart: the ledger, with its gap, and the revenue fact with
+    its dimensions."""
+    month, account = p.LEDGER_GAP
+    gap = (F.col("period") == F.lit(month)) & (F.col("gl_account") == account)
+    return recon.recon_revenue(_ledger(t).filter(~gap), order_ledger.revenue_fact(t))
 
 
 @query
 def dq_negative_revenue(t: OrderTables) -> DataFrame:
+    """Lines with negative revenue; returned goods count as credit notes here."""
+    returned = F.col("revenue_account") == order_ledger.REVENUE_ACCOUNTS["R"]
+    amount = from_cents("revenue_cents")
     lines = order_ledger.order_lines(t, {"profit_center"}).select(
         F.col("l_orderkey").alias("document_number"),
         F.col("l_linenumber").alias("document_line"),
         "period",
         "profit_center",
         F.col("revenue_account").alias("gl_account"),
-        from_cents("revenue_cents").alias("revenue"),
+        F.when(returned, -amount).otherwise(amount).alias("revenue"),
     )
     return recon.dq_negative(lines, "revenue").withColumn("revenue", dbl("revenue"))
 
@@ -126,7 +164,7 @@ def dq_negative_revenue(t: OrderTables) -> DataFrame:
 @query
 def dq_negative_net_new(t: OrderTables) -> DataFrame:
     """Segment months that lost more customers than they won."""
-    net = drivers.driver_model(order_ledger.revenue_fact(t))
+    net = _drivers(t)
     return recon.dq_negative(net, "net_new_customers").select(
         "period", "profit_center", "net_new_customers"
     )
@@ -134,10 +172,13 @@ def dq_negative_net_new(t: OrderTables) -> DataFrame:
 
 @query
 def dq_null_dimensions(t: OrderTables) -> DataFrame:
-    return recon.dq_nulls(
+    """Lines without a dimension or an order, from one pass over them; unlabelled texts."""
+    counts = order_ledger.line_gaps(t)
+    named = F.array(*[
+        F.struct(F.lit(c).alias("table_name"), F.col(c).alias("null_rows")) for c in counts.columns
+    ])
+    labels = recon.dq_nulls(
         {
-            "opex": (order_ledger.order_lines(t, ()), "cost_center"),
-            "revenue": (order_ledger.order_lines(t, {"profit_center"}), "profit_center"),
             "authored_label": (
                 t["documents"].select("doc_id").join(
                     order_ledger.authored_labels(t), "doc_id", "left"
@@ -146,6 +187,7 @@ def dq_null_dimensions(t: OrderTables) -> DataFrame:
             ),
         }
     )
+    return counts.select(F.explode(named).alias("x")).select("x.*").unionByName(labels)
 
 
 # ---------------------------------------------------------------- profit and loss
@@ -238,7 +280,10 @@ def _run_rate(actuals: DataFrame) -> DataFrame:
 
 @query
 def budget_build(t: OrderTables) -> DataFrame:
-    return planning.as_money(_budget(_actuals(t)), "budget_amount")
+    """Only the years before a budgeted one are read."""
+    years = [y - 1 for y in p.BUDGET_GROWTH]
+    base = order_ledger.postings(t, since=date(min(years), 1, 1), until=date(max(years) + 1, 1, 1))
+    return planning.as_money(_budget(pnl.monthly_actuals(base)), "budget_amount")
 
 
 @query
@@ -282,6 +327,19 @@ def variance_forecast(t: OrderTables) -> DataFrame:
     return _variance_forecast(t)
 
 
+@query
+def variance_budget_filtered(t: OrderTables) -> DataFrame:
+    """Variance of chosen years and segments, sorted; the bounds reach the scan, a year
+    before included, which the budget is made from."""
+    first, last = min(p.FILTER_YEARS), max(p.FILTER_YEARS)
+    actuals = pnl.monthly_actuals(
+        order_ledger.postings(t, since=date(first - 1, 1, 1), until=date(last + 1, 1, 1))
+    )
+    out = var.variance(_budget(actuals), actuals, "budget_amount")
+    chosen = F.year("period").isin(*p.FILTER_YEARS) & F.col("dim1").isin(*p.FILTER_SEGMENTS)
+    return out.filter(chosen).orderBy("period", "dim1", "dim2", "gl_account", "line_type")
+
+
 @query
 def variance_rollup_budget(t: OrderTables) -> DataFrame:
     return var.variance_rollup(_variance_budget(t), ["period", "line_type"], "budget_amount")
@@ -300,7 +358,15 @@ def variance_quarterly(t: OrderTables) -> DataFrame:
 # ---------------------------------------------------------------- drivers
 
 def _drivers(t: OrderTables) -> DataFrame:
-    return drivers.driver_model(order_ledger.revenue_fact(t))
+    return drivers.driver_model(order_ledger.revenue_fact(t, ["profit_center"]))
+
+
+@query
+def driver_model_filtered(t: OrderTables) -> DataFrame:
+    """Drivers of chosen years and segments, sorted. Who is new or gone depends on all
+    months, so the years are chosen from the result."""
+    chosen = F.year("period").isin(*p.FILTER_YEARS) & F.col("profit_center").isin(*p.FILTER_SEGMENTS)
+    return _drivers(t).filter(chosen).orderBy("period", "profit_center")
 
 
 @query
@@ -324,7 +390,7 @@ def whatif_impact(t: OrderTables) -> DataFrame:
 
 @query
 def opex_per_headcount(t: OrderTables) -> DataFrame:
-    return drivers.opex_per_headcount(order_ledger.opex_total(t), order_ledger.headcount_fact(t))
+    return drivers.opex_per_headcount(order_ledger.cost_and_heads(t))
 
 
 @query
@@ -350,7 +416,7 @@ def allocate_by_mix(t: OrderTables) -> DataFrame:
 @query
 def customer_rollforward(t: OrderTables) -> DataFrame:
     return drivers.customer_rollforward(
-        order_ledger.revenue_fact(t), ["profit_center"], p.OPENING_CUSTOMERS
+        order_ledger.revenue_fact(t, ["profit_center"]), ["profit_center"], p.OPENING_CUSTOMERS
     )
 
 
@@ -502,18 +568,39 @@ def forecast_best(t: OrderTables) -> DataFrame:
     return _rounded(forecast.pick_best(ahead, best, PANEL), 2, ["forecast"])
 
 
+def _cut_split(t: OrderTables) -> DataFrame:
+    """The panel's feature rows, written once: every fit reads them, none the ledger."""
+    return text.cut(_split(_panel(t), PANEL))
+
+
+TREES = {models.FOREST: lambda: p.FOREST_TREES, models.BOOSTING: lambda: p.BOOSTING_ROUNDS}
+
+
+def _tree(t: OrderTables, model: str) -> DataFrame:
+    out = models.tree_predictions(model, _cut_split(t), PANEL, TREES[model]())
+    return _rounded(out, 2, ["prediction"])
+
+
 @query
 def forecast_rf(t: OrderTables) -> DataFrame:
-    return _rounded(
-        models.tree_predictions(models.FOREST, _split(_company(t))), 2, ["prediction"]
-    )
+    """One forest for all segments and companies."""
+    return _tree(t, models.FOREST)
 
 
 @query
 def forecast_gbt(t: OrderTables) -> DataFrame:
-    return _rounded(
-        models.tree_predictions(models.BOOSTING, _split(_company(t))), 2, ["prediction"]
+    return _tree(t, models.BOOSTING)
+
+
+@query
+def forecast_tree_recursive(t: OrderTables) -> DataFrame:
+    """Boosting refitted on every complete row and rolled forward month by month."""
+    panel = text.cut(_panel(t))
+    out = models.forecast_tree_recursive(
+        models.BOOSTING, panel, forecast.forecast_features(panel, PANEL), p.HORIZON, PANEL,
+        p.BOOSTING_ROUNDS,
     )
+    return _rounded(out, 2, ["forecast"])
 
 
 @query
@@ -526,15 +613,48 @@ def forecast_recursive(t: OrderTables) -> DataFrame:
     return _rounded(out, 2, ["forecast"])
 
 
+def _six(split: DataFrame) -> DataFrame:
+    """Holdout predictions of all six models."""
+    out = forecast.baseline_predictions(split, PANEL)
+    for name in models.MODELS:
+        trees = TREES[name]() if name in TREES else None
+        out = out.unionByName(models.fit_predict(name, split, PANEL, trees))
+    return out
+
+
 @query
 def model_leaderboard(t: OrderTables) -> DataFrame:
-    """All six models on the company series. The monthly rows are written once: each
-    model reads them, and none should read the ledger again."""
-    split = text.cut(_split(_company(t)))
-    holdout = forecast.baseline_predictions(split)
+    """All six models over all series."""
+    return forecast.leaderboard(_metrics(forecast.accuracy(_six(_cut_split(t)))))
+
+
+SHORT = {
+    forecast.NAIVE: "naive", forecast.MOVING_AVERAGE: "moving_average", forecast.TREND: "trend",
+    models.LINEAR: "linear", models.FOREST: "forest", models.BOOSTING: "boosting",
+}
+
+
+@query
+def holdout_wide_all(t: OrderTables) -> DataFrame:
+    """Actuals beside the predictions of all six models."""
+    wide = forecast.holdout_wide(_six(_cut_split(t)), list(SHORT), PANEL)
+    return _rounded(wide.withColumnsRenamed(SHORT), 2, list(SHORT.values()))
+
+
+@query
+def forecast_best_of_all(t: OrderTables) -> DataFrame:
+    """Each series forecast by the one of six models that won its holdout, refitted."""
+    panel = text.cut(_panel(t))
+    features = text.cut(forecast.forecast_features(panel, PANEL))
+    holdout = _six(forecast.holdout_split(features, p.HOLDOUT, PANEL))
+    best = forecast.best_model(forecast.accuracy(holdout, PANEL), PANEL)
+    ahead = forecast.forecast_baselines(panel, p.HORIZON, PANEL)
     for name in models.MODELS:
-        holdout = holdout.unionByName(models.fit_predict(name, split))
-    return forecast.leaderboard(_metrics(forecast.accuracy(holdout)))
+        trees = TREES[name]() if name in TREES else None
+        ahead = ahead.unionByName(
+            models.refit_forecast(name, panel, features, p.HORIZON, PANEL, trees)
+        )
+    return _rounded(forecast.pick_best(ahead, best, PANEL), 2, ["forecast"])
 
 
 # ---------------------------------------------------------------- commentary

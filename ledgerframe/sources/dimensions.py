@@ -33,13 +33,11 @@ CHART_OF_ACCOUNTS = (
     ("660000", "Depreciation & Amortization", "Opex", "Opex", "D"),
 )
 
-# Planning scenarios (name, revenue growth, churn, opex growth, text).
+# Planning scenarios (name, revenue growth, churn, opex growth); own texts.
 SCENARIOS = (
-    ("Base", 0.0, 0.0, 0.0, "Latest board-approved forecast trajectory."),
-    ("Upside", 0.045, -0.006, 0.015,
-     "Faster net-new logo growth + lower churn; opex flexes up to support delivery."),
-    ("Downside", -0.055, 0.010, -0.020,
-     "Macro slowdown compresses new business and expands churn; discretionary opex cut in response."),
+    ("Base", 0.0, 0.0, 0.0, "As forecast."),
+    ("Upside", 0.045, -0.006, 0.015, "More growth, fewer leavers, some more cost."),
+    ("Downside", -0.055, 0.010, -0.020, "Less growth, more leavers, cost cut."),
 )
 
 # Share of payroll cost by account.

@@ -30,7 +30,9 @@ REVENUE_ACCOUNTS = {"A": "400000", "N": "400100", "R": "400200"}
 EXPENSE_ACCOUNTS = {"A": "600000", "N": "600100", "R": "610000"}
 COGS_ACCOUNT = "500000"
 COST_PERCENT = 70
-FIRST_DOCUMENT = 4900000001
+# lines of an order key range that one task numbers, and ranges that one task adds up
+ORDER_RANGE = 1 << 12
+RANGE_GROUP = 1 << 12
 FIRST_YEAR = 1995
 FIRST_QUARTER = date(1995, 1, 1)
 COMMENTARY_QUARTERS = 26
@@ -52,23 +54,21 @@ COST_CENTER_ROWS = (
 )
 # loaded yearly cost per head in the first year
 LOADED_COST_ROWS = (
-    ("1-URGENT", 118000.0),
-    ("2-HIGH", 152000.0),
-    ("3-MEDIUM", 105000.0),
-    ("4-NOT SPECIFIED", 98000.0),
-    ("5-LOW", 122000.0),
+    ("1-URGENT", 90000.0),
+    ("2-HIGH", 84000.0),
+    ("3-MEDIUM", 76000.0),
+    ("4-NOT SPECIFIED", 70000.0),
+    ("5-LOW", 64000.0),
 )
-# non-payroll cost as a share of payroll, depreciation included
-COST_RATIO_ROWS = (
-    ("1-URGENT", "610000", 0.35), ("1-URGENT", "620000", 0.05),
-    ("1-URGENT", "630000", 0.04), ("1-URGENT", "640000", 0.03),
-    ("2-HIGH", "630000", 0.07), ("2-HIGH", "640000", 0.03), ("2-HIGH", "620000", 0.015),
-    ("2-HIGH", "660000", 0.03),
-    ("3-MEDIUM", "650000", 0.15), ("3-MEDIUM", "630000", 0.04), ("3-MEDIUM", "640000", 0.03),
-    ("3-MEDIUM", "660000", 0.03),
-    ("4-NOT SPECIFIED", "630000", 0.05), ("4-NOT SPECIFIED", "620000", 0.02),
-    ("4-NOT SPECIFIED", "640000", 0.03),
-    ("5-LOW", "500000", 3.50), ("5-LOW", "500100", 1.50),
+# non-payroll cost as a share of payroll
+COST_RATIO_ROWS = tuple(
+    (centre, account, ratio)
+    for centre, scale in (
+        ("1-URGENT", 3), ("2-HIGH", 2), ("3-MEDIUM", 2), ("4-NOT SPECIFIED", 1), ("5-LOW", 1),
+    )
+    for account, ratio in (
+        ("500000", 0.5 * scale), ("620000", 0.02 * scale), ("630000", 0.04), ("640000", 0.05),
+    )
 )
 
 LINE_COLUMNS = frozenset({"profit_center", "revenue_company", "expense_company"})
@@ -286,16 +286,46 @@ def postings(
 
 
 def line_postings(t: OrderTables) -> DataFrame:
-    """Postings of single order lines with document number, line and posting date."""
+    """Postings of single order lines with a unique document number, line and date.
+
+    Documents are numbered from 1 in the order of their keys, the sale of a line before
+    its cost. Numbers are counted within ranges of order keys, the ranges' sizes added up
+    within groups of ranges, and those of the groups at last, so the widest window sees
+    one row for millions of orders.
+    """
     lines = order_lines(t).select(
         "*",
-        (F.col("l_orderkey") + F.lit(FIRST_DOCUMENT)).alias("document_number"),
         F.col("l_linenumber").alias("document_line"),
         F.date_add("period", (F.col("l_partkey") % 28).cast("int")).alias("posting_date"),
+        F.floor(F.col("l_orderkey") / ORDER_RANGE).alias("range"),
+    )
+    natural = ["l_orderkey", "l_linenumber", "l_partkey", "supplier", "revenue_cents",
+               "expense_cents", "revenue_account", "expense_account"]
+    nth = F.row_number().over(Window.partitionBy("range").orderBy(*natural)) - 1
+
+    def before(df: DataFrame, keys: list[str], order: str, size: str) -> Column:
+        w = Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(size).over(w), F.lit(0))
+
+    group = F.floor(F.col("range") / RANGE_GROUP).alias("group")
+    # the ranges' sizes need the line keys alone, none of the dimensions
+    keys = order_lines(t, ()).select(F.floor(F.col("l_orderkey") / ORDER_RANGE).alias("range"))
+    ranges = keys.groupBy("range").agg(F.count(F.lit(1)).alias("n")).select("range", group, "n")
+    groups = ranges.groupBy("group").agg(F.sum("n").alias("n"))
+    groups = groups.select("group", before(groups, [], "group", "n").alias("g"))
+    ranges = ranges.select("range", "group", before(ranges, ["group"], "range", "n").alias("r"))
+    bases = ranges.join(groups, "group").select("range", (F.col("r") + F.col("g")).alias("base"))
+    numbered = lines.withColumn("nth", nth).join(bases, "range")
+    first = 2 * (F.col("base") + F.col("nth")) + 1
+    kept = ["sale_number", "document_line", "posting_date", "period"]
+    rows = _both_sides(
+        numbered.withColumn("sale_number", first), kept, ["dim1", "dim2", "gl_account", "cents"]
+    )
+    number = F.col("sale_number") + F.when(F.col("line_type") == "Revenue", 0).otherwise(1)
+    return rows.select(
+        number.alias("document_number"), *kept[1:], "line_type", "dim1", "dim2", "gl_account",
+        from_cents("cents").cast(MONEY).alias("amount"),
     )
-    keep = ["document_number", "document_line", "posting_date", "period"]
-    rows = _both_sides(lines, keep, ["dim1", "dim2", "gl_account", "cents"])
-    return rows.withColumn("amount", from_cents("cents").cast(MONEY)).drop("cents")
 
 
 def account_postings(t: OrderTables) -> DataFrame:
@@ -321,20 +351,26 @@ def revenue_monthly(
     return sums.select("period", *by, from_cents("cents").alias("revenue"))
 
 
-def revenue_fact(t: OrderTables) -> DataFrame:
-    """Monthly revenue with customer counts at segment x company x account grain.
+GRAIN = ("profit_center", "company_code", "gl_account")
+
+
+def revenue_fact(t: OrderTables, grain: Collection[str] = GRAIN) -> DataFrame:
+    """Monthly revenue with customer counts, by segment, company and account or by fewer.
 
-    A customer is new in the first month they buy in a (segment, account) and churned in
-    the last one. Lines are first reduced to one row per customer and month; the look
+    A customer is new in the first month they buy in a cell of the grain and churned in
+    the last one, unless that is the last month on record: who buys in it has not left.
+    Customers are counted once per cell, so counts of a finer grain don't add up to those
+    of a coarser one. Lines are first reduced to one row per customer and month; the look
     at a customer's own months is bounded by the number of months.
     """
-    grain = ["profit_center", "company_code", "gl_account"]
+    grain = list(grain)
+    names = {"company_code": "revenue_company", "gl_account": "revenue_account"}
     monthly = (
-        order_lines(t, {"profit_center", "revenue_company"})
-        .withColumnsRenamed({"revenue_company": "company_code", "revenue_account": "gl_account"})
-        .groupBy("customer", *grain, "period")
+        order_lines(t, {names.get(k, k) for k in grain} & LINE_COLUMNS)
+        .groupBy("customer", *[F.col(names.get(k, k)).alias(k) for k in grain], "period")
         .agg(F.sum("revenue_cents").alias("cents"))
     )
+    end = t["orders"].agg(F.max(month_start("o_orderdate")).alias("end")).scalar()
     own = Window.partitionBy("customer", *grain)
     first, last = F.min("period").over(own), F.max("period").over(own)
     flagged = monthly.select(
@@ -342,17 +378,18 @@ def revenue_fact(t: OrderTables) -> DataFrame:
         "period",
         "cents",
         (F.col("period") == first).cast("int").alias("is_new"),
-        (F.col("period") == last).cast("int").alias("is_churned"),
+        (F.col("period") == last).cast("int").alias("is_last"),
     )
     fact = flagged.groupBy("period", *grain).agg(
         dbl(F.count(F.lit(1))).alias("customers"),
         from_cents(F.sum("cents")).alias("revenue"),
         dbl(F.sum("is_new")).alias("new_logos"),
-        dbl(F.sum("is_churned")).alias("churned_customers"),
+        dbl(F.sum("is_last")).alias("n_last"),
     )
     return fact.select(
         "period", *grain, "customers", safe_div("revenue", "customers").alias("arpu"),
-        "revenue", "new_logos", "churned_customers",
+        "revenue", "new_logos",
+        F.when(F.col("period") < end, F.col("n_last")).otherwise(0.0).alias("churned_customers"),
     )
 
 
@@ -369,6 +406,37 @@ def opex_fact(t: OrderTables) -> DataFrame:
     )
 
 
+def cost_and_heads(t: OrderTables) -> DataFrame:
+    """Monthly expense and heads by cost centre and company, from one pass: lines are
+    summed per supplier first, and a supplier is a head."""
+    per_supplier = _expense_lines(t).groupBy(
+        "period", "cost_center", "company_code", "supplier"
+    ).agg(F.sum("expense_cents").alias("cents"))
+    return per_supplier.groupBy("period", "cost_center", "company_code").agg(
+        dbl(F.count("supplier")).alias("headcount"), from_cents(F.sum("cents")).alias("amount")
+    )
+
+
+def line_gaps(t: OrderTables) -> DataFrame:
+    """One row of counts: lines without a cost centre, without a segment, without an order.
+
+    One pass over the lines; order_lines leaves those without an order out of every fact.
+    """
+    headers = t["orders"].select("o_orderkey", F.col("o_orderpriority").alias("cost_center"))
+    kinds = t["part"].select("p_partkey", F.col("p_type").alias("profit_center"))
+    lines = (
+        t["lineitem"].select("l_orderkey", "l_partkey")
+        .join(headers, F.col("l_orderkey") == F.col("o_orderkey"), "left")
+        .join(kinds, F.col("l_partkey") == F.col("p_partkey"), "left")
+    )
+    known = F.col("o_orderkey").isNotNull()
+    return lines.agg(
+        F.count_if(known & F.col("cost_center").isNull()).alias("opex"),
+        F.count_if(known & F.col("profit_center").isNull()).alias("revenue"),
+        F.count_if(~known).alias("line_without_order"),
+    )
+
+
 def opex_total(t: OrderTables) -> DataFrame:
     """Monthly expense of the company."""
     return order_lines(t, ()).groupBy("period").agg(

@@ -11,15 +11,21 @@ from pyspark.sql.types import StructType
 from ..functions.periods import fiscal_year
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """CSV with a header, read by a declared schema; a malformed row fails the read."""
+def read_csv(
+    spark: SparkSession, path: str, schema: StructType, multi_line: bool = False
+) -> DataFrame:
+    """CSV with a header, read by a declared schema; a malformed row fails the read.
+
+    Only files of free text need ``multi_line``: it takes line breaks within quotes, but a
+    file is then read by one task.
+    """
     return (
         spark.read.schema(schema)
         .option("header", True)
         .option("mode", "FAILFAST")
         .option("dateFormat", "yyyy-MM-dd")
         .option("escape", '"')
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
@@ -40,11 +46,11 @@ def write_csv(df: DataFrame, path: str) -> None:
 def write_table(df: DataFrame, path: str, period: str = "period") -> None:
     """Parquet laid out by fiscal year, so that year filters skip whole directories.
 
-    The rows are not gathered by year first: one year may hold most of a ledger, and
-    each task can write its own file into every year directory it has rows for.
+    The rows are rebalanced by year: adaptive execution splits a large year over tasks and
+    puts small ones together, so there are few files and none is made by one overfull task.
     """
     out = df if "fiscal_year" in df.columns else df.withColumn("fiscal_year", fiscal_year(period))
-    out.write.mode("overwrite").partitionBy("fiscal_year").parquet(path)
+    out.hint("rebalance", "fiscal_year").write.mode("overwrite").partitionBy("fiscal_year").parquet(path)
 
 
 def create_views(frames: Mapping[str, DataFrame]) -> None:
