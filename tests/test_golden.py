@@ -89,27 +89,16 @@ def test_random_forest_range(spark):
     assert preds.count() == 6 and 0 < row["MAPE"] < 0.06
 
 
-def test_refit_by_name(spark, monkeypatch):
-    def small(cls, **kw):
-        return lambda: cls(featuresCol="x", labelCol="y", predictionCol="prediction", seed=1, **kw)
-
-    monkeypatch.setattr(
-        models,
-        "_estimators",
-        lambda: {
-            models.FOREST: small(models.RandomForestRegressor, numTrees=5, maxDepth=3),
-            models.BOOSTING: small(models.GBTRegressor, maxIter=3, maxDepth=2),
-        },
-    )
+def test_refit_by_name(spark):
     s = series(spark, CUTOFF)
     features = forecast.forecast_features(s)
     low, high = min(r[1] for r in g.MONTHLY_PNL), max(r[1] for r in g.MONTHLY_PNL)
     for name in (models.FOREST, models.BOOSTING):
-        rows = models.refit_forecast(name, s, features, 6).orderBy("period").collect()
+        rows = models.refit_forecast(name, s, features, 6, trees=5).orderBy("period").collect()
         assert [str(r["period"])[:7] for r in rows] == [f"2026-{m:02d}" for m in range(7, 13)]
         assert all(low <= r["forecast"] <= high for r in rows)
         # the first step sees the true history: same as one prediction by hand
-        model = models.fit_tree(name, features)
+        model = models.fit_tree(name, features, 5)
         recent = [r[1] for r in g.MONTHLY_PNL if r[0] <= CUTOFF][-12:]
         x = [42, 7, 3, recent[-1], recent[-2], recent[-3], recent[0],
              sum(recent[-3:]) / 3, sum(recent[-6:]) / 6]
