@@ -16,13 +16,14 @@ from .common import keep, texts
 CAPACITY = 2048
 END_ID = (0).to_bytes(4, "little")
 SPACE = " \t\n\v\f\r"
-SEGMENT = re.compile("[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
+SEGMENT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 # anything else that some definition takes for white space
 OTHER_SPACE = re.compile(
     r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
 )
-# segments a task remembers before it starts anew
-KNOWN_SEGMENTS = 150_000
+UNUSUAL = ("  ", "\n\n", " \n", "\n ", "\t", "\v", "\f", "\r")
+# segments a task remembers before it forgets rare ones, and those encoded in one go
+KNOWN_SEGMENTS = 500_000
 GROUP = 1000
 
 
@@ -35,7 +36,7 @@ class SegmentEncoder:
     text is encoded in one piece.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, remember: int = KNOWN_SEGMENTS):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -47,39 +48,71 @@ class SegmentEncoder:
         self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
         self.sizes[list(vocab.values())] = [len(name) for name in vocab]
         self.known: dict[str, bytes] = {}
+        self.remember = remember
 
     def _encode(self, values: list[str]) -> list[bytes]:
         found = self.library.encode_batch_fast(values, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _learn(self, segments: list[str]) -> None:
-        """Remember new segments. Those with white space in front are encoded many at a
-        time, one behind the other; the tokens' sizes tell where each one ends."""
+    def _learn(self, keys: list[str]) -> None:
+        """Remember the segments of new keys. Those with white space in front are encoded
+        many at a time, one behind the other; the tokens' sizes tell where each one ends."""
+        segments = [_segment(k) for k in keys]
         apart = [g[0] not in SPACE or g[-1] in SPACE for g in segments]
-        alone = [g for g, a in zip(segments, apart) if a]
-        self.known.update(zip(alone, self._encode(alone)))
-        joined = [g for g, a in zip(segments, apart) if not a]
+        alone = [(k, g) for k, g, a in zip(keys, segments, apart) if a]
+        self.known.update(zip([k for k, _ in alone], self._encode([g for _, g in alone])))
+        joined = [(k, g) for k, g, a in zip(keys, segments, apart) if not a]
         groups = [joined[at : at + GROUP] for at in range(0, len(joined), GROUP)]
-        for group, raw in zip(groups, self._encode(["".join(group) for group in groups])):
+        for group, raw in zip(groups, self._encode(["".join([g for _, g in group]) for group in groups])):
             reached = np.cumsum(self.sizes[np.frombuffer(raw, "<u4")])
-            ends = 4 * (np.searchsorted(reached, np.cumsum([len(g.encode()) for g in group])) + 1)
-            self.known.update((g, raw[lo:hi]) for g, lo, hi in zip(group, [0, *ends.tolist()], ends.tolist()))
+            ends = 4 * (np.searchsorted(reached, np.cumsum([len(g.encode()) for _, g in group])) + 1)
+            self.known.update((k, raw[lo:hi]) for (k, _), lo, hi in zip(group, [0, *ends.tolist()], ends.tolist()))
 
     def encode(self, values: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each value."""
-        plain = [not OTHER_SPACE.search(v) for v in values]
-        rows = [SEGMENT.findall(v) if p else [] for v, p in zip(values, plain)]
-        new = set().union(*rows) - self.known.keys()
-        if new and len(self.known) + len(new) > KNOWN_SEGMENTS:
-            self.known.clear()
-            new = set().union(*rows)
-        self._learn(list(new))
-        whole = iter(self._encode([v for v, p in zip(values, plain) if not p]))
-        return [b"".join(map(self.known.__getitem__, row)) if p else next(whole) for row, p in zip(rows, plain)]
+        rows = [_keys(v) for v in values]
+        if len(self.known) > self.remember:
+            # what these texts use stays, so that common words are not learned anew
+            used = set().union(*[row for row in rows if row is not None])
+            self.known = {k: self.known[k] for k in used & self.known.keys()}
+        found = [None if row is None else list(map(self.known.get, row)) for row in rows]
+        gaps = [i for i, ids in enumerate(found) if ids is not None and None in ids]
+        self._learn(list({k for i in gaps for k, ids in zip(rows[i], found[i]) if ids is None}))
+        for i in gaps:
+            found[i] = map(self.known.__getitem__, rows[i])
+        whole = iter(self._encode([v for v, row in zip(values, rows) if row is None]))
+        return [next(whole) if ids is None else b"".join(ids) for ids in found]
+
+
+def _keys(text: str) -> list[str] | None:
+    """The keys of a text's segments; None if it has to be encoded in one piece.
+
+    The key of a segment is itself, but for the usual one, a blank and a word: there it is
+    the word. A first word, without a blank, is marked by a carriage return.
+    """
+    if (not text.isascii() or any([c in text for c in "\x1c\x1d\x1e\x1f"])) and OTHER_SPACE.search(text):
+        return None
+    if not text:
+        return []
+    if text[0] in " \n" or text[-1] in " \n" or any([u in text for u in UNUSUAL]):
+        plain = [g[0] == " " and g[1:2] not in ("", *SPACE) for g in SEGMENT.findall(text)]
+        return [g[1:] if p else "\r" + g for g, p in zip(SEGMENT.findall(text), plain)]
+    out = text.replace("\n", " \n").split(" ")
+    out[0] = "\r" + out[0]
+    return out
+
+
+def _segment(key: str) -> str:
+    return key[1:] if key[0] == "\r" else key if key[0] == "\n" else " " + key
 
 
 def token_pieces(
-    docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY
+    docs: DataFrame,
+    tokenizer: str,
+    key: str = "doc_id",
+    text: str = "text",
+    capacity: int = CAPACITY,
+    remember: int = KNOWN_SEGMENTS,
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids)``: each whole text's ids in pieces that fit.
 
@@ -87,12 +120,13 @@ def token_pieces(
     ``capacity`` ids is cut into pieces of that length, the first of which may be shorter;
     ``start`` counts the document's ids before the piece. ``ids`` is the piece's ids as
     little-endian unsigned 32-bit numbers. A NULL or empty text is the end id alone.
-    ``tokenizer`` is a file that every executor can open. A narrow step.
+    ``tokenizer`` is a file that every executor can open. A task remembers the ids of about
+    ``remember`` segments, which bounds its memory. A narrow step.
     """
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = SegmentEncoder(tokenizer)
+        encoder = SegmentEncoder(tokenizer, remember)
         for batch, values in texts(batches):
             rows, pieces, starts, lengths, ids = [], [], [], [], []
             for row, found in enumerate(encoder.encode(values)):
