@@ -1,6 +1,6 @@
 """SQL counterparts of the queries, where SQL can express them."""
 
-from . import rules
+from . import pii, rules
 
 OP6 = """
 SELECT doc_id,
@@ -100,4 +100,110 @@ FROM msgs m JOIN tree r USING (c, n) JOIN threads t USING (c, n) JOIN own USING
 LEFT JOIN msgs p ON p.c = r.c AND p.n = r.parent
 """
 
-ORACLES = {"op10_chat_formatting": OP10, "op3_quality_rules": OP3, "op6_exact_dedup": OP6}
+_KINDS = ("email", "ip", "card", "phone", "cand")
+_PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",
+    "card": r"[0-9](?:[\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+    "cand": r"[0-9](?:[\x20().-]{0,2}[0-9])*",
+}
+
+
+def _matches(kind: str) -> str:
+    """Matches of a kind with their places, from what stands between them."""
+    return f"""SELECT r, '{kind}' AS kind, i, m, gap FROM (
+  SELECT r, unnest(regexp_extract_all(t, '{_PATTERNS[kind]}')) AS m,
+    unnest(list_transform(string_split_regex(t, '{_PATTERNS[kind]}')[:-2], lambda p: length(p))) AS gap,
+    generate_subscripts(regexp_extract_all(t, '{_PATTERNS[kind]}'), 1) AS i
+  FROM docs)"""
+
+
+def _round(name: str, scored: str) -> str:
+    """A pattern's trust in a kind, from the summed scores of its values."""
+    return f"""{name} AS (
+  SELECT pattern, kind, round(sum(s) / (any_value(n) + 1), 6) AS trust
+  FROM ({scored}) JOIN sizes USING (pattern) GROUP BY pattern, kind
+  HAVING round(sum(s) / (any_value(n) + 1), 6) >= {pii.WEAK})"""
+
+
+def _given(trust: str) -> str:
+    """The seeds' scores and those that trusted patterns give the candidates."""
+    return f"""SELECT * FROM fixed UNION ALL
+  SELECT pattern, g.kind, g.s FROM open_edges JOIN (
+    SELECT value, kind,
+      round(1 - exp(sum(round(ln(1.000001::DOUBLE - trust) * 1e6)::BIGINT)::DOUBLE / 1e6), 6) AS s
+    FROM open_edges JOIN {trust} USING (pattern) GROUP BY value, kind) g USING (value)"""
+
+
+OP7 = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+found AS ({' UNION ALL '.join(_matches(k) for k in _KINDS)}),
+placed AS (
+  SELECT r, kind, m, (sum(gap + length(m)) OVER w - length(m))::BIGINT AS s
+  FROM found WINDOW w AS (PARTITION BY r, kind ORDER BY i)
+), runs AS (  -- a run behind a letter starts at its next group of digits
+  SELECT r, kind, t, CASE WHEN behind THEN regexp_replace(m, '^[0-9]+[\x20().-]{{1,2}}', '') ELSE m END AS m,
+    CASE WHEN behind THEN s + length(regexp_extract(m, '^[0-9]+[\x20().-]{{1,2}}')) ELSE s END AS s,
+    behind AND NOT regexp_matches(m, '^[0-9]+[\x20().-]') AS none
+  FROM (SELECT *, kind = 'cand' AND s > 0 AND regexp_matches(substr(t, s::BIGINT, 1), '[0-9A-Za-z]') AS behind
+        FROM placed JOIN docs USING (r))
+), wide AS (
+  SELECT r, kind, t, m, s, s + length(m) AS e, regexp_replace(m, '[^0-9]+', '', 'g') AS digits
+  FROM runs WHERE NOT none
+), alone AS (
+  SELECT *, coalesce(lag(e) OVER w, 0) AS lo, coalesce(lead(s) OVER w, length(t)) AS hi
+  FROM wide
+  WHERE (kind <> 'card' OR length(digits) >= 16)
+    AND (kind <> 'cand' OR length(digits) >= 7 AND NOT regexp_matches(substr(t, (e + 1)::BIGINT, 1), '[0-9A-Za-z]'))
+  WINDOW w AS (PARTITION BY r, kind ORDER BY s)
+), words AS (
+  SELECT r, kind, m, s, e, digits,
+    lower(regexp_extract(right(substr(t, (lo + 1)::BIGINT, (s - lo)::BIGINT), {pii.CONTEXT_CHARS}), '([^ \t\n\x0b\f\r]+)[ \t\n\x0b\f\r(+]*$', 1)) AS l,
+    lower(regexp_extract(left(substr(t, (e + 1)::BIGINT, (hi - e)::BIGINT), {pii.CONTEXT_CHARS}), '^[ \t\n\x0b\f\r)]*([^ \t\n\x0b\f\r]+)', 1)) AS rw
+  FROM alone
+), base AS (
+  SELECT * FROM words WHERE kind = 'email'
+    OR kind = 'ip' AND len(list_filter(string_split(m, '.'), lambda p: length(ltrim(p, '0')) > 3
+        OR coalesce(try_cast(ltrim(p, '0') AS INTEGER), 0) > 255)) = 0
+    OR kind = 'phone' AND length(digits) BETWEEN 8 AND 15
+    OR kind = 'card' AND length(digits) BETWEEN 16 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1),
+        lambda i: CASE WHEN i % 2 = 1 THEN substr(reverse(digits), i, 1)::INTEGER
+            ELSE 2 * substr(reverse(digits), i, 1)::INTEGER
+                - CASE WHEN substr(reverse(digits), i, 1)::INTEGER > 4 THEN 9 ELSE 0 END END)) % 10 = 0
+), cand AS (
+  SELECT * FROM words c WHERE kind = 'cand'
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = c.r AND b.s < c.e AND c.s < b.e)
+), occ AS (
+  SELECT r, s, e, kind, CASE WHEN kind = 'cand' THEN '?' ELSE kind END || ':' || m AS value,
+    unnest(CASE WHEN l = '' THEN [] WHEN rw = '' THEN [l || ' _'] ELSE [l || ' _', l || ' _ ' || rw] END) AS pattern
+  FROM (SELECT * FROM base UNION ALL SELECT * FROM cand)
+), edges AS (SELECT DISTINCT pattern, value, kind FROM occ),
+sizes AS (SELECT pattern, count(*) AS n FROM edges GROUP BY pattern),
+fixed AS (SELECT pattern, kind, count(*)::DOUBLE AS s FROM edges WHERE kind <> 'cand' GROUP BY pattern, kind),
+open_edges AS (SELECT pattern, value FROM edges WHERE kind = 'cand'),
+{_round('t1', 'SELECT * FROM fixed')},
+{_round('t2', _given('t1'))},
+{_round('t3', _given('t2'))},
+extra AS (
+  SELECT r, s, e, arg_max(kind, [trust::VARCHAR, kind]) AS kind
+  FROM (SELECT o.r, o.s, o.e, t3.kind, printf('%.6f', t3.trust) AS trust
+        FROM occ o JOIN t3 USING (pattern) WHERE o.kind = 'cand' AND t3.trust >= {pii.TRUST})
+  GROUP BY r, s, e
+), spans AS (
+  SELECT r, kind, s, e, true AS is_base FROM base UNION ALL SELECT r, kind, s, e, false FROM extra
+), listed AS (
+  SELECT r, list_position(['email', 'ip', 'card', 'phone'], kind) AS k, s, e, is_base,
+    kind || ':' || s::BIGINT || ':' || e::BIGINT AS x FROM spans
+), joined AS (
+  SELECT r, string_agg(x, ',' ORDER BY k, s, e) AS spans, string_agg(x, ',' ORDER BY k, s, e) FILTER (is_base) AS base,
+    count(*) FILTER (is_base AND k = 1) AS n_email, count(*) FILTER (is_base AND k = 2) AS n_ip,
+    count(*) FILTER (is_base AND k = 3) AS n_card, count(*) FILTER (is_base AND k = 4) AS n_phone
+  FROM listed GROUP BY r
+)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card,
+  coalesce(n_phone, 0) AS n_phone, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM docs LEFT JOIN joined USING (r)
+"""
+
+ORACLES = {"op7_pii": OP7, "op10_chat_formatting": OP10, "op3_quality_rules": OP3, "op6_exact_dedup": OP6}
