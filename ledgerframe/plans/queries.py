@@ -6,7 +6,7 @@ import uuid
 from collections.abc import Callable, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.numeric import dbl, from_cents
@@ -203,7 +203,9 @@ def pnl_cube(t: OrderTables) -> DataFrame:
     )
 
 
-def _pnl(t: OrderTables, since: date | None = None, until: date | None = None) -> DataFrame:
+def _pnl(
+    t: OrderTables, since: date | Column | None = None, until: date | None = None
+) -> DataFrame:
     postings = order_ledger.postings(t, dims=False, since=since, until=until)
     return pnl.pnl_monthly(postings, _accounts(t))
 
@@ -236,7 +238,11 @@ def yoy_revenue(t: OrderTables) -> DataFrame:
 
 @query
 def latest_kpis(t: OrderTables) -> DataFrame:
-    return pnl.latest_kpis(_pnl(t, until=_closed()))
+    """Only the last closed month on record and the year before it are read."""
+    closed = t["orders"].filter(F.col("o_orderdate") < F.lit(_closed()))
+    month = F.trunc(F.max("o_orderdate").cast("date"), "month")
+    since = closed.agg(F.add_months(month, -12).alias("since")).scalar()
+    return pnl.latest_kpis(_pnl(t, since=since, until=_closed()))
 
 
 @query

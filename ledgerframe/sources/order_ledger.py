@@ -149,8 +149,8 @@ def _region_of_nation(t: OrderTables) -> DataFrame:
 
 # ---------------------------------------------------------------- order lines
 
-def _in_range(day: Column, since: date | None, until: date | None) -> Column:
-    """``since <= day < until`` on the stored column."""
+def _in_range(day: Column, since: date | Column | None, until: date | None) -> Column:
+    """``since <= day < until`` on the stored column; ``since`` may be a scalar subquery."""
     cond = F.lit(True)
     if since is not None:
         cond = cond & (day >= F.lit(since))
@@ -160,7 +160,8 @@ def _in_range(day: Column, since: date | None, until: date | None) -> Column:
 
 
 def order_headers(
-    t: OrderTables, company: bool = False, since: date | None = None, until: date | None = None
+    t: OrderTables, company: bool = False, since: date | Column | None = None,
+    until: date | None = None
 ) -> DataFrame:
     """Order key with period, cost centre, customer and, if asked, the customer's region."""
     headers = t["orders"].filter(_in_range(F.col("o_orderdate"), since, until)).select(
@@ -190,7 +191,7 @@ def _account(flag: str, accounts: dict[str, str]) -> Column:
 def order_lines(
     t: OrderTables,
     columns: Collection[str] = LINE_COLUMNS,
-    since: date | None = None,
+    since: date | Column | None = None,
     until: date | None = None,
 ) -> DataFrame:
     """One row per order line with both amounts (in cents), both accounts and the asked
@@ -255,7 +256,7 @@ def _both_sides(lines: DataFrame, keep: Collection[str], fields: Collection[str]
 def postings(
     t: OrderTables,
     dims: bool = True,
-    since: date | None = None,
+    since: date | Column | None = None,
     until: date | None = None,
 ) -> DataFrame:
     """Monthly revenue and expense postings, from one pass over the lines.
@@ -337,7 +338,7 @@ def account_postings(t: OrderTables) -> DataFrame:
 def revenue_monthly(
     t: OrderTables,
     by: Collection[str] = ("profit_center",),
-    since: date | None = None,
+    since: date | Column | None = None,
     until: date | None = None,
 ) -> DataFrame:
     """Revenue per month and the asked keys among profit_center, company_code, gl_account."""
