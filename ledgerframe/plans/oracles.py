@@ -808,6 +808,46 @@ oracle("baseline_moving_avg", _FEAT, baseline(forecast.MOVING_AVERAGE))
 oracle("baseline_trend", _FEAT, baseline(forecast.TREND))
 oracle("forecast_accuracy", _FEAT, metrics("profit_center, company_code"))
 oracle("baseline_leaderboard", _FEAT, metrics("") + ' ORDER BY "MAPE", model')
+def _linear() -> list[str]:
+    """Least squares by making one column after the other independent of those before.
+
+    rolling_mean_3 is the mean of three other columns and adds nothing. Every step keeps
+    train and test rows, but sums over the train rows alone.
+    """
+    names = ["t", "month", "quarter", "lag_1", "lag_2", "lag_3", "lag_12", "rolling_mean_6"]
+    keys = "profit_center, company_code"
+
+    def train(expr: str, fn: str = "sum") -> str:
+        return f"{fn}({expr}) FILTER (WHERE age > {p.HOLDOUT}) OVER (PARTITION BY {keys})"
+
+    base = f"{keys}, period, age, y"
+    columns = ", ".join(
+        f"CAST({n} AS DOUBLE) - {train(f'CAST({n} AS DOUBLE)', 'avg')} AS x{i}"
+        for i, n in enumerate(names)
+    )
+    steps = [
+        f"lin0 AS (SELECT {base}, {columns}, y - {train('y', 'avg')} AS e, "
+        f"{train('y', 'avg')} AS p FROM split0)"
+    ]
+    for j in range(len(names)):
+        square = f"nullif({train(f'x{j} * x{j}')}, 0)"
+
+        def share(column: str, j: int = j, square: str = square) -> str:
+            return f"coalesce({train(f'x{j} * {column}')} / {square}, 0) * x{j}"
+
+        later = "".join(f", x{k} - {share(f'x{k}')} AS x{k}" for k in range(j + 1, len(names)))
+        steps.append(
+            f"lin{j + 1} AS (SELECT {base}, e - {share('e')} AS e, p + {share('e')} AS p{later} "
+            f"FROM lin{j})"
+        )
+    return [*_FEAT, ",\n".join(steps)]
+
+
+oracle(
+    "forecast_linear", _linear(),
+    f"""SELECT profit_center, company_code, period, y AS actual, {q('Linear Regression')} AS model,
+  {rnd('p', 1)} AS prediction FROM lin8 WHERE age <= {p.HOLDOUT}""",
+)
 oracle(
     "holdout_wide", _FEAT,
     f"""SELECT profit_center, company_code, period, actual,

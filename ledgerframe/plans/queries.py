@@ -554,7 +554,7 @@ def forecast_recursive_fixed(t: OrderTables) -> DataFrame:
 @query
 def forecast_linear(t: OrderTables) -> DataFrame:
     return _rounded(
-        models.linear_predictions(_split(_panel(t), PANEL), PANEL), 2, ["prediction"]
+        models.linear_predictions(_split(_panel(t), PANEL), PANEL), 1, ["prediction"]
     )
 
 
