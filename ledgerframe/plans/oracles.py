@@ -350,27 +350,35 @@ refit3 AS (
                AND pt.company_code = r.company_code AND pt.t > r.last_t - 3) AS ma3
   FROM refit r)"""
 
-_B = p.FIXED_COEFFICIENTS
-RECURSION = f"""
+def _recursion(start: str, step: str) -> str:
+    """Months ahead, each from the twelve values before it. ``start`` has the series with
+    their coefficients ``c``, ``step`` is the forecast of the next month."""
+    return f"""
 hist AS (
   SELECT profit_center, company_code, max(t) AS last_t, max(period) AS last_period,
          list(y ORDER BY t)[-12:] AS h
   FROM pt GROUP BY ALL),
 walk AS (
-  SELECT profit_center, company_code, last_t, last_period, h, 0 AS i,
-         CAST(NULL AS DOUBLE) AS forecast FROM hist
+  SELECT profit_center, company_code, last_t, last_period, h, c, 0 AS i,
+         CAST(NULL AS DOUBLE) AS forecast FROM {start}
   UNION ALL
-  SELECT profit_center, company_code, last_t, last_period,
-         list_append(h[2:], f) AS h, i + 1, f
-  FROM (
-    SELECT *, {p.FIXED_INTERCEPT}::DOUBLE + {_B[0]}::DOUBLE * (last_t + i + 1)
-      + {_B[1]}::DOUBLE * month(last_period + to_months(i + 1))
-      + {_B[2]}::DOUBLE * quarter(last_period + to_months(i + 1))
-      + {_B[3]}::DOUBLE * h[-1] + {_B[4]}::DOUBLE * h[-2] + {_B[5]}::DOUBLE * h[-3]
-      + {_B[6]}::DOUBLE * h[-12]
-      + {_B[7]}::DOUBLE * (h[-1] + h[-2] + h[-3]) / 3
-      + {_B[8]}::DOUBLE * (h[-1] + h[-2] + h[-3] + h[-4] + h[-5] + h[-6]) / 6 AS f
-    FROM walk WHERE i < {p.HORIZON}))"""
+  SELECT profit_center, company_code, last_t, last_period, list_append(h[2:], f) AS h, c, i + 1, f
+  FROM (SELECT *, {step} AS f FROM walk WHERE i < {p.HORIZON}))"""
+
+
+_MONTH, _QUARTER = "month(last_period + to_months(i + 1))", "quarter(last_period + to_months(i + 1))"
+_MEAN_3 = "(h[-1] + h[-2] + h[-3]) / 3"
+_MEAN_6 = "(h[-1] + h[-2] + h[-3] + h[-4] + h[-5] + h[-6]) / 6"
+RECURSION = _recursion(
+    "(SELECT *, CAST([] AS DOUBLE[]) AS c FROM hist)",
+    f"{p.FIXED_INTERCEPT}::DOUBLE + " + " + ".join(
+        f"{c}::DOUBLE * {x}" for c, x in zip(
+            p.FIXED_COEFFICIENTS,
+            ("(last_t + i + 1)", _MONTH, _QUARTER, "h[-1]", "h[-2]", "h[-3]", "h[-12]", _MEAN_3, _MEAN_6),
+            strict=True,
+        )
+    ),
+)
 
 # ---------------------------------------------------------------- commentary
 
@@ -808,43 +816,62 @@ oracle("baseline_moving_avg", _FEAT, baseline(forecast.MOVING_AVERAGE))
 oracle("baseline_trend", _FEAT, baseline(forecast.TREND))
 oracle("forecast_accuracy", _FEAT, metrics("profit_center, company_code"))
 oracle("baseline_leaderboard", _FEAT, metrics("") + ' ORDER BY "MAPE", model')
-def _linear() -> list[str]:
+_COLUMNS = ["t", "month", "quarter", "lag_1", "lag_2", "lag_3", "lag_12", "rolling_mean_6"]
+
+
+def _linear(holdout: int) -> str:
     """Least squares by making one column after the other independent of those before.
 
     rolling_mean_3 is the mean of three other columns and adds nothing. Every step keeps
-    train and test rows, but sums over the train rows alone.
+    all rows, but sums over those before the last ``holdout`` alone. ``c{j}_{k}`` is what
+    column k holds of column j, ``b{j}`` the slope on what is left of column j.
     """
-    names = ["t", "month", "quarter", "lag_1", "lag_2", "lag_3", "lag_12", "rolling_mean_6"]
     keys = "profit_center, company_code"
 
     def train(expr: str, fn: str = "sum") -> str:
-        return f"{fn}({expr}) FILTER (WHERE age > {p.HOLDOUT}) OVER (PARTITION BY {keys})"
+        return f"{fn}({expr}) FILTER (WHERE age > {holdout}) OVER (PARTITION BY {keys})"
 
-    base = f"{keys}, period, age, y"
-    columns = ", ".join(
-        f"CAST({n} AS DOUBLE) - {train(f'CAST({n} AS DOUBLE)', 'avg')} AS x{i}"
-        for i, n in enumerate(names)
+    n = len(_COLUMNS)
+    kept = [f"m{k}" for k in range(n)] + ["my"]
+    means = ", ".join(
+        f"{train(f'CAST({c} AS DOUBLE)', 'avg')} AS m{k}, CAST({c} AS DOUBLE) - m{k} AS x{k}"
+        for k, c in enumerate(_COLUMNS)
     )
-    steps = [
-        f"lin0 AS (SELECT {base}, {columns}, y - {train('y', 'avg')} AS e, "
-        f"{train('y', 'avg')} AS p FROM split0)"
-    ]
-    for j in range(len(names)):
+    base = f"{keys}, period, age, y"
+    steps = [f"lin0 AS (SELECT {base}, {train('y', 'avg')} AS my, y - my AS e, my AS p, {means} FROM split0)"]
+    for j in range(n):
         square = f"nullif({train(f'x{j} * x{j}')}, 0)"
-
-        def share(column: str, j: int = j, square: str = square) -> str:
-            return f"coalesce({train(f'x{j} * {column}')} / {square}, 0) * x{j}"
-
-        later = "".join(f", x{k} - {share(f'x{k}')} AS x{k}" for k in range(j + 1, len(names)))
-        steps.append(
-            f"lin{j + 1} AS (SELECT {base}, e - {share('e')} AS e, p + {share('e')} AS p{later} "
-            f"FROM lin{j})"
-        )
-    return [*_FEAT, ",\n".join(steps)]
+        own = [f"coalesce({train(f'x{j} * e')} / {square}, 0) AS b{j}", f"e - b{j} * x{j} AS e", f"p + b{j} * x{j} AS p"]
+        for k in range(j + 1, n):
+            own += [f"coalesce({train(f'x{j} * x{k}')} / {square}, 0) AS c{j}_{k}", f"x{k} - c{j}_{k} * x{j} AS x{k}"]
+        steps.append(f"lin{j + 1} AS (SELECT {base}, {', '.join(kept + own)} FROM lin{j})")
+        kept += [f"b{j}", *[f"c{j}_{k}" for k in range(j + 1, n)]]
+    # back to the columns as they came: d{k} is the coefficient of column k
+    back = ", ".join(
+        f"b{k}" + "".join(f" - d{j} * c{k}_{j}" for j in range(k + 1, n)) + f" AS d{k}" for k in reversed(range(n))
+    )
+    level = "my - " + " - ".join(f"d{k} * m{k}" for k in range(n))
+    series = ", ".join(f"any_value({c}) AS {c}" for c in kept)
+    steps.append(
+        f"coef AS (SELECT {keys}, {back}, [{level}, {', '.join(f'd{k}' for k in range(n))}] AS c "
+        f"FROM (SELECT {keys}, {series} FROM lin{n} GROUP BY {keys}))"
+    )
+    return ",\n".join(steps)
 
 
+_AHEAD = ["(last_t + i + 1)", _MONTH, _QUARTER, "h[-1]", "h[-2]", "h[-3]", "h[-12]", _MEAN_6]
+oracle(
+    "forecast_recursive",
+    [*_FEAT, _linear(0), _recursion(
+        "(SELECT hist.*, c FROM hist JOIN coef USING (profit_center, company_code))",
+        "c[1] + " + " + ".join(f"c[{k}] * {x}" for k, x in enumerate(_AHEAD, 2)),
+    )],
+    f"""SELECT profit_center, company_code, CAST(last_period + to_months(i) AS DATE) AS period,
+  {rnd('forecast', 1)} AS forecast FROM walk WHERE i > 0""",
+    recursive=True,
+)
 oracle(
-    "forecast_linear", _linear(),
+    "forecast_linear", [*_FEAT, _linear(p.HOLDOUT)],
     f"""SELECT profit_center, company_code, period, y AS actual, {q('Linear Regression')} AS model,
   {rnd('p', 1)} AS prediction FROM lin8 WHERE age <= {p.HOLDOUT}""",
 )

@@ -616,7 +616,7 @@ def forecast_recursive(t: OrderTables) -> DataFrame:
     out = models.forecast_linear_recursive(
         panel, forecast.forecast_features(panel, PANEL), p.HORIZON, PANEL
     )
-    return _rounded(out, 2, ["forecast"])
+    return _rounded(out, 1, ["forecast"])
 
 
 def _six(split: DataFrame) -> DataFrame:
