@@ -819,7 +819,7 @@ oracle("baseline_leaderboard", _FEAT, metrics("") + ' ORDER BY "MAPE", model')
 _COLUMNS = ["t", "month", "quarter", "lag_1", "lag_2", "lag_3", "lag_12", "rolling_mean_6"]
 
 
-def _linear(holdout: int) -> str:
+def _linear(holdout: int, lin: str = "lin") -> str:
     """Least squares by making one column after the other independent of those before.
 
     rolling_mean_3 is the mean of three other columns and adds nothing. Every step keeps
@@ -838,13 +838,13 @@ def _linear(holdout: int) -> str:
         for k, c in enumerate(_COLUMNS)
     )
     base = f"{keys}, period, age, y"
-    steps = [f"lin0 AS (SELECT {base}, {train('y', 'avg')} AS my, y - my AS e, my AS p, {means} FROM split0)"]
+    steps = [f"{lin}0 AS (SELECT {base}, {train('y', 'avg')} AS my, y - my AS e, my AS p, {means} FROM split0)"]
     for j in range(n):
         square = f"nullif({train(f'x{j} * x{j}')}, 0)"
         own = [f"coalesce({train(f'x{j} * e')} / {square}, 0) AS b{j}", f"e - b{j} * x{j} AS e", f"p + b{j} * x{j} AS p"]
         for k in range(j + 1, n):
             own += [f"coalesce({train(f'x{j} * x{k}')} / {square}, 0) AS c{j}_{k}", f"x{k} - c{j}_{k} * x{j} AS x{k}"]
-        steps.append(f"lin{j + 1} AS (SELECT {base}, {', '.join(kept + own)} FROM lin{j})")
+        steps.append(f"{lin}{j + 1} AS (SELECT {base}, {', '.join(kept + own)} FROM {lin}{j})")
         kept += [f"b{j}", *[f"c{j}_{k}" for k in range(j + 1, n)]]
     # back to the columns as they came: d{k} is the coefficient of column k
     back = ", ".join(
@@ -853,23 +853,40 @@ def _linear(holdout: int) -> str:
     level = "my - " + " - ".join(f"d{k} * m{k}" for k in range(n))
     series = ", ".join(f"any_value({c}) AS {c}" for c in kept)
     steps.append(
-        f"coef AS (SELECT {keys}, {back}, [{level}, {', '.join(f'd{k}' for k in range(n))}] AS c "
-        f"FROM (SELECT {keys}, {series} FROM lin{n} GROUP BY {keys}))"
+        f"{lin}_coef AS (SELECT {keys}, {back}, [{level}, {', '.join(f'd{k}' for k in range(n))}] AS c "
+        f"FROM (SELECT {keys}, {series} FROM {lin}{n} GROUP BY {keys}))"
     )
     return ",\n".join(steps)
 
 
 _AHEAD = ["(last_t + i + 1)", _MONTH, _QUARTER, "h[-1]", "h[-2]", "h[-3]", "h[-12]", _MEAN_6]
+_ROLLED = _recursion(
+    "(SELECT hist.*, c FROM hist JOIN full_coef USING (profit_center, company_code))",
+    "c[1] + " + " + ".join(f"c[{k}] * {x}" for k, x in enumerate(_AHEAD, 2)),
+)
 oracle(
-    "forecast_recursive",
-    [*_FEAT, _linear(0), _recursion(
-        "(SELECT hist.*, c FROM hist JOIN coef USING (profit_center, company_code))",
-        "c[1] + " + " + ".join(f"c[{k}] * {x}" for k, x in enumerate(_AHEAD, 2)),
-    )],
+    "forecast_recursive", [*_FEAT, _linear(0, "full"), _ROLLED],
     f"""SELECT profit_center, company_code, CAST(last_period + to_months(i) AS DATE) AS period,
   {rnd('forecast', 1)} AS forecast FROM walk WHERE i > 0""",
     recursive=True,
 )
+oracle(
+    "forecast_best",
+    [*_FEAT, _linear(p.HOLDOUT), _linear(0, "full"), _ROLLED, f"""
+four AS (
+  SELECT * FROM pred
+  UNION ALL SELECT profit_center, company_code, period, y, 'Linear Regression', p
+  FROM lin8 WHERE age <= {p.HOLDOUT})""", BEST.replace("FROM pred GROUP", "FROM four GROUP")],
+    f"""SELECT profit_center, company_code,
+  CAST(b.last_period + to_months(CAST(r.i AS INTEGER)) AS DATE) AS period, model,
+  {rnd(f"CASE model WHEN {q(forecast.NAIVE)} THEN naive WHEN {q(forecast.MOVING_AVERAGE)} THEN ma3 "
+       f"WHEN {q(forecast.TREND)} THEN level + slope * (b.last_t + r.i) ELSE walk.forecast END", 1)} AS forecast
+FROM refit3 b JOIN best USING (profit_center, company_code) CROSS JOIN range(1, {p.HORIZON + 1}) r(i)
+LEFT JOIN walk ON walk.profit_center = b.profit_center AND walk.company_code = b.company_code AND walk.i = r.i""".replace(
+        "SELECT profit_center, company_code,", "SELECT b.profit_center, b.company_code,", 1
+    ),
+    recursive=True,
+)
 oracle(
     "forecast_linear", [*_FEAT, _linear(p.HOLDOUT)],
     f"""SELECT profit_center, company_code, period, y AS actual, {q('Linear Regression')} AS model,

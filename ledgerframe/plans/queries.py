@@ -567,11 +567,12 @@ def forecast_best(t: OrderTables) -> DataFrame:
     holdout = forecast.baseline_predictions(split, PANEL).unionByName(
         models.linear_predictions(split, PANEL)
     )
-    best = forecast.best_model(forecast.accuracy(holdout, PANEL), PANEL)
+    scores = _rounded(forecast.accuracy(holdout, PANEL), 9, ["MAPE"])
+    best = forecast.best_model(scores, PANEL)
     ahead = forecast.forecast_baselines(panel, p.HORIZON, PANEL).unionByName(
         models.refit_forecast(models.LINEAR, panel, features, p.HORIZON, PANEL)
     )
-    return _rounded(forecast.pick_best(ahead, best, PANEL), 2, ["forecast"])
+    return _rounded(forecast.pick_best(ahead, best, PANEL), 1, ["forecast"])
 
 
 def _cut_split(t: OrderTables) -> DataFrame:
