@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import body, keep, texts
+from .common import keep, texts
 from .components import components
 
 SHINGLE_WORDS = 4
@@ -68,14 +68,6 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
 # ---------------------------------------------------------------- index
 
-def gray_rank(codes: np.ndarray) -> np.ndarray:
-    """Position of each code in the sequence of Gray codes."""
-    rank = codes.astype(np.uint64)
-    for shift in (1, 2, 4, 8, 16, 32):
-        rank = rank ^ (rank >> np.uint64(shift))
-    return rank
-
-
 def _spanning(a: np.ndarray, b: np.ndarray, size: int) -> np.ndarray:
     """Lowest index reachable over the pairs (a, b), for each of ``size`` indices."""
     low = np.arange(size)
@@ -186,6 +178,7 @@ def _upper_nodes(fps: DataFrame) -> DataFrame:
     masks = [sum(((1 << hi) - 1) ^ ((1 << lo) - 1) for lo, hi in pair) for pair in combinations(BLOCKS, 2)]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     fp = F.col("fp")
+    # the position in the sequence of Gray codes
     gray = fp
     for shift in (1, 2, 4, 8, 16, 32):
         gray = gray.bitwiseXOR(F.shiftrightunsigned(gray, shift))

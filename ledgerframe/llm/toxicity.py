@@ -25,6 +25,8 @@ SIGNAL = 4.0
 # the same, for all that is brought to the driver; the models' own folds decide after it
 PRESCREEN = 2.0
 CUT = 0.5
+# log-odds are held within these bounds
+ODDS = 12.0
 WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5, 6)
 
@@ -64,9 +66,6 @@ class Chain:
         return (1 / (1 + np.exp(-odds))).tolist()
 
 
-ODDS = 12.0
-
-
 def _fit(rows: np.ndarray, cols: np.ndarray, extra: np.ndarray, target: np.ndarray, width: int, weight: np.ndarray):
     """L2-penalised logistic regression on binary features and dense extra ones.
 
