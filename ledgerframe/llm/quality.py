@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import GAP, body, texts
+from .common import GAP, body, keep, texts
 
 ABSTAIN, BAD, GOOD = 0, 1, 2
 ROUNDS = 50
@@ -35,41 +35,56 @@ CUT = 0.5
 LETTERS, DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+")
 
 
-def votes(text: Column) -> dict[str, Column]:
-    """Each labeller's vote on a text: 0 none, 1 bad, 2 good."""
+def measures(text: Column) -> dict[str, Column]:
+    """What the labellers look at: counts over the whole text."""
     count = lambda chars: F.length(F.regexp_replace(text, f"[^{chars}]+", ""))
-    n = F.greatest(F.size(F.split(F.trim(text), GAP)), F.lit(1))
-    letters = F.greatest(count(r"\p{L}"), F.lit(1))
-    upper, ends = count(r"\p{Lu}"), F.greatest(count(".!?…"), F.lit(1))
-    doubled = F.size(F.regexp_extract_all(text, F.lit(r"(?<!\S)(\S{1,40}+)\s+(?=\1(?!\S))"), F.lit(0)))
+    matches = lambda p: F.size(F.regexp_extract_all(text, F.lit(p), F.lit(0)))
+    words = F.split(F.trim(text), GAP)
+    return {
+        "words": F.greatest(F.size(words), F.lit(1)),
+        "distinct": F.size(F.array_distinct(words)),
+        "plain": matches(r"(?<!\S)\p{L}++[.,;:!?]?(?!\S)"),
+        "doubled": matches(r"(?<!\S)(\S{1,40}+)\s+(?=\1(?!\S))"),
+        "visible": F.greatest(F.length(F.regexp_replace(text, GAP, "")), F.lit(1)),
+        "alphanumeric": count(r"\p{L}\p{N}"),
+        "letters": F.greatest(count(r"\p{L}"), F.lit(1)),
+        "upper": count(r"\p{Lu}"),
+        "ends": F.greatest(count(".!?…"), F.lit(1)),
+        "symbols": count("#*$%&<>{}=\\\\^~"),
+        "exclamations": count("!"),
+        "separators": count("|»"),
+    }
+
 
-    plain = F.size(F.regexp_extract_all(text, F.lit(r"(?<!\S)\p{L}++[.,;:!?]?(?!\S)"), F.lit(0)))
-    visible = F.greatest(F.length(F.regexp_replace(text, GAP, "")), F.lit(1))
-    other = visible - count(r"\p{L}\p{N}")
-    distinct = F.size(F.array_distinct(F.split(text, GAP)))
+def votes(prefix: str = "m_") -> dict[str, Column]:
+    """Each labeller's vote, from the measures as columns: 0 none, 1 bad, 2 good."""
+    m = {k: F.col(prefix + k) for k in measures(F.lit(""))}
+    n, other = m["words"], m["visible"] - m["alphanumeric"]
 
     def vote(bad: Column, good: Column) -> Column:
         return F.when(bad, F.lit(BAD)).when(good, F.lit(GOOD)).otherwise(F.lit(ABSTAIN))
 
     return {
         "length": vote(F.lit(False), n >= 20),
-        "plain_words": vote(plain * 10 < n * 6, plain * 10 >= n * 9),
-        "other_characters": vote(other * 5 >= visible, other * 10 < visible),
-        "variety": vote((n >= 50) & (distinct * 10 < n), distinct * 4 >= n),
-        "symbols": vote(count("#*$%&<>{}=\\\\^~") * 3 >= n, count("#*$%&<>{}=\\\\^~") * 20 < n),
-        "shouting": vote(upper * 2 >= letters, upper * 5 < letters),
-        "exclamation": vote(count("!") * 3 >= n, count("!") * 20 < n),
-        "separators": vote(count("|»") * 5 >= n, count("|»") * 50 < n),
-        "doubling": vote(doubled * 5 >= n, doubled * 50 < n),
-        "sentences": vote(n > 100 * ends, (n >= 3 * ends) & (n <= 60 * ends)),
-        "word_length": vote((letters > 15 * n) | (letters < 2 * n), (letters >= 3 * n) & (letters <= 10 * n)),
+        "plain_words": vote(m["plain"] * 10 < n * 6, m["plain"] * 10 >= n * 9),
+        "other_characters": vote(other * 5 >= m["visible"], other * 10 < m["visible"]),
+        "variety": vote((n >= 50) & (m["distinct"] * 10 < n), m["distinct"] * 4 >= n),
+        "symbols": vote(m["symbols"] * 3 >= n, m["symbols"] * 20 < n),
+        "shouting": vote(m["upper"] * 2 >= m["letters"], m["upper"] * 5 < m["letters"]),
+        "exclamation": vote(m["exclamations"] * 3 >= n, m["exclamations"] * 20 < n),
+        "separators": vote(m["separators"] * 5 >= n, m["separators"] * 50 < n),
+        "doubling": vote(m["doubled"] * 5 >= n, m["doubled"] * 50 < n),
+        "sentences": vote(n > 100 * m["ends"], (n >= 3 * m["ends"]) & (n <= 60 * m["ends"])),
+        "word_length": vote(
+            (m["letters"] > 15 * n) | (m["letters"] < 2 * n), (m["letters"] >= 3 * n) & (m["letters"] <= 10 * n)
+        ),
     }
 
 
-def _pattern(text: Column) -> Column:
+def _pattern() -> Column:
     """All votes as one number to the base of three."""
     out = F.lit(0)
-    for v in votes(text).values():
+    for v in votes().values():
         out = out * 3 + v
     return out.cast("int")
 
@@ -175,13 +190,9 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_rows:
     """
     kind = docs.schema[key].dataType.simpleString()
     read = docs.select(F.col(key).alias("doc_id"), body(text).alias("text"))
-    marked = read.withColumn("pattern", _pattern(F.col("text")))
-    n_votes = len(votes(F.col("text")))
-    counts = marked.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()
-    good = posteriors({r["pattern"]: r["n"] for r in counts}, n_votes)
-
-    drawn = F.xxhash64("doc_id", "text")
-    low = read.select(drawn.alias("h")).distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).collect()[0][0]
+    # two steps, so that every measure is taken once
+    measured = read.select("*", *[c.alias(f"m_{k}") for k, c in measures(F.col("text")).items()])
+    marked = measured.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("h"), _pattern().alias("pattern"))
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = Shapes()
@@ -189,15 +200,21 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_rows:
             found = [sorted(shapes.of(t).items()) for t in values]
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0),
+                    batch.column(0), batch.column(2), batch.column(3),
                     pa.array([[b for b, _ in f] for f in found], pa.list_(pa.int32())),
                     pa.array([[v for _, v in f] for f in found], pa.list_(pa.float64())),
                 ],
-                ["pattern", "buckets", "shares"],
+                ["doc_id", "h", "pattern", "buckets", "shares"],
             )
 
-    sample = marked.filter(drawn <= F.lit(low)).select("pattern", "text")
-    rows = sample.mapInArrow(describe, "pattern int, buckets array<int>, shares array<double>").distinct()
+    # texts are read once; what is left of them is a few numbers each
+    seen = keep(marked.mapInArrow(
+        describe, f"doc_id {kind}, h bigint, pattern int, buckets array<int>, shares array<double>"
+    ))
+    counts = seen.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()
+    good = posteriors({r["pattern"]: r["n"] for r in counts}, len(votes()))
+    low = seen.select("h").distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).collect()[0][0]
+    rows = seen.filter(F.col("h") <= F.lit(low)).select("pattern", "buckets", "shares").distinct()
     # the order makes the sums repeatable
     weights = fit_scorer(
         [(r["buckets"], r["shares"], good[r["pattern"]]) for r in rows.orderBy("pattern", "buckets", "shares").collect()]
@@ -205,15 +222,20 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_rows:
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shapes, w = Shapes(), sent.value.tolist()
-        for batch, values in texts(batches):
-            odds = np.array([w[-1] + sum(v * w[b] for b, v in shapes.of(t).items()) for t in values])
+        w = sent.value
+        for batch in batches:
+            buckets, shares = batch.column(2), batch.column(3)
+            at = np.repeat(np.arange(batch.num_rows), np.asarray(buckets.value_lengths()))
+            parts = np.asarray(shares.flatten()) * w[np.asarray(buckets.flatten())]
+            odds = w[-1] + np.bincount(at, weights=parts, minlength=batch.num_rows)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(1 / (1 + np.exp(-odds.clip(-30, 30))), pa.float64())],
+                [batch.column(0), batch.column(1), pa.array(1 / (1 + np.exp(-odds.clip(-30, 30))), pa.float64())],
                 ["doc_id", "pattern", "score"],
             )
 
-    scored = marked.mapInArrow(score, f"doc_id {kind}, pattern int, score double")
+    scored = seen.select("doc_id", "pattern", "buckets", "shares").mapInArrow(
+        score, f"doc_id {kind}, pattern int, score double"
+    )
     known = docs.sparkSession.createDataFrame(sorted(good.items()), "pattern int, p_votes double")
     return scored.join(F.broadcast(known), "pattern").select(
         "doc_id", F.round("p_votes", 6).alias("p_votes"), F.round("score", 6).alias("score"),
