@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -255,16 +255,18 @@ def near_links(fps: DataFrame, bits: int = MAX_BITS, node_rows: int = NODE_ROWS)
     return first.unionAll(second)
 
 
-def near_components(prints: DataFrame) -> DataFrame:
+def near_components(
+    prints: DataFrame, links: Callable[[DataFrame], DataFrame] = near_links
+) -> DataFrame:
     """``(doc_id, fp, component_id)`` for each row of ``(doc_id, fp)``.
 
-    Rows whose fingerprints are connected by steps of at most four bits share a
-    component, named after its smallest doc_id; equal fingerprints are one step of none.
+    Rows whose fingerprints are connected by ``links`` (steps of at most four bits) share
+    a component, named after its smallest doc_id; equal fingerprints are one step of none.
     NULL ids are ignored in the naming.
     """
     prints = keep(prints)
     fps = keep(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")))
-    roots = components(near_links(fps.select("fp"))).select(F.col("node").alias("fp"), "root")
+    roots = components(links(fps.select("fp"))).select(F.col("node").alias("fp"), "root")
     named = keep(fps.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp")))
     least = keep(named.groupBy("root").agg(F.min("first_id").alias("component_id")))
     of_fp = keep(named.join(least, "root").select("fp", "component_id"))
@@ -276,14 +278,19 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     return near_components(fingerprints(docs, key, text))
 
 
-def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with the smallest key of each near-duplicate component.
+def without_copies(docs: DataFrame, groups: DataFrame, key: str = "doc_id") -> DataFrame:
+    """``docs`` with the smallest key of each component of ``groups``.
 
     A key stays with all its rows if it is the smallest of any component, so a key that
     is repeated with other texts loses no group. Rows with a NULL key stay. Only the keys
     that go are joined back.
     """
     own = F.col("doc_id") == F.col("component_id")
-    stays = near_groups(docs, key, text).groupBy("doc_id").agg(F.max(own).alias("stays"))
+    stays = groups.groupBy("doc_id").agg(F.max(own).alias("stays"))
     gone = keep(stays.filter("NOT stays").select(F.col("doc_id").alias(key)))
     return docs.join(gone, key, "left_anti").select(*docs.columns)
+
+
+def near_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with the smallest key of each near-duplicate component at four bits."""
+    return without_copies(docs, near_groups(docs, key, text), key)
