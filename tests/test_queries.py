@@ -7,10 +7,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from ledgerframe.operators import models
 from ledgerframe.plans import params
 
 PATH = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
+REGISTERED_TREES = params.FOREST_TREES, params.BOOSTING_ROUNDS  # before few_trees
 
 
 @pytest.fixture(autouse=True)
@@ -60,6 +62,10 @@ def test_lines_are_read_once(spark, name):
     assert final_plan(QUERIES[name](spark, PATH)).count("FileScan parquet [l_orderkey") == 1
 
 
+def test_registered_tree_queries_take_the_references_counts():
+    assert REGISTERED_TREES == (models.TREES[models.FOREST], models.TREES[models.BOOSTING]) == (300, 250)
+
+
 @pytest.mark.parametrize("name", ["forecast_rf", "forecast_gbt", "forecast_best_of_all"])
 def test_trees_do_not_read_the_ledger_again(spark, name):
     df = QUERIES[name](spark, PATH)
