@@ -19,6 +19,9 @@ MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SPACE = re.compile(r"\s+")
 SILENT = frozenset("script style noscript template svg math iframe object canvas audio video select textarea head title".split())
+# to the end of the page if left open; every other silent element ends with its parent
+RAW = frozenset("script style".split())
+IN_HEAD = frozenset("base basefont bgsound link meta noscript script style template title".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span "
@@ -75,7 +78,8 @@ def blocks(page: str) -> list[Block]:
 
     Scripts, styles, heads and comments are left out. Every block carries the summed
     weights of the elements around it and their numbers from the root down; text within
-    links is counted. Elements may be left open.
+    links is counted. Elements may be left open: a head ends at the first start tag that
+    cannot stand in it, other silent elements but scripts and styles with their parent.
     """
     out: list[Block] = []
     parts: list[str] = []
@@ -83,6 +87,7 @@ def blocks(page: str) -> list[Block]:
     # (tag, summed weight, within an article, number)
     stack: list[tuple[str, float, bool, int]] = [("", 0.0, False, 0)]
     lower: str | None = None
+    absent: set[str] = set()  # names without a further end tag
 
     def flush() -> None:
         nonlocal linked
@@ -123,13 +128,28 @@ def blocks(page: str) -> list[Block]:
         tag = (found[2] or found[5] or "").lower()
         if not tag:
             continue
+        if not closing and tag not in IN_HEAD and tag != "head":
+            for k in range(1, min(len(stack), 4)):  # below nothing, or html and body
+                if stack[k][0] == "head":
+                    flush()
+                    pop(k)
+                    break
         if tag in SILENT and not closing:
             flush()
             if tag not in ("head", "svg", "math", "object", "select"):
                 lower = page.lower() if lower is None else lower
-                end = lower.find(f"</{tag}", at) if len(lower) == size else page.find(f"</{tag}", at)
-                at = size if end < 0 else end
-                continue
+                source = lower if len(lower) == size else page
+                end = -1 if tag in absent else source.find(f"</{tag}", at)
+                if end < 0:
+                    absent.add(tag)
+                parent = stack[-1][0]
+                bounds = ("</head", "<body") if parent == "head" else (f"</{parent}",) if parent else ()
+                if tag in RAW:
+                    at = size if end < 0 else end
+                    continue
+                if end >= 0 and all(source.find(b, at, end) < 0 for b in bounds):
+                    at = end
+                    continue
         if tag not in INLINE:
             flush()
         if closing:

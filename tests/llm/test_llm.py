@@ -397,6 +397,16 @@ def test_boilerplate_is_cut_away(spark):
     assert len(extract.blocks("<div>" * 3000 + "x")) == 1
 
 
+@pytest.mark.parametrize("head", ["<head><title>x</title>", "<head><title>x", "<head><noscript>y", "<head>", "<head><title>x</title></head>"])
+def test_silent_elements_may_be_left_open(head):
+    text = "A whole paragraph of the article, with words enough to count. " * 3
+    for body in ("<body><article>", "<article>", "<BODY><div><article>"):
+        assert extract.main_text(f"<html>{head}{body}<p>{text}</p></article>") == text.strip()
+    for tag in ("svg", "object", "select", "video", "iframe", "canvas", "noscript", "template"):
+        page = f"<html>{head}<body><div><{tag}>no</div><article><p>{text}</p></article><{tag}>no</{tag}>"
+        assert extract.main_text(page) == text.strip(), tag
+
+
 def test_minimum_cut_by_brute_force():
     rng = random.Random(5)
     for _ in range(150):
