@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerframe.llm import exact, minhash, packing, pii, toxicity
+from ledgerframe.llm import exact, packing, pii, simhash, toxicity
 from ledgerframe.llm.common import keep, table
 from ledgerframe.llm.queries import byte_bpe, packed_digests
 
@@ -25,8 +25,8 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of texts alike by 0.8 of their five-word shingles the smallest doc_id stays."""
-    return minhash.near_dedup(docs)
+    """Of each group of fingerprints linked at four bits or fewer the smallest doc_id stays."""
+    return simhash.near_dedup(docs)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
