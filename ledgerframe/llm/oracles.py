@@ -206,4 +206,90 @@ SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coale
 FROM docs LEFT JOIN joined USING (r)
 """
 
-ORACLES = {"op7_pii": OP7, "op10_chat_formatting": OP10, "op3_quality_rules": OP3, "op6_exact_dedup": OP6}
+# a byte of the CRC32 is eight steps
+OP12 = """
+WITH RECURSIVE runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT coalesce(doc_id::VARCHAR, '') AS doc_id, unnest(regexp_extract_all(
+            translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+        FROM documents)
+    WHERE length(run) >= 5 GROUP BY ALL
+), hexed AS (SELECT *, hex(encode(doc_id || ':' || run)) AS x FROM runs),
+hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(range(0, length(x), 2), lambda i: ('0x' || substr(x, i + 1, 2))::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda d, k: xor(d >> 1, 3988292384 * (d & 1))))) AS h
+    FROM hexed
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word, n
+        FROM hashed)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), less AS (
+    SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest
+    FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS p FROM words)
+), near AS (
+    SELECT DISTINCT a.word, a.n, b.word AS form, b.n AS form_n FROM less a JOIN less b ON a.p = b.p AND a.rest = b.rest AND a.word <> b.word
+    UNION SELECT a.word, a.n, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+    UNION SELECT b.word, b.n, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), ranked AS (
+    SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY form_n DESC, form) AS k FROM near
+), told AS (
+    SELECT w.word, w.n, coalesce(r.n_near, 0) AS n_near, CASE WHEN r.form_n >= 2 * w.n THEN r.form END AS form,
+        CASE WHEN r.form_n >= 2 * w.n THEN r.form_n END AS form_n
+    FROM words w LEFT JOIN (SELECT * FROM ranked WHERE k = 1) r USING (word)
+), steps AS (
+    SELECT word, form AS root FROM told WHERE form IS NOT NULL
+    UNION ALL SELECT s.word, t.form FROM steps s JOIN told t ON t.word = s.root WHERE t.form IS NOT NULL
+), last AS (SELECT s.word, s.root FROM steps s JOIN told t ON t.word = s.root WHERE t.form IS NULL)
+SELECT word, form, coalesce(root, word) AS root, n, n_near, form_n FROM told LEFT JOIN last USING (word)
+"""
+
+OP13 = r"""
+WITH docs AS (
+    SELECT row_number() OVER () AS r, coalesce(text, '') AS t, coalesce(lang, '') AS lang, coalesce(source, '') AS source
+    FROM documents
+), toks AS (
+    SELECT r, lang, source, unnest(regexp_extract_all(
+        translate(t, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS w
+    FROM docs
+), counts AS (
+    SELECT lang, source, w, count(*) AS c, count(DISTINCT r) AS df FROM toks GROUP BY ALL
+), kept AS (
+    SELECT lang, w, sum(c)::BIGINT AS c FROM counts GROUP BY ALL HAVING sum(df) >= 3
+), langs AS (
+    SELECT lang, count(w) AS v, coalesce(sum(c), 0)::BIGINT AS n FROM (SELECT DISTINCT lang FROM docs) LEFT JOIN kept USING (lang)
+    GROUP BY lang
+), occurring AS (SELECT DISTINCT lang, source FROM docs),
+cells AS (
+    SELECT o.lang, o.source, k.w, coalesce(x.c, 0) AS c, k.c AS all_c
+    FROM occurring o JOIN kept k USING (lang) LEFT JOIN counts x USING (lang, source, w)
+), groups AS (
+    SELECT o.lang, o.source, coalesce(sum(c), 0)::BIGINT AS n FROM occurring o LEFT JOIN cells USING (lang, source) GROUP BY ALL
+), shares AS (
+    SELECT c.lang, c.source, c.w, c.c,
+        1 + 1000000000::HUGEINT * (c.c + 1) // (g.n + l.v) AS p, 1 + 1000000000::HUGEINT * (c.all_c + 1) // (l.n + l.v) AS q
+    FROM cells c JOIN groups g USING (lang, source) JOIN langs l USING (lang)
+), pairs AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.w = b.w AND a.source <> b.source GROUP BY ALL
+), parts AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0)::BIGINT AS value
+    FROM occurring a JOIN occurring b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+    UNION ALL
+    SELECT lang, source, 'term', w, ((p - q) * (p - q) // q)::BIGINT FROM shares WHERE c > 0 AND p > q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank FROM parts
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= 200
+"""
+
+ORACLES = {
+    "op7_pii": OP7,
+    "op10_chat_formatting": OP10,
+    "op3_quality_rules": OP3,
+    "op6_exact_dedup": OP6,
+    "op12_spelling": OP12,
+    "op13_divergence": OP13,
+}
