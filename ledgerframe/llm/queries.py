@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, divergence, exact, extract, packing, pii, quality, rules, simhash, spelling, toxicity
+from . import bpe, chat, divergence, exact, extract, forest, packing, pii, quality, rules, simhash, spelling, toxicity
 from .common import table
 
 
@@ -77,6 +77,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_chats(table(spark, sf_dir, "conversations"))
 
 
+def op11_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return forest.nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants_of_texts(table(spark, sf_dir, "documents"))
 
@@ -96,6 +100,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_bpe": op9_bpe,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_neighbours": op11_neighbours,
     "op12_spelling": op12_spelling,
     "op13_divergence": op13_divergence,
 }
