@@ -2,43 +2,35 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+import datetime as dt
+from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
+from pyspark.sql.types import ArrayType, DateType, DoubleType, IntegerType, StructField, StructType
 
 from ..functions.numeric import dbl
+from . import trees
 from .forecast import (
     BASELINES,
     FEATURES,
+    LAGS,
+    WINDOWS,
     baseline_predictions,
     forecast_baselines,
     forecast_recursive,
     history,
-    next_features,
 )
 
 LINEAR = "Linear Regression"
 FOREST = "Random Forest"
 BOOSTING = "Gradient Boosting"
 MODELS = (LINEAR, FOREST, BOOSTING)
-SEED = 42
-
-
 TREES = {FOREST: 300, BOOSTING: 250}
-
-
-def _estimators() -> dict[str, Callable]:
-    common = {"featuresCol": "x", "labelCol": "y", "predictionCol": "prediction", "seed": SEED}
-    return {
-        FOREST: lambda n: RandomForestRegressor(numTrees=n, maxDepth=5, **common),
-        BOOSTING: lambda n: GBTRegressor(maxIter=n, maxDepth=3, stepSize=0.05, **common),
-    }
+# tasks that share the trees of one series
+FOREST_DEALS = 10
 
 
 def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[StructField]:
@@ -122,43 +114,73 @@ def attach(rows: DataFrame, per_series: DataFrame, keys: Sequence[str]) -> DataF
     return rows.join(per_series.withColumnsRenamed(own), same).drop(*own.values())
 
 
-def _assembled(df: DataFrame, columns: Sequence[str] = tuple(FEATURES)) -> DataFrame:
-    return VectorAssembler(inputCols=list(columns), outputCol="x").transform(df)
+def _fit(model_name: str, x: np.ndarray, y: np.ndarray, count: int) -> Callable[[np.ndarray], np.ndarray]:
+    """Fit the months of one series; gives a prediction for rows of features."""
+    if model_name == FOREST:
+        return trees.fit_forest(x, y, count).predict
+    return trees.fit_boosting(x, y, count).predict
 
 
-def fit_tree(model_name: str, train: DataFrame, trees: int | None = None):
-    """Fit a tree model on train rows of one or many series together.
+def tree_predictions(
+    model_name: str, split: DataFrame, keys: Sequence[str] = (), count: int | None = None
+) -> DataFrame:
+    """Holdout predictions of ``count`` trees fitted on the train rows of each series.
 
-    ``train`` is read several times: cut it first.
+    A series meets in one task, or in ``FOREST_DEALS`` for a forest, whose trees are dealt
+    over them. Series without train rows have no predictions.
     """
-    count = TREES[model_name] if trees is None else trees
-    return _estimators()[model_name](count).fit(_assembled(train.select(*FEATURES, "y")))
-
+    names, total = list(keys), TREES[model_name] if count is None else count
+    deals = min(FOREST_DEALS, total) if model_name == FOREST else 1
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("period")
+        known, asked = pdf[pdf["split"] == "train"], pdf[pdf["split"] == "test"]
+        x, y = known[FEATURES].to_numpy(float), known["y"].to_numpy(float)
+        deal = int(pdf["deal"].iloc[0])
+        if not len(y) or not len(asked):
+            part = np.empty(0)
+            asked = asked.iloc[:0]
+        elif model_name == FOREST:
+            first, last = (total * k // deals for k in (deal, deal + 1))
+            part = trees.fit_forest(x, y, last - first, first, total).predict(asked[FEATURES].to_numpy(float))
+        else:
+            part = _fit(model_name, x, y, total)(asked[FEATURES].to_numpy(float))
+        return asked[[*names, "period", "deal"]].assign(actual=asked["y"], part=part)
 
-def tree_predictions(
-    model_name: str, split: DataFrame, keys: Sequence[str] = (), trees: int | None = None
-) -> DataFrame:
-    """Holdout predictions of a tree model fitted on all train rows; cut ``split`` first."""
-    model = fit_tree(model_name, split.filter(F.col("split") == "train"), trees)
-    test = _assembled(split.filter(F.col("split") == "test"))
-    return model.transform(test).select(
-        *keys,
-        "period",
-        F.col("y").alias("actual"),
-        F.lit(model_name).alias("model"),
-        "prediction",
+    schema = StructType(
+        [
+            *_key_fields(split, keys),
+            split.schema["period"],
+            StructField("deal", IntegerType()),
+            StructField("actual", DoubleType()),
+            StructField("part", DoubleType()),
+        ]
+    )
+    rows = split.select(*names, "period", *FEATURES, "y", "split", F.explode(F.array(*map(F.lit, range(deals)))).alias("deal"))
+    parts = rows.groupBy(*names, "deal").applyInPandas(run, schema)
+    # added in the order of the deals, so that the sum is the same on any partitioning
+    in_order = F.array_sort(F.collect_list(F.struct("deal", "part")))
+    return (
+        parts.groupBy(*names, "period", "actual").agg(in_order.alias("parts"))
+        .select(
+            *names,
+            "period",
+            "actual",
+            F.lit(model_name).alias("model"),
+            F.aggregate("parts", F.lit(0.0), lambda acc, p: acc + p["part"]).alias("prediction"),
+        )
     )
 
 
 def fit_predict(
-    model_name: str, split: DataFrame, keys: Sequence[str] = (), trees: int | None = None
+    model_name: str, split: DataFrame, keys: Sequence[str] = (), count: int | None = None
 ) -> DataFrame:
     """Long-form holdout predictions of any model by its name."""
     if model_name in BASELINES:
         return baseline_predictions(split, keys, models=[model_name])
     if model_name == LINEAR:
         return linear_predictions(split, keys)
-    return tree_predictions(model_name, split, keys, trees)
+    return tree_predictions(model_name, split, keys, count)
 
 
 def forecast_linear_recursive(
@@ -175,7 +197,7 @@ def refit_forecast(
     features: DataFrame,
     horizon: int,
     keys: Sequence[str] = (),
-    trees: int | None = None,
+    count: int | None = None,
 ) -> DataFrame:
     """Months ahead of any model by its name, refitted on every complete row."""
     if model_name in BASELINES:
@@ -184,39 +206,70 @@ def refit_forecast(
     if model_name == LINEAR:
         ahead = forecast_linear_recursive(series, features, horizon, keys)
     else:
-        ahead = forecast_tree_recursive(model_name, series, features, horizon, keys, trees)
+        ahead = forecast_tree_recursive(model_name, series, features, horizon, keys, count)
     return ahead.select(*keys, "period", F.lit(model_name).alias("model"), "forecast")
 
 
+def _next_row(recent: Sequence[float], t: int, period: dt.date) -> list[float]:
+    """``next_features`` of one series, as numbers."""
+    tails = [recent[-min(k, len(recent)):] for k in WINDOWS]
+    return [
+        t, period.month, (period.month + 2) // 3,
+        *[recent[-min(k, len(recent))] for k in LAGS],
+        *[sum(v) / len(v) for v in tails],
+    ]
+
+
 def forecast_tree_recursive(
     model_name: str,
     series: DataFrame,
     features: DataFrame,
     horizon: int,
     keys: Sequence[str] = (),
-    trees: int | None = None,
+    count: int | None = None,
 ) -> DataFrame:
-    """Months ahead of a tree model refitted on every complete row.
+    """Months ahead of a tree model refitted on every complete row of each series.
 
-    One row per series goes through the model once per month ahead; each prediction is
-    appended to the series' recent values before the next.
+    Each prediction is appended to the series' recent values before the next. A series
+    meets in one task; one without complete rows has no forecast.
     """
-    model = fit_tree(model_name, features, trees)
-    state = history(series, keys).withColumn(
-        "out", F.expr("CAST(array() AS array<double>)")
-    )
-    for i in range(1, horizon + 1):
-        values = next_features(
-            F.col("recent"), F.col("last_t") + i, F.add_months("last_period", i)
-        )
-        step = state.withColumns(dict(zip(FEATURES, values, strict=True)))
-        state = model.transform(_assembled(step)).select(
-            *keys,
-            "last_t",
-            "last_period",
-            F.concat("recent", F.array("prediction")).alias("recent"),
-            F.concat("out", F.array("prediction")).alias("out"),
-        )
-    return state.select(*keys, "last_period", F.posexplode("out").alias("i", "forecast")).select(
-        *keys, F.add_months("last_period", F.col("i") + 1).alias("period"), "forecast"
+    names, total = list(keys), TREES[model_name] if count is None else count
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("period")
+        predict = _fit(model_name, pdf[FEATURES].to_numpy(float), pdf["y"].to_numpy(float), total)
+        recent, last_t, last = list(pdf["recent"].iloc[0]), int(pdf["last_t"].iloc[0]), pdf["last_period"].iloc[0]
+        months = [(pd.Timestamp(last) + pd.DateOffset(months=i)).date() for i in range(1, horizon + 1)]
+        for i, month in enumerate(months, 1):
+            recent.append(float(predict(np.array([_next_row(recent, last_t + i, month)], float))[0]))
+        head = {k: [pdf[k].iloc[0]] * horizon for k in names}
+        return pd.DataFrame({**head, "period": months, "forecast": recent[len(recent) - horizon :]})
+
+    schema = StructType(
+        [*_key_fields(series, keys), StructField("period", DateType()), StructField("forecast", DoubleType())]
     )
+    known = attach(features.select(*names, "period", *FEATURES, "y"), history(series, keys), keys)
+    return known.groupBy(*names).applyInPandas(run, schema)
+
+
+def refit_best(
+    best: DataFrame,
+    series: DataFrame,
+    features: DataFrame,
+    horizon: int,
+    keys: Sequence[str] = (),
+    models: Sequence[str] = (*BASELINES, *MODELS),
+    count: Mapping[str, int] = TREES,
+) -> DataFrame:
+    """Months ahead of each series by its own model of ``best``, ``(keys, model)``.
+
+    Series are routed to their models first, so a model is refitted for the series it has
+    won and for no other. Cut ``best``, ``series`` and ``features`` first.
+    """
+    out: DataFrame | None = None
+    for name in models:
+        won = best.filter(F.col("model") == name).select(*keys)
+        own = attach(series, won, keys), attach(features, won, keys)
+        ahead = refit_forecast(name, *own, horizon, keys, count.get(name))
+        out = ahead if out is None else out.unionByName(ahead)
+    return out

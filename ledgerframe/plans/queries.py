@@ -561,18 +561,16 @@ def forecast_linear(t: OrderTables) -> DataFrame:
 @query
 def forecast_best(t: OrderTables) -> DataFrame:
     """Each series forecast by the model, baseline or linear, that won its holdout."""
-    panel = _panel(t)
-    features = forecast.forecast_features(panel, PANEL)
+    panel = text.cut(_panel(t))
+    features = text.cut(forecast.forecast_features(panel, PANEL))
     split = forecast.holdout_split(features, p.HOLDOUT, PANEL)
     holdout = forecast.baseline_predictions(split, PANEL).unionByName(
         models.linear_predictions(split, PANEL)
     )
     scores = _rounded(forecast.accuracy(holdout, PANEL), 9, ["MAPE"])
-    best = forecast.best_model(scores, PANEL)
-    ahead = forecast.forecast_baselines(panel, p.HORIZON, PANEL).unionByName(
-        models.refit_forecast(models.LINEAR, panel, features, p.HORIZON, PANEL)
-    )
-    return _rounded(forecast.pick_best(ahead, best, PANEL), 1, ["forecast"])
+    best = text.cut(forecast.best_model(scores, PANEL))
+    exact = (*forecast.BASELINES, models.LINEAR)
+    return _rounded(models.refit_best(best, panel, features, p.HORIZON, PANEL, exact), 1, ["forecast"])
 
 
 def _cut_split(t: OrderTables) -> DataFrame:
@@ -590,7 +588,7 @@ def _tree(t: OrderTables, model: str) -> DataFrame:
 
 @query
 def forecast_rf(t: OrderTables) -> DataFrame:
-    """One forest for all segments and companies."""
+    """A forest for each segment and company."""
     return _tree(t, models.FOREST)
 
 
@@ -654,14 +652,10 @@ def forecast_best_of_all(t: OrderTables) -> DataFrame:
     panel = text.cut(_panel(t))
     features = text.cut(forecast.forecast_features(panel, PANEL))
     holdout = _six(forecast.holdout_split(features, p.HOLDOUT, PANEL))
-    best = forecast.best_model(forecast.accuracy(holdout, PANEL), PANEL)
-    ahead = forecast.forecast_baselines(panel, p.HORIZON, PANEL)
-    for name in models.MODELS:
-        trees = TREES[name]() if name in TREES else None
-        ahead = ahead.unionByName(
-            models.refit_forecast(name, panel, features, p.HORIZON, PANEL, trees)
-        )
-    return _rounded(forecast.pick_best(ahead, best, PANEL), 2, ["forecast"])
+    best = text.cut(forecast.best_model(forecast.accuracy(holdout, PANEL), PANEL))
+    counts = {name: count() for name, count in TREES.items()}
+    ahead = models.refit_best(best, panel, features, p.HORIZON, PANEL, count=counts)
+    return _rounded(ahead, 2, ["forecast"])
 
 
 # ---------------------------------------------------------------- commentary
