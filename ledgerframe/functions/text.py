@@ -50,25 +50,33 @@ def lexicon_hits(
     negations: Sequence[str],
     window: int,
 ) -> Column:
-    """Struct ``(pos, neg)`` of lexicon hits in one pass over the tokens.
+    """Struct ``(pos, neg)`` of lexicon hits.
 
-    A hit is flipped when a negation stands among the ``window`` tokens before it. The
-    running state keeps how many tokens ago that was, not the tokens, and both counts.
+    A hit is flipped when a negation stands among the ``window`` tokens before it. Words
+    of no list are dropped first, the others keep their place and what they are in one
+    number; the fold over these remembers the place of the last negation.
     """
-    def step(acc: Column, token: Column) -> Column:
-        negated = acc["gap"] < window
-        up, down = token.isin(*positive), token.isin(*negative) & ~token.isin(*positive)
+    listed = sorted({*positive, *negative, *negations})
+
+    def coded(word: Column, place: Column) -> Column:
+        kind = F.when(word.isin(*positive), 1).when(word.isin(*negative), 2).otherwise(0)
+        negation = F.when(word.isin(*negations), 4).otherwise(0)
+        return F.when(word.isin(*listed), (place + 1).cast("long") * 8 + kind + negation)
+
+    def step(acc: Column, code: Column) -> Column:
+        place, kind = F.shiftright(code, 3), code.bitwiseAND(F.lit(3))
+        negated = place - acc["last"] <= window
+        up = ((kind == 1) & ~negated) | ((kind == 2) & negated)
         return F.struct(
-            (acc["pos"] + F.when((up & ~negated) | (down & negated), 1).otherwise(0)).alias("pos"),
-            (acc["neg"] + F.when((down & ~negated) | (up & negated), 1).otherwise(0)).alias("neg"),
-            F.when(token.isin(*negations), F.lit(0))
-            .otherwise(F.least(acc["gap"] + 1, F.lit(window)))
-            .alias("gap"),
+            (acc["pos"] + up.cast("int")).alias("pos"),
+            (acc["neg"] + ((kind > 0) & ~up).cast("int")).alias("neg"),
+            F.when(code.bitwiseAND(F.lit(4)) > 0, place).otherwise(acc["last"]).alias("last"),
         )
 
-    start = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("neg"), F.lit(window).alias("gap"))
+    start = F.struct(F.lit(0).alias("pos"), F.lit(0).alias("neg"), F.lit(-window).cast("long").alias("last"))
+    hits = F.filter(F.transform(tokens, coded), lambda code: code.isNotNull())
     return F.aggregate(
-        tokens, start, step, lambda acc: F.struct(acc["pos"].alias("pos"), acc["neg"].alias("neg"))
+        hits, start, step, lambda acc: F.struct(acc["pos"].alias("pos"), acc["neg"].alias("neg"))
     )
 
 

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.feature import StopWordsRemover
-from pyspark.ml.functions import array_to_vector
-from pyspark import StorageLevel
+import math
+from collections.abc import Iterator, Sequence
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, StopWordsRemover
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.linalg import Vectors
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -73,7 +76,7 @@ def tone_agreement(matched: DataFrame, by: Sequence[str] = ()) -> DataFrame:
 
 # ---------------------------------------------------------------- TF-IDF
 
-# hash slots in which the counts of words are summed; see _frequent
+# hash slots in which the counts of words are summed; see vocabulary
 SLOTS = 1 << 14
 
 
@@ -81,69 +84,77 @@ def default_stop_words() -> list[str]:
     return StopWordsRemover.loadDefaultStopWords("english")
 
 
-def _slot(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(SLOTS)).cast("int")
-
-
-def _frequent(found: DataFrame, max_features: int) -> Column:
-    """Array over the hash slots: whether words of the slot may build the vocabulary.
+def vocabulary(
+    docs: DataFrame, text: str, stop: Sequence[str], max_features: int, sizes: tuple[int, int] = (1, 2)
+) -> list[str]:
+    """The ``max_features`` n-grams with the highest total count (ties: by term), sorted.
 
     An n-gram is at most as frequent as its rarest word. So with c the count of the
     ``max_features``-th most frequent word, every n-gram that can reach the vocabulary
-    consists of words counted c times or more, and their slots are counted that often
-    too. The array has a fixed size, whatever the number of words or of equal counts.
+    consists of words counted c times or more, and the hash slots of these are counted that
+    often too. Only n-grams of such slots are counted; one byte per slot says which, whatever
+    the number of words or of equal counts. All counts are exact.
     """
-    counts = found.select(F.explode("u").alias("term")).groupBy("term").agg(
-        F.count(F.lit(1)).alias("total")
+    found = docs.select(terms(text, stop).alias("u"))
+    counts = cut(
+        found.select(F.explode("u").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("total"))
     )
-    top = counts.select("total").orderBy(F.desc("total")).limit(max_features)
-    least = top.agg(
-        F.when(F.count(F.lit(1)) == max_features, F.min("total")).otherwise(0).alias("c")
-    )
-    slots = counts.groupBy(_slot(F.col("term")).alias("slot")).agg(F.sum("total").alias("total"))
-    chosen = slots.filter(F.col("total") >= least.scalar()).agg(F.collect_list("slot").alias("s"))
-    every = F.sequence(F.lit(0), F.lit(SLOTS - 1))
-    return chosen.select(
-        F.transform(every, lambda i: F.array_contains("s", i)).alias("f")
-    ).scalar()
-
 
-def _grams(
-    docs: DataFrame, key: str, text: str, stop: Sequence[str], max_features: int,
-    sizes: tuple[int, int],
-) -> DataFrame:
-    """``(key, g)``: each document's n-grams of words that may build the vocabulary."""
-    found = docs.select(key, terms(text, stop).alias("u"))
-    flagged = found.select(key, "u", _frequent(found, max_features).alias("f"))
-    marked = flagged.select(
-        key, F.transform("u", lambda w: F.when(F.get("f", _slot(w)), w)).alias("u")
-    )
-    grams = [ngrams(F.col("u"), n) for n in range(sizes[0], sizes[1] + 1)]
-    return marked.select(key, F.concat(*grams).alias("g"))
-
-
-def _vocabulary(grams: DataFrame, docs: DataFrame, max_features: int) -> Column:
-    """Struct of the vocabulary's ``terms`` in alphabetical order and their ``idf``."""
+    def top(counted: DataFrame) -> dict[str, int]:
+        rows = counted.orderBy(F.desc("total"), "term").limit(max_features).collect()
+        return {r["term"]: r["total"] for r in rows}
+
+    best = top(counts)
+    totals = best if sizes[0] == 1 else {}
+    if sizes[1] > 1:
+        least = min(best.values()) if len(best) == max_features else 0
+        slot = F.pmod(F.xxhash64("term"), F.lit(SLOTS)).cast("int").alias("slot")
+        often = counts.groupBy(slot).agg(F.sum("total").alias("total")).filter(F.col("total") >= least)
+        flags = bytearray(SLOTS)
+        for r in often.select("slot").collect():
+            flags[r["slot"]] = 1
+    for n in range(max(2, sizes[0]), sizes[1] + 1):
+        length = F.greatest(F.size("u") - F.lit(n - 1), F.lit(0))
+        shifted = [F.slice("u", F.lit(k + 1), length).alias(f"w{k}") for k in range(n)]
+        runs = found.select(*shifted).select(F.inline(F.arrays_zip(*[f"w{k}" for k in range(n)])))
+        for k in range(n):
+            place = F.pmod(F.xxhash64(f"w{k}"), F.lit(SLOTS)).cast("int") + 1
+            runs = runs.filter(F.substr(F.lit(flags), place, F.lit(1)) == F.lit(bytearray([1])))
+        grams = runs.select(F.concat_ws(" ", *[f"w{k}" for k in range(n)]).alias("term"))
+        totals = totals | top(grams.groupBy("term").agg(F.count(F.lit(1)).alias("total")))
+    return sorted(sorted(totals, key=lambda t: (-totals[t], t))[:max_features])
+
+
+def term_vectors(
+    docs: DataFrame,
+    key: str,
+    text: str,
+    stop_words: Sequence[str] | None = None,
+    max_features: int = 200,
+    sizes: tuple[int, int] = (1, 2),
+) -> tuple[DataFrame, list[str]]:
+    """``(key, features)``, each document's weights of the vocabulary, and the vocabulary.
 
-    def counted(column: Column, df: int) -> Column:
-        return F.transform(column, lambda x: F.struct(x.alias("term"), F.lit(df).alias("df")))
+    Stop words go first, then 1- and 2-grams are built. idf is ln((1+n)/(1+df)) + 1 and
+    the weights of a document have length one; a document without any term has none.
 
-    both = F.concat(counted(F.col("g"), 0), counted(F.array_distinct("g"), 1))
-    vocab = (
-        grams.select(F.explode(both).alias("x"))
-        .groupBy(F.col("x.term").alias("term"))
-        .agg(F.count_if(F.col("x.df") == 0).alias("total"), F.sum("x.df").alias("df"))
-        .orderBy(F.desc("total"), "term")
-        .limit(max_features)
-    )
-    n = docs.select(F.count(F.lit(1)).alias("n")).scalar()
-    listed = F.array_sort(F.collect_list(F.struct("term", "idf")))
-    return (
-        vocab.select("term", (F.log((n + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-        .agg(listed.alias("v"))
-        .select(F.struct(F.col("v.term").alias("terms"), F.col("v.idf").alias("idf")).alias("v"))
-        .scalar()
-    )
+    The vocabulary is counted when the function is called (``max_features`` terms reach
+    the driver); it then meets each document in its row by a hashed lookup, without a
+    shuffle of documents.
+    """
+    stop = list(default_stop_words() if stop_words is None else stop_words)
+    listed = vocabulary(docs, text, stop, max_features, sizes)
+    if not listed:
+        return docs.select(key, array_to_vector(F.expr("CAST(array() AS array<double>)")).alias("features")), []
+    grams = [ngrams(F.col("u"), n) if n > 1 else F.col("u") for n in range(sizes[0], sizes[1] + 1)]
+    rows = docs.select(key, terms(text, stop).alias("u")).select(key, F.coalesce(F.concat(*grams), F.array()).alias("g"))
+    # read again for the document frequencies and for the weights
+    counted = cut(CountVectorizerModel.from_vocabulary(listed, "g", "tf").transform(rows).select(key, "tf"))
+    seen = counted.select(Summarizer.metrics("numNonZeros", "count").summary(F.col("tf")).alias("s")).first()["s"]
+    idf = [math.log((1 + seen["count"]) / (1 + df)) + 1 for df in seen["numNonZeros"]]
+    raw = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="tf", outputCol="raw").transform(counted)
+    scaled = Normalizer(p=2.0, inputCol="raw", outputCol="features").transform(raw)
+    return scaled.select(key, "features"), listed
 
 
 def term_weights(
@@ -154,45 +165,27 @@ def term_weights(
     max_features: int = 200,
     sizes: tuple[int, int] = (1, 2),
 ) -> DataFrame:
-    """``(key, w)``: each document's vocabulary terms as structs (term, idx, weight).
+    """``(key, w)``: ``term_vectors`` as an array of structs (term, idx, weight) in each row.
 
-    Stop words go first, then 1- and 2-grams are built. The vocabulary is the
-    ``max_features`` n-grams with the highest total count, equal ones by term, and
-    ``idx`` numbers it alphabetically. idf is ln((1+n)/(1+df)) + 1 and the weights of a
-    document have length one. A document without any term has an empty array.
-
-    Only words and the n-grams of frequent words are counted across documents; the
-    vocabulary then meets each document in its row, without a shuffle of documents.
+    ``idx`` numbers the vocabulary alphabetically; weights of 0 are left out.
     """
-    stop = list(default_stop_words() if stop_words is None else stop_words)
-    grams = _grams(docs, key, text, stop, max_features, sizes)
-    rows = grams.select(key, "g", _vocabulary(grams, docs, max_features).alias("v"))
-    place = F.transform("g", lambda x: F.array_position("v.terms", x).cast("int"))
-
-    def weigh(places: Column) -> Column:
-        own = F.array_distinct(places)
-        starts = F.transform(own, lambda i: F.array_position(places, i))
-        ends = F.concat(
-            F.slice(starts, 2, F.greatest(F.size(starts) - 1, F.lit(0))),
-            F.array(F.size(places).cast("long") + 1),
-        )
-        return F.zip_with(
-            own, F.zip_with(starts, F.slice(ends, 1, F.size(own)), lambda a, b: b - a),
-            lambda i, tf: F.struct(i.alias("i"), (tf * F.element_at("v.idf", i)).alias("raw")),
-        )
-
-    def scale(raw: Column) -> Column:
-        norm = F.sqrt(F.aggregate(raw, F.lit(0.0), lambda acc, x: acc + x["raw"] * x["raw"]))
-        return F.transform(raw, lambda x: F.struct(
-            F.element_at("v.terms", x["i"]).alias("term"), (x["i"] - 1).alias("idx"),
-            (x["raw"] / norm).alias("weight"),
+    return listed_weights(*term_vectors(docs, key, text, stop_words, max_features, sizes), key)
+
+
+def listed_weights(vectors: DataFrame, listed: Sequence[str], key: str) -> DataFrame:
+    """``(key, w)`` from ``term_vectors``."""
+    if not listed:
+        none = F.expr("CAST(array() AS array<struct<term:string,idx:int,weight:double>>)")
+        return vectors.select(key, none.alias("w"))
+    names, places = F.lit(list(listed)), F.lit(list(range(len(listed))))
+
+    def named(weights: Column) -> Column:
+        own = F.filter(places, lambda i: F.get(weights, i) > 0)
+        return F.transform(own, lambda i: F.struct(
+            F.get(names, i).alias("term"), i.alias("idx"), F.get(weights, i).alias("weight")
         ))
 
-    # sorted places: equal ones are neighbours, so a term's count is the gap to the next
-    weighed = let(F.array_sort(F.filter(place, lambda i: i > 0)), weigh)
-    return rows.select(
-        key, F.when(F.size("g") > 0, let(weighed, scale)).otherwise(F.array()).alias("w")
-    )
+    return vectors.select(key, let(vector_to_array("features"), named).alias("w"))
 
 
 def tfidf(
@@ -232,59 +225,130 @@ def top_terms(weights: DataFrame, key: str, k: int = 5, sep: str = ", ") -> Data
 
 # ---------------------------------------------------------------- topics
 
-def doc_vectors(rows: DataFrame, key: str, size: int = 200) -> DataFrame:
-    """One vector per row of ``term_weights``; a document without terms gets zeros."""
-    own = F.transform("w", lambda x: x["idx"])
-    cells = let(own, lambda idx: F.transform(
-        F.sequence(F.lit(0), F.lit(size - 1)),
-        lambda i: F.coalesce(F.get(F.col("w.weight"), F.array_position(idx, i).cast("int") - 1), F.lit(0.0)),
+# Weights and distances are counted in whole units, so that sums and ties do not depend on
+# the order of the rows.
+WEIGHT_UNITS = 1_000_000
+DISTANCE_UNITS = 1_000_000_000
+
+
+def _whole_weights(vectors: DataFrame, key: str) -> DataFrame:
+    """``(key, idx, x)``: the places and whole weights of each row's terms."""
+    whole = F.transform(vector_to_array("features"), lambda v: F.round(v * WEIGHT_UNITS).cast("long"))
+    places = let(whole, lambda w: F.struct(
+        F.filter(F.sequence(F.lit(0), F.size(w) - 1), lambda i: F.get(w, i) > 0).alias("idx"),
+        F.filter(w, lambda v: v > 0).alias("x"),
     ))
-    return rows.select(key, array_to_vector(cells).alias("features"))
-
-
-def fit_topics(vectors: DataFrame, k: int = 5, starts: int = 10, seed: int = 42) -> KMeansModel:
-    """The cheapest of several k-means fits. ``vectors`` is read many times: cut it first."""
-    models = [
-        KMeans(k=k, seed=seed + s, featuresCol="features", predictionCol="topic_cluster").fit(
-            vectors
-        )
-        for s in range(starts)
-    ]
-    return min(models, key=lambda m: m.summary.trainingCost)
-
-
-def topic_labels(model: KMeansModel, weights: DataFrame, top: int = 6, sep: str = ", ") -> DataFrame:
-    """Each cluster's heaviest centroid terms; ``weights`` holds (term, idx)."""
-    rows = [
-        (c, i, float(v))
-        for c, centre in enumerate(model.clusterCenters())
-        for i, v in enumerate(centre)
-    ]
-    centres = weights.sparkSession.createDataFrame(
-        rows, "topic_cluster int, idx int, weight double"
-    )
-    named = centres.join(weights.select("term", "idx").distinct(), "idx")
-    return top_terms(named, "topic_cluster", top, sep).withColumnRenamed(
-        "top_keywords", "topic_cluster_label"
-    )
+    return vectors.select(key, places.alias("c")).select(key, "c.idx", "c.x")
+
+
+def _first_documents(points: DataFrame, key: str, k: int, starts: int, seed: int) -> DataFrame:
+    """The ``k`` documents each start begins with: those of the lowest hash."""
+    name = F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(":"))
+    drawn = points.select(
+        key, "idx", "x", F.explode(F.sequence(F.lit(seed), F.lit(seed + starts - 1))).alias("start")
+    ).withColumn("h", F.md5(F.concat(name, F.col("start").cast("string"))))
+    order = Window.partitionBy("start").orderBy("h", key)
+    return drawn.withColumn("c", F.row_number().over(order) - 1).filter(F.col("c") < k)
+
+
+def _distances(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Whole squared distances to all centroids, less the row's own square."""
+    products = x @ centroids.reshape(-1, centroids.shape[-1]).T / WEIGHT_UNITS
+    apart = (centroids**2).sum(axis=2).reshape(-1) - 2 * products
+    return np.rint(apart * DISTANCE_UNITS).reshape(len(x), *centroids.shape[:2])
+
+
+def _dense(batch: pa.RecordBatch, size: int) -> np.ndarray:
+    idx, x = batch.column("idx"), batch.column("x")
+    row = np.repeat(np.arange(batch.num_rows), np.diff(idx.offsets.to_numpy()))
+    out = np.zeros((batch.num_rows, size))
+    out[row, idx.flatten().to_numpy()] = x.flatten().to_numpy()
+    return out
+
+
+def fit_topics(
+    points: DataFrame, key: str, size: int, k: int = 5, starts: int = 10, seed: int = 42, rounds: int = 10
+) -> tuple[np.ndarray, int]:
+    """Centroids after Lloyd's rounds from several starts, and the cheapest start.
+
+    All starts run at once: a round is one pass over the rows and one aggregation of
+    ``starts * k * size`` whole numbers. A cluster that loses all its rows keeps its
+    centroid; equal distances go to the first cluster, equal costs to the first start.
+    """
+    begun = _first_documents(points, key, k, starts, seed).select("start", "c", "idx", "x").collect()
+    centroids = np.zeros((starts, max((r["c"] for r in begun), default=-1) + 1, size))
+    for r in begun:
+        centroids[r["start"] - seed, r["c"], r["idx"]] = np.array(r["x"], float) / WEIGHT_UNITS
+    if not begun:
+        return centroids, 0
+
+    def summed(centroids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Sums and numbers of rows of each cluster, and the cost of each start."""
+        shape = (*centroids.shape[:2], size + 2)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            cells = np.zeros(shape)
+            for batch in batches:
+                x = _dense(batch, size)
+                apart = _distances(x, centroids)
+                own = apart.argmin(axis=2)
+                for s in range(shape[0]):
+                    chosen = (own[:, s, None] == np.arange(shape[1])).astype(float)
+                    cells[s, :, :size] += chosen.T @ x
+                    cells[s, :, size] += chosen.sum(axis=0)
+                    cells[s, 0, size + 1] += apart[:, s].min(axis=1).sum()
+            at = np.nonzero(cells.reshape(-1))[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(at), pa.array(cells.reshape(-1)[at].astype(np.int64))], ["cell", "value"]
+            )
+
+        found = points.mapInArrow(run, "cell bigint, value bigint").groupBy("cell").agg(F.sum("value").alias("value"))
+        cells = np.zeros(np.prod(shape))
+        for r in found.collect():
+            cells[r["cell"]] = r["value"]
+        cells = cells.reshape(shape)
+        return cells[..., :size], cells[..., size], cells[:, 0, size + 1]
+
+    for _ in range(rounds):
+        sums, counts, _ = summed(centroids)
+        filled = np.maximum(counts, 1)[..., None] * WEIGHT_UNITS
+        moved = np.where(counts[..., None] > 0, sums / filled, centroids)
+        if np.array_equal(moved, centroids):
+            break
+        centroids = moved
+    return centroids, int(np.argmin(summed(centroids)[2]))
 
 
 def topics(
-    rows: DataFrame,
+    vectors: DataFrame,
     key: str,
+    listed: Sequence[str],
     k: int = 5,
     starts: int = 10,
     seed: int = 42,
-    size: int = 200,
+    top: int = 6,
+    sep: str = ", ",
 ) -> tuple[DataFrame, DataFrame]:
-    """Cluster of each document of ``term_weights``, and the clusters' labels."""
-    kept = cut(rows)
-    vectors = doc_vectors(kept, key, size).persist(StorageLevel.MEMORY_AND_DISK)
-    model = fit_topics(vectors, k, starts, seed)
-    vectors.unpersist()
-    weights = kept.select(F.explode("w").alias("x")).select("x.term", "x.idx")
-    labels = topic_labels(model, weights)
-    return model.transform(doc_vectors(kept, key, size)).select(key, "topic_cluster"), labels
+    """Cluster of each document of ``term_vectors``, and the clusters' labels.
+
+    A label is the ``top`` heaviest terms of the centroid, equal ones by term.
+    """
+    points = cut(_whole_weights(vectors, key))
+    centroids, best = fit_topics(points, key, len(listed), k, starts, seed)
+    chosen = centroids[best : best + 1]
+    kind = points.schema[key].dataType.simpleString()
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = _distances(_dense(batch, len(listed)), chosen)[:, 0].argmin(axis=1)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(own.astype(np.int32))], [key, "topic_cluster"])
+
+    labels = []
+    for c, centre in enumerate(chosen[0]):
+        heavy = sorted((-round(float(v), 9), listed[i]) for i, v in enumerate(centre) if v > 0)
+        labels.append((c, sep.join(t for _, t in heavy[:top])))
+    named = vectors.sparkSession.createDataFrame(labels, "topic_cluster int, topic_cluster_label string")
+    return points.mapInArrow(assign, f"`{key}` {kind}, topic_cluster int"), named
 
 
 def topic_summary(scored: DataFrame) -> DataFrame:

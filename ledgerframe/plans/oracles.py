@@ -453,6 +453,54 @@ top5 AS (
       PARTITION BY doc_id ORDER BY round(weight, 9) DESC, term) AS r FROM weights)
   WHERE r <= 5 GROUP BY doc_id)"""
 
+def _lloyd(rounds: int = 10, starts: int = 10, seed: int = 42, k: int = 5) -> str:
+    """Lloyd's rounds from several starts; every round is three tables."""
+    parts = [
+        "pts AS MATERIALIZED (SELECT doc_id, idx, CAST(round(weight * 1000000) AS BIGINT) AS x FROM weights "
+        "WHERE round(weight * 1000000) > 0)",
+        f"""seeds AS MATERIALIZED (
+  SELECT start, doc_id, row_number() OVER (PARTITION BY start ORDER BY md5(doc_id || ':' || start), doc_id) - 1 AS c
+  FROM docs, range({seed}, {seed + starts}) AS r(start) QUALIFY c < {k})""",
+        "c0 AS MATERIALIZED (SELECT start, c, idx, x / 1e6::DOUBLE AS v FROM seeds JOIN pts USING (doc_id))",
+    ]
+    for r in range(rounds + 1):
+        parts += [
+            f"""d{r} AS MATERIALIZED (
+  SELECT doc_id, start, c, CAST(round((cc - 2 * coalesce(d, 0)) * 1e9::DOUBLE) AS BIGINT) AS apart
+  FROM docs CROSS JOIN (
+    SELECT s.start, s.c, coalesce(sum(v * v), 0) AS cc FROM seeds s LEFT JOIN c{r} USING (start, c) GROUP BY ALL)
+  LEFT JOIN (
+    SELECT doc_id, start, c, sum(x / 1e6::DOUBLE * v) AS d FROM pts JOIN c{r} USING (idx) GROUP BY ALL)
+  USING (doc_id, start, c))""",
+            f"""a{r} AS MATERIALIZED (
+  SELECT doc_id, start, c, apart FROM d{r}
+  QUALIFY row_number() OVER (PARTITION BY doc_id, start ORDER BY apart, c) = 1)""",
+        ]
+        if r < rounds:
+            parts.append(f"""c{r + 1} AS MATERIALIZED (
+  SELECT start, c, idx, sum(x) / 1e6::DOUBLE / n AS v
+  FROM a{r} JOIN pts USING (doc_id) JOIN (SELECT start, c, count(*) AS n FROM a{r} GROUP BY ALL) USING (start, c)
+  GROUP BY start, c, idx, n
+  UNION ALL
+  SELECT start, c, idx, v FROM c{r} ANTI JOIN a{r} USING (start, c))""")
+    return ",\n".join(
+        [
+            *parts,
+            f"cheapest AS (SELECT start FROM a{rounds} GROUP BY start ORDER BY sum(apart), start LIMIT 1)",
+            f"topic AS (SELECT doc_id, CAST(c AS INTEGER) AS topic_cluster FROM a{rounds} SEMI JOIN cheapest USING (start))",
+            f"""topic_name AS (
+  SELECT topic_cluster, coalesce(string_agg(term, ', ' ORDER BY r) FILTER (r <= 6), '') AS topic_cluster_label
+  FROM (SELECT DISTINCT CAST(c AS INTEGER) AS topic_cluster FROM seeds SEMI JOIN cheapest USING (start)) LEFT JOIN (
+    SELECT CAST(c AS INTEGER) AS topic_cluster, term,
+      row_number() OVER (PARTITION BY c ORDER BY round(v, 9) DESC, term) AS r
+    FROM c{rounds} SEMI JOIN cheapest USING (start) JOIN vocab USING (idx) WHERE v > 0) USING (topic_cluster)
+  GROUP BY topic_cluster)""",
+        ]
+    )
+
+
+TOPICS = _lloyd()
+
 LINK = f"""
 qs AS (
   SELECT fiscal_quarter, cost_center, avg(sentiment_score) AS avg_sentiment
@@ -940,6 +988,14 @@ oracle(
     f"SELECT doc_id, term, CAST(idx AS INTEGER) AS idx, {rnd('weight', 6)} AS weight FROM weights",
 )
 oracle("doc_top_keywords", [DOCS, TFIDF], "SELECT * FROM top5")
+oracle("topic_clusters", [DOCS, TFIDF, TOPICS], "SELECT * FROM topic")
+oracle("topic_labels", [DOCS, TFIDF, TOPICS], "SELECT * FROM topic_name")
+oracle(
+    "topic_summary", [*_TONE, TFIDF, TOPICS],
+    f"""SELECT topic_cluster, topic_cluster_label, count(*) AS comment_count,
+  {rnd('avg(sentiment_score)', 9)} AS avg_sentiment
+FROM scored JOIN topic USING (doc_id) JOIN topic_name USING (topic_cluster) GROUP BY ALL""",
+)
 oracle(
     "sentiment_by_department", [CENTERS, *_TONE, TFIDF],
     """SELECT s.*, department, function, label AS authored_tone_label,

@@ -706,7 +706,10 @@ def doc_top_keywords(t: OrderTables) -> DataFrame:
 
 
 def _topics(t: OrderTables) -> tuple[DataFrame, DataFrame]:
-    return text.topics(_weights(t), "doc_id", size=p.MAX_FEATURES)
+    vectors, listed = text.term_vectors(
+        order_ledger.commentary(t), "doc_id", "commentary_text", p.STOP_WORDS, p.MAX_FEATURES
+    )
+    return text.topics(vectors, "doc_id", listed)
 
 
 @query

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
 import math
 import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +155,53 @@ def test_many_equal_counts(spark):
     docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
     got = {(r["id"], r["term"]): r["weight"] for r in commentary.tfidf(docs, "id", "text", [], 2).collect()}
     assert got == pytest.approx(plain_tfidf(texts, set(), 2), rel=1e-12)
+
+
+def plain_lloyd(x, names, k, starts, seed, rounds):
+    """Centroid rows and the cheapest start, by plain loops over whole weights."""
+    whole = np.rint(x * 1e6)
+    best = None
+    for s in range(seed, seed + starts):
+        order = sorted(range(len(x)), key=lambda i: (hashlib.md5(f"{names[i]}:{s}".encode()).hexdigest(), names[i]))
+        centres = [whole[i] / 1e6 for i in order[:k]]
+        for last in [False] * rounds + [True]:
+            apart = [[round((float(c @ c) - 2 * float(w @ c) / 1e6) * 1e9) for c in centres] for w in whole]
+            own = [row.index(min(row)) for row in apart]
+            if last:
+                break
+            for c in range(len(centres)):
+                rows = [w for w, o in zip(whole, own) if o == c]
+                if rows:
+                    centres[c] = sum(rows) / (len(rows) * 1e6)
+        cost = sum(map(min, apart))
+        if best is None or cost < best[0]:
+            best = cost, s - seed, centres, own
+    return best[1:]
+
+
+@pytest.mark.parametrize("k, starts, seed", [(3, 4, 42), (5, 2, 7)])
+def test_topics_agree_with_plain_loops(spark, k, starts, seed):
+    rng = random.Random(k)
+    pools = [["plan", "cost", "team"], ["risk", "deal", "fee"], ["growth", "price", "sales", "cost"]]
+    texts = [" ".join(rng.choices(rng.choice(pools), k=rng.randint(0, 12))) for _ in range(60)]
+    docs = spark.createDataFrame([(f"d{i}", t) for i, t in enumerate(texts)], "id string, text string").repartition(4)
+    vectors, listed = commentary.term_vectors(docs, "id", "text", [], 20)
+    rows = vectors.collect()
+    x = np.array([r["features"].toArray() for r in rows])
+    best, centres, own = plain_lloyd(x, [r["id"] for r in rows], k, starts, seed, 10)
+    clusters, labels = commentary.topics(vectors, "id", listed, k, starts, seed)
+    assert {r["id"]: r["topic_cluster"] for r in clusters.collect()} == dict(zip([r["id"] for r in rows], own))
+    named = {r["topic_cluster"]: r["topic_cluster_label"] for r in labels.collect()}
+    for c, centre in enumerate(centres):
+        heavy = sorted((-round(float(v), 9), listed[i]) for i, v in enumerate(centre) if v > 0)
+        assert named[c] == ", ".join(t for _, t in heavy[:6])
+
+
+def test_topics_of_few_documents_and_of_none(spark):
+    docs = spark.createDataFrame([(1, "plan plan"), (2, ""), (3, None)], "id int, text string")
+    vectors, listed = commentary.term_vectors(docs, "id", "text", [], 20)
+    clusters, _ = commentary.topics(vectors, "id", listed)
+    assert {r["id"] for r in clusters.collect()} == {1, 2, 3}
+    vectors, listed = commentary.term_vectors(docs.limit(0), "id", "text", [], 20)
+    clusters, labels = commentary.topics(vectors, "id", listed)
+    assert listed == [] and clusters.count() == 0 and labels.count() == 0
