@@ -8,23 +8,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import keep, texts
+from .common import keep
 
 CAPACITY = 2048
-END_ID = (0).to_bytes(4, "little")
 SPACE = " \t\n\v\f\r"
 SEGMENT = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 # anything else that some definition takes for white space
-OTHER_SPACE = re.compile(
-    r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u202f\u205f\u2060\u3000\ufeff]"
-)
-UNUSUAL = ("  ", "\n\n", " \n", "\n ", "\t", "\v", "\f", "\r")
+OTHER_SPACE = r"\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}\x{2029}\x{202f}\x{205f}\x{2060}\x{3000}\x{feff}"
+OTHER = re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{int(m[1], 16):04x}", f"[{OTHER_SPACE}]"))
+# texts that are more than words with a single blank or line feed between; empty ones
+UNUSUAL = rf"  |\n\n| \n|\n |[\t\v\f\r{OTHER_SPACE}]|^[ \n]|[ \n]$|^$"
 # segments a task remembers before it forgets rare ones, and those encoded in one go
 KNOWN_SEGMENTS = 500_000
 GROUP = 1000
+# texts whose segments are looked up at once
+SLICE_TEXTS = 512
 
 
 class SegmentEncoder:
@@ -68,38 +70,60 @@ class SegmentEncoder:
             ends = 4 * (np.searchsorted(reached, np.cumsum([len(g.encode()) for _, g in group])) + 1)
             self.known.update((k, raw[lo:hi]) for (k, _), lo, hi in zip(group, [0, *ends.tolist()], ends.tolist()))
 
-    def encode(self, values: list[str]) -> list[bytes]:
-        """Little-endian unsigned 32-bit ids of each value."""
-        rows = [_keys(v) for v in values]
+    def _known(self, keys: list[str]) -> list[bytes]:
         if len(self.known) > self.remember:
             # what these texts use stays, so that common words are not learned anew
-            used = set().union(*[row for row in rows if row is not None])
-            self.known = {k: self.known[k] for k in used & self.known.keys()}
-        found = [None if row is None else list(map(self.known.get, row)) for row in rows]
-        gaps = [i for i, ids in enumerate(found) if ids is not None and None in ids]
-        self._learn(list({k for i in gaps for k, ids in zip(rows[i], found[i]) if ids is None}))
-        for i in gaps:
-            found[i] = map(self.known.__getitem__, rows[i])
-        whole = iter(self._encode([v for v, row in zip(values, rows) if row is None]))
-        return [next(whole) if ids is None else b"".join(ids) for ids in found]
-
-
-def _keys(text: str) -> list[str] | None:
-    """The keys of a text's segments; None if it has to be encoded in one piece.
+            self.known = {k: self.known[k] for k in keys if k in self.known}
+        found = list(map(self.known.get, keys))
+        if None in found:
+            self._learn([k for k, ids in zip(keys, found) if ids is None])
+            found = list(map(self.known.__getitem__, keys))
+        return found
+
+    def _usual(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids, and all ids, of texts of single blanks and line feeds.
+
+        Arrow finds the segments and which of them are equal; each different one is looked
+        up once, and its ids are copied by place.
+        """
+        # the key of a word behind a blank is the word, the first one's begins with \r
+        marked = pc.replace_substring(pc.binary_join_element_wise("\r", values, ""), "\n", " \n")
+        rows = pc.split_pattern(marked, " ")
+        coded = rows.flatten().dictionary_encode()
+        code, ids = coded.indices.to_numpy(), self._known(coded.dictionary.to_pylist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        every, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        n = sizes[code]
+        reached = np.r_[0, np.cumsum(n)]
+        taken = every[np.repeat(starts[code] - reached[:-1], n) + np.arange(reached[-1])]
+        return np.diff(reached[rows.offsets.to_numpy() - rows.offsets[0].as_py()]), taken
+
+    def _unusual(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        whole = [bool(OTHER.search(v)) for v in values]
+        keys = [[] if w else _keys(v) for v, w in zip(values, whole)]
+        ids = dict(zip(flat := list({k for row in keys for k in row}), self._known(flat)))
+        alone = iter(self._encode([v for v, w in zip(values, whole) if w]))
+        found = [next(alone) if w else b"".join([ids[k] for k in row]) for row, w in zip(keys, whole)]
+        return np.array([len(f) // 4 for f in found], np.int64), np.frombuffer(b"".join(found), "<u4")
+
+    def encode(self, values: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Places of some values, their numbers of ids, and these one text after the other;
+        every value comes once."""
+        odd = pc.match_substring_regex(values, UNUSUAL).to_numpy(zero_copy_only=False)
+        for run, places in ((self._usual, np.nonzero(~odd)[0]), (self._unusual, np.nonzero(odd)[0])):
+            if len(places):
+                some = values.take(pa.array(places))
+                yield places, *run(some if run == self._usual else some.to_pylist())
+
+
+def _keys(text: str) -> list[str]:
+    """The keys of a text's segments.
 
     The key of a segment is itself, but for the usual one, a blank and a word: there it is
     the word. A first word, without a blank, is marked by a carriage return.
     """
-    if (not text.isascii() or any([c in text for c in "\x1c\x1d\x1e\x1f"])) and OTHER_SPACE.search(text):
-        return None
-    if not text:
-        return []
-    if text[0] in " \n" or text[-1] in " \n" or any([u in text for u in UNUSUAL]):
-        plain = [g[0] == " " and g[1:2] not in ("", *SPACE) for g in SEGMENT.findall(text)]
-        return [g[1:] if p else "\r" + g for g, p in zip(SEGMENT.findall(text), plain)]
-    out = text.replace("\n", " \n").split(" ")
-    out[0] = "\r" + out[0]
-    return out
+    plain = [g[0] == " " and g[1:2] not in ("", *SPACE) for g in SEGMENT.findall(text)]
+    return [g[1:] if p else "\r" + g for g, p in zip(SEGMENT.findall(text), plain)]
 
 
 def _segment(key: str) -> str:
@@ -127,29 +151,11 @@ def token_pieces(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = SegmentEncoder(tokenizer, remember)
-        for batch, values in texts(batches):
-            rows, pieces, starts, lengths, ids = [], [], [], [], []
-            for row, found in enumerate(encoder.encode(values)):
-                flat = found + END_ID
-                size = len(flat) // 4
-                head = size % capacity or capacity
-                for piece, lo in enumerate([0, *range(head, size, capacity)]):
-                    hi = lo + capacity if piece else head
-                    rows.append(row)
-                    pieces.append(piece)
-                    starts.append(lo)
-                    lengths.append(hi - lo)
-                    ids.append(flat[4 * lo : 4 * hi])
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(rows, pa.int64())),
-                    pa.array(pieces, pa.int32()),
-                    pa.array(starts, pa.int64()),
-                    pa.array(lengths, pa.int64()),
-                    pa.array(ids, pa.binary()),
-                ],
-                ["doc_id", "piece", "start", "length", "ids"],
-            )
+        for batch in batches:
+            for at in range(0, batch.num_rows, SLICE_TEXTS):
+                part = batch.slice(at, SLICE_TEXTS)
+                for places, sizes, ids in encoder.encode(pc.fill_null(part.column(1), "")):
+                    yield _pieces(part.column(0).take(pa.array(places)), sizes, ids, capacity)
 
     picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
     return picked.mapInArrow(
@@ -157,6 +163,32 @@ def token_pieces(
     )
 
 
+def _pieces(keys: pa.Array, sizes: np.ndarray, ids: np.ndarray, capacity: int) -> pa.RecordBatch:
+    """The pieces of texts with ``sizes`` ids, which stand one after the other in ``ids``."""
+    ended = np.zeros(len(ids) + len(sizes), "<u4")
+    ended[np.arange(len(ids)) + np.repeat(np.arange(len(sizes)), sizes)] = ids
+    sizes = sizes + 1
+    pieces = -(-sizes // capacity)
+    row = np.repeat(np.arange(len(sizes)), pieces)
+    piece = np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+    head = (sizes - (pieces - 1) * capacity)[row]
+    length = np.where(piece == 0, head, capacity)
+    ends = np.r_[0, 4 * np.cumsum(length)]
+    binary = pa.Array.from_buffers(
+        pa.large_binary(), len(length), [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(ended)]
+    )
+    return pa.RecordBatch.from_arrays(
+        [
+            keys.take(pa.array(row)),
+            pa.array(piece.astype(np.int32)),
+            pa.array(np.where(piece == 0, 0, head + (piece - 1) * capacity)),
+            pa.array(length),
+            binary.cast(pa.binary()),
+        ],
+        ["doc_id", "piece", "start", "length", "ids"],
+    )
+
+
 # ---------------------------------------------------------------- plan
 
 class CapacityTree:

@@ -12,6 +12,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -284,8 +285,6 @@ def test_packing_round_trip(spark):
 
 
 def test_segments_encode_like_the_library():
-    from array import array
-
     from tokenizers import Tokenizer
 
     path = public_tokenizers.path("byte_bpe_50k.json")
@@ -293,7 +292,14 @@ def test_segments_encode_like_the_library():
     rng = random.Random(2)
     texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
     found = Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)
-    assert packing.SegmentEncoder(path).encode(texts) == [array("I", e.ids).tobytes() for e in found]
+    for remember in (10, 500_000):
+        encoder = packing.SegmentEncoder(path, remember)
+        for _ in range(2):
+            got = {}
+            for places, sizes, ids in encoder.encode(pa.array(texts)):
+                cuts = np.split(ids, np.cumsum(sizes)[:-1])
+                got.update((i, c.tolist()) for i, c in zip(places.tolist(), cuts))
+            assert got == {i: e.ids for i, e in enumerate(found)}
 
 
 def test_packing_query_digests(spark):
