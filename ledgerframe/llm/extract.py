@@ -5,8 +5,9 @@ from __future__ import annotations
 import html as entities
 import re
 from collections import deque
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from .common import slices
 
 TAG = re.compile(r"""<(/?)([A-Za-z][^\s/<>]*+)((?:[^<>"']++|"[^"]*+"|'[^']*+')*+)>|<(/?)([A-Za-z][^\s/<>]*+)([^<>]*+)>?|<[!?/][^>]*+>?""")
-MARK = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+MARK = re.compile(r"""(?<![\w-])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 SPACE = re.compile(r"\s+")
 SILENT = frozenset("script style noscript template svg math iframe object canvas audio video select textarea head title".split())
@@ -45,13 +46,85 @@ BOILER_WEIGHT, CONTENT_WEIGHT = -8.0, 1.5
 SMOOTH = 0.7
 
 
+# names behind these tell of something else on the page, or that it is missing
+ELSEWHERE = frozenset("no not without has with".split())
+# an element with so much of the page's plain text is a wrapper, not a menu
+WRAPS = 0.8
+# and an article with less of it is a teaser
+FAIR = 0.2
+
+
 @dataclass
 class Block:
     text: str
     linked: int
     tag: str
     weight: float
-    path: tuple[int, ...]
+    node: int
+
+
+class Tree:
+    """The page's elements, numbered as they open; 0 is the page itself."""
+
+    def __init__(self) -> None:
+        self.parents, self.depths, self.tags, self.own, self.plain = [-1], [0], [""], [0.0], [0]
+
+    def add(self, parent: int, tag: str, own: float) -> int:
+        self.parents.append(parent)
+        self.depths.append(self.depths[parent] + 1)
+        self.tags.append(tag)
+        self.own.append(own)
+        self.plain.append(0)
+        return len(self.parents) - 1
+
+    def steps(self, a: int, b: int) -> int:
+        """Elements to leave and enter between two. Neighbours in the page are as far apart
+        as tags stand between them, so all of them together take one walk over the tree."""
+        n = 0
+        while a != b:
+            if self.depths[a] >= self.depths[b]:
+                a = self.parents[a]
+            else:
+                b = self.parents[b]
+            n += 1
+        return n
+
+    def weights(self, found: list[Block]) -> list[float]:
+        """What each element and those around it speak for, summed.
+
+        Costs of names and tags count for what they wrap only if that is a part of the
+        page: not around the longest article or main element, if that has a fair share of
+        the plain text, and else not around most of the plain text.
+        """
+        plain = self.plain
+        for block in found:
+            plain[block.node] += len(block.text) - block.linked
+        for k in range(len(plain) - 1, 0, -1):
+            plain[self.parents[k]] += plain[k]
+        articles = [k for k, tag in enumerate(self.tags) if tag in ("article", "main") and self.own[k] > 0 and plain[k] > FAIR * plain[0]]
+        around = set()
+        at = max(articles, key=lambda k: (plain[k], k), default=0)
+        while at > 0:
+            at = self.parents[at]
+            around.add(at)
+        total = [0.0] * len(plain)
+        for k in range(1, len(plain)):
+            own = self.own[k]
+            if own < 0 and self.tags[k] not in SILENT:
+                wraps = k in around if articles else plain[k] >= WRAPS * plain[0] and plain[k] > 0
+                own = 0.0 if wraps else own
+            total[k] = total[self.parents[k]] + own
+        return total
+
+
+def _names(value: str) -> set[str]:
+    found = set()
+    for word in value.split():
+        for part in NAME.findall(word):
+            if part.lower() in ELSEWHERE:
+                break
+            found.add(part.lower())
+    return found
 
 
 def _own_weight(tag: str, attributes: str, inside_article: bool) -> float:
@@ -61,7 +134,7 @@ def _own_weight(tag: str, attributes: str, inside_article: bool) -> float:
     if attributes and tag not in ("body", "html"):
         boiler = content = False
         for _, a, b, c in MARK.findall(attributes):
-            names = {n.lower() for n in NAME.findall(a or b or c)}
+            names = _names(a or b or c)
             own = not names.isdisjoint(CONTENT_NAMES)
             # the head of an article is none of the page's
             boiler |= not (names - {"header"} if own else names).isdisjoint(BOILER_NAMES)
@@ -73,19 +146,35 @@ def _own_weight(tag: str, attributes: str, inside_article: bool) -> float:
     return weight
 
 
+class Open(NamedTuple):
+    """An open element; what it has inherited saves looking through the stack."""
+
+    tag: str
+    block_tag: str
+    article: bool
+    node: int
+    scope: int  # place of the nearest element that ends the reach of optional end tags
+
+
 def blocks(page: str) -> list[Block]:
-    """The page's runs of text between block-level tags, in page order.
+    return parsed(page)[0]
+
+
+def parsed(page: str) -> tuple[list[Block], Tree]:
+    """The page's runs of text between block-level tags, in page order, and its elements.
 
     Scripts, styles, heads and comments are left out. Every block carries the summed
     weights of the elements around it and their numbers from the root down; text within
     links is counted. Elements may be left open: a head ends at the first start tag that
     cannot stand in it, other silent elements but scripts and styles with their parent.
+    Time and memory grow with the page, however deep its elements are nested.
     """
     out: list[Block] = []
+    tree = Tree()
     parts: list[str] = []
-    linked, links, number, at, size = 0, 0, 0, 0, len(page)
-    # (tag, summed weight, within an article, number)
-    stack: list[tuple[str, float, bool, int]] = [("", 0.0, False, 0)]
+    linked, links, at, size = 0, 0, 0, len(page)
+    stack = [Open("", "", False, 0, 0)]
+    opened: dict[str, list[int]] = {}  # places in the stack by tag
     lower: str | None = None
     absent: set[str] = set()  # names without a further end tag
 
@@ -95,15 +184,19 @@ def blocks(page: str) -> list[Block]:
         parts.clear()
         text = SPACE.sub(" ", entities.unescape(joined) if "&" in joined else joined).strip()
         if text:
-            tag = next((e[0] for e in reversed(stack) if e[0] not in INLINE), "")
-            out.append(Block(text, linked, tag, stack[-1][1], tuple(e[3] for e in stack)))
+            out.append(Block(text, linked, stack[-1].block_tag, 0.0, stack[-1].node))
         linked = 0
 
     def pop(to: int) -> None:
         nonlocal links
-        links -= sum(e[0] == "a" for e in stack[to:])
+        for e in stack[to:]:
+            links -= e.tag == "a"
+            opened[e.tag].pop()
         del stack[to:]
 
+    def nearest(tags: Iterable[str]) -> int:
+        return max((opened[t][-1] for t in tags if opened.get(t)), default=0)
+
     while at < size:
         cut = page.find("<", at)
         if cut < 0:
@@ -153,35 +246,28 @@ def blocks(page: str) -> list[Block]:
         if tag not in INLINE:
             flush()
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    pop(k)
-                    break
+            if opened.get(tag):
+                pop(opened[tag][-1])
             continue
         if tag in VOID:
             continue
-        if tag in CLOSES:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] in CLOSES[tag]:
-                    pop(k)
-                    break
-                if stack[k][0] in SCOPE and not (tag == "tr" and stack[k][0] in ("td", "th")):
-                    break
-        elif tag not in INLINE:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    pop(k)
-                    break
-                if stack[k][0] in SCOPE:
-                    break
-        number += 1
-        _, weight, article, _ = stack[-1]
+        ends = nearest(CLOSES.get(tag, ("p",))) if tag in CLOSES or tag not in INLINE else 0
+        if ends and ends >= stack[-1].scope:
+            pop(ends)
+        top = stack[-1]
         # a head, a drawing or a list of choices has no text of the article
-        own = -100.0 if tag in SILENT else _own_weight(tag, found[3] or found[6], article)
-        stack.append((tag, weight + own, article or tag == "article", number))
+        own = -100.0 if tag in SILENT else _own_weight(tag, found[3] or found[6], top.article)
+        opened.setdefault(tag, []).append(len(stack))
+        stack.append(Open(
+            tag, top.block_tag if tag in INLINE else tag, top.article or tag == "article",
+            tree.add(top.node, tag, own), len(stack) if tag in SCOPE else top.scope,
+        ))
         links += tag == "a"
     flush()
-    return out
+    total = tree.weights(out)
+    for block in out:
+        block.weight = total[block.node]
+    return out, tree
 
 
 def evidence(block: Block) -> float:
@@ -196,16 +282,14 @@ def evidence(block: Block) -> float:
     return score - 0.3
 
 
-def _edges(found: list[Block]) -> list[tuple[int, int, float]]:
+def _edges(found: list[Block], tree: Tree) -> list[tuple[int, int, float]]:
     """Neighbours in the page, and next blocks below the same element; the nearer two
     blocks are in the tree, the dearer it is to part them."""
     edges, last = [], {}
     for i, block in enumerate(found):
         if i:
-            a, b = found[i - 1].path, block.path
-            common = next((k for k, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))
-            edges.append((i - 1, i, SMOOTH / (1 + len(a) + len(b) - 2 * common)))
-        parent = block.path[-2:-1]
+            edges.append((i - 1, i, SMOOTH / (1 + tree.steps(found[i - 1].node, block.node))))
+        parent = tree.parents[block.node]
         if parent in last and last[parent] != i - 1:
             edges.append((last[parent], i, SMOOTH / 2))
         last[parent] = i
@@ -273,11 +357,11 @@ def minimum_cut(scores: list[float], edges: list[tuple[int, int, float]]) -> lis
 
 def main_text(page: str) -> str:
     """The content blocks of a page, joined by blanks."""
-    found = blocks(page)
+    found, tree = parsed(page)
     scores = [evidence(b) for b in found]
     if not found or max(scores) <= 0:
         return ""
-    keep = minimum_cut(scores, _edges(found)) if min(scores) < 0 else [True] * len(found)
+    keep = minimum_cut(scores, _edges(found, tree)) if min(scores) < 0 else [True] * len(found)
     return " ".join(b.text for b, k in zip(found, keep) if k)
 
 

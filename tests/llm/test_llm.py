@@ -379,6 +379,34 @@ def test_silent_elements_may_be_left_open(head):
         assert extract.main_text(page) == text.strip(), tag
 
 
+@pytest.mark.parametrize("opening, closing", [
+    ('<div class="content no-sidebar"><article>', "</article></div>"),
+    ('<form id="aspnetForm"><article>', "</article></form>"),
+    ('<div class="post-with-comments">', "</div>"),
+    ('<div class="layout has-menu with-ads"><main>', "</main></div>"),
+    ('<div id="page-form"><div>', "</div></div>"),
+    ('<div data-id="menu">', "</div>"),
+    ('<aside class="sidebar"><article><p>Short teaser of another page.</p></article></aside><form><div class="entry">', "</div></form>"),
+])
+def test_wrappers_do_not_hide_the_article(opening, closing):
+    sentence = "The long sentence of the article stands here, and it is told to its very end."
+    text = " ".join([sentence] * 10)
+    around = '<nav><a href="/">Home</a> <a href="/b">News</a></nav>{}<footer>Copyright 2024. All rights reserved.</footer>'
+    page = f"<html><body>{around.format(opening + ''.join(f'<p>{sentence}</p>' for _ in range(10)) + closing)}</body></html>"
+    assert extract.main_text(page).removeprefix("Short teaser of another page. ") == text
+
+
+def test_deep_and_unmatched_tags_take_linear_time():
+    import time
+
+    begin = time.process_time()
+    assert len(extract.blocks("<font>words<br>" * 100_000)) == 100_000
+    assert len(extract.blocks("<font>" * 50_000 + "<h1>x</h2></b>" * 50_000)) == 50_000
+    assert len(extract.blocks("<p><div>" + "<li>" * 50_000 + "<b>y<p>" * 50_000)) >= 1
+    assert extract.main_text("<font>words<br>" * 20_000).count("words") in (0, 20_000)
+    assert time.process_time() - begin < 60
+
+
 def test_minimum_cut_by_brute_force():
     rng = random.Random(5)
     for _ in range(150):
