@@ -273,7 +273,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     driver) and has a bounded number of rows; a piece then finds its place from its number
     among the pieces of its length. That number is the number within its task, taken as
     the rows are written, plus those of the tasks before: no length, however frequent,
-    meets in one task. Rows are written once to the shared folder, so they should be
+    meets in one task. Rows are written twice to the shared folder, so they should be
     narrow. Columns named ``sequence_id`` or ``offset`` are replaced; an empty table
     gives no rows.
     """
@@ -298,7 +298,10 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*cols, "__task", "__rank"],
             )
 
-    rows = keep(pieces.select(*cols).mapInArrow(number, f"{schema}, __task int, __rank bigint"))
+    # written before they are numbered: Python workers of two steps need not live side by
+    # side, and the narrow rows are read again by few tasks, so there are few numbers to add up
+    narrow = keep(pieces.select(*cols))
+    rows = keep(narrow.mapInArrow(number, f"{schema}, __task int, __rank bigint"))
     per_task = rows.groupBy("length", "__task").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("__task").rowsBetween(Window.unboundedPreceding, -1)
     bases = keep(
