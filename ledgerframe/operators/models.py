@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DateType, DoubleType, IntegerType, StructField, StructType
 
@@ -25,12 +25,15 @@ from .forecast import (
 )
 
 LINEAR = "Linear Regression"
+POOLED = "Pooled Linear Regression"
 FOREST = "Random Forest"
 BOOSTING = "Gradient Boosting"
 MODELS = (LINEAR, FOREST, BOOSTING)
 TREES = {FOREST: 300, BOOSTING: 250}
 # tasks that share the trees of one series
 FOREST_DEALS = 10
+# share of a column's variance below which the columns before it explain it
+REDUNDANT = 1e-9
 
 
 def _key_fields(df: DataFrame, keys: Sequence[str]) -> list[StructField]:
@@ -79,13 +82,70 @@ def linear_coefficients(
     )
 
 
+def _eliminate(system: Column, n: int) -> Column:
+    """Solution of n equations (rows of n coefficients and a right side) by pivots in order.
+
+    A pivot of nothing is a column that those before it explain; it gets 0.
+    """
+    def step(m: Column, k: Column) -> Column:
+        top, pivot = F.get(m, k), F.get(F.get(m, k), k)
+        cleared = F.transform(m, lambda row, i: F.when(i == k, F.transform(row, lambda v: v / pivot)).otherwise(
+            F.zip_with(row, top, lambda a, b: a - F.get(row, k) * (b / pivot))
+        ))
+        return F.when(pivot > REDUNDANT, cleared).otherwise(m)
+
+    solved = F.aggregate(F.array(*map(F.lit, range(n))), system, step)
+    return F.transform(solved, lambda row, i: F.when(F.get(row, i) > 0.5, F.get(row, F.lit(n))).otherwise(0.0))
+
+
+def pooled_coefficients(
+    features: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] = tuple(FEATURES)
+) -> DataFrame:
+    """``linear_coefficients`` without Python, for groups of any size, all rows included.
+
+    Means and deviations are summed first, then the products of the columns in standard
+    units (a row of sums per group, combined before the shuffle), and the equations are
+    solved in the row. Redundant columns get 0 instead of the least norm, so coefficients
+    may differ there; predictions don't.
+    """
+    names = [*columns, "y"]
+    n = len(columns)
+    units = features.groupBy(*keys).agg(
+        *[F.avg(dbl(c)).alias(f"_m{i}") for i, c in enumerate(names)],
+        *[F.stddev_pop(dbl(c)).alias(f"_s{i}") for i, c in enumerate(names)],
+    )
+    spread = {f"_s{i}": F.when(F.col(f"_s{i}") > 0, F.col(f"_s{i}")).otherwise(1.0) for i in range(n + 1)}
+    units = units.withColumns(spread)
+    scaled = attach(features.select(*keys, *names), units, keys)
+    z = [(dbl(c) - F.col(f"_m{i}")) / F.col(f"_s{i}") for i, c in enumerate(names)]
+    products = scaled.groupBy(*keys, *[f"_m{i}" for i in range(n + 1)], *[f"_s{i}" for i in range(n + 1)]).agg(
+        *[F.avg(z[i] * z[j]).alias(f"_g{i}_{j}") for i in range(n) for j in range(i, n + 1)]
+    )
+    rows = [[F.col(f"_g{min(i, j)}_{max(i, j)}") for j in range(n)] + [F.col(f"_g{i}_{n}")] for i in range(n)]
+    system = F.array(*[F.array(*row) for row in rows])
+    slopes = F.zip_with(
+        _eliminate(system, n), F.array(*[F.col(f"_s{n}") / F.col(f"_s{i}") for i in range(n)]), lambda b, u: b * u
+    )
+    means = F.array(*[F.col(f"_m{i}") for i in range(n)])
+    shift = F.aggregate(F.zip_with("coefficients", means, lambda b, m: b * m), F.lit(0.0), lambda a, v: a + v)
+    return products.withColumn("coefficients", slopes).select(
+        *keys, (F.col(f"_m{n}") - shift).alias("intercept"), "coefficients"
+    )
+
+
 def linear_predictions(
-    split: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] = tuple(FEATURES)
+    split: DataFrame, keys: Sequence[str] = (), columns: Sequence[str] = tuple(FEATURES), pooled: bool = False
 ) -> DataFrame:
-    """Holdout predictions of a linear model fitted on the train rows of each series."""
+    """Holdout predictions of a linear model fitted on the train rows of each series.
+
+    ``pooled`` fits one model on the train rows of all series.
+    """
     train = split.filter(F.col("split") == "train")
     test = split.filter(F.col("split") == "test")
-    fitted = attach(test, linear_coefficients(train, keys, columns), keys)
+    if pooled:
+        fitted = attach(test, pooled_coefficients(train, columns=columns), ())
+    else:
+        fitted = attach(test, linear_coefficients(train, keys, columns), keys)
     x = F.array(*[dbl(c) for c in columns])
     products = F.zip_with(x, F.col("coefficients"), lambda u, v: u * v)
     predicted = F.col("intercept") + F.aggregate(products, F.lit(0.0), lambda a, v: a + v)
@@ -93,7 +153,7 @@ def linear_predictions(
         *keys,
         "period",
         F.col("y").alias("actual"),
-        F.lit(LINEAR).alias("model"),
+        F.lit(POOLED if pooled else LINEAR).alias("model"),
         predicted.alias("prediction"),
     )
 

@@ -210,6 +210,26 @@ def pnl_quarterly(pnl: DataFrame) -> DataFrame:
     )
 
 
+def pnl_levels(pnl: DataFrame) -> DataFrame:
+    """Month, quarter and year P&L from monthly P&L in one shuffle, ``level`` as a column.
+
+    Margins are those of the sums; columns above a level's grain are NULL.
+    """
+    keys = ["fiscal_year", "fiscal_quarter", "period"]
+    dated = pnl.withColumns(
+        {"fiscal_year": F.year("period"), "fiscal_quarter": fiscal_quarter("period")}
+    )
+    sums = dated.groupingSets([keys, keys[:2], keys[:1]], *keys).agg(
+        F.grouping_id().alias("set"),
+        *[
+            F.sum(F.col(c).cast("decimal(28,2)")).alias(c)
+            for c in ("total_revenue", "total_cogs", "total_opex_below_gm")
+        ],
+    )
+    level = F.when(F.col("set") == 0, "month").when(F.col("set") == 1, "quarter").otherwise("year")
+    return with_margins(sums).select(level.alias("level"), *keys, *PNL_COLUMNS)
+
+
 def latest_kpis(pnl: DataFrame) -> DataFrame:
     """The last month's revenue, margins and EBITDA with growth over the year before."""
     grown = yoy(pnl, "total_revenue")

@@ -56,6 +56,11 @@ def variance_rollup(detail: DataFrame, keys: Sequence[str | Column], plan_col: s
     sums = detail.groupBy(*keys).agg(
         or_zero(_cents(plan_col)).alias("plan"), or_zero(_cents("actual_amount")).alias("actual")
     )
+    return _compared(sums, plan_col)
+
+
+def _compared(sums: DataFrame, plan_col: str) -> DataFrame:
+    """Difference and ratio of the sums ``plan`` and ``actual``; the other columns stay."""
     diff = F.col("actual") - F.col("plan")
     names = [c for c in sums.columns if c not in ("plan", "actual")]
     return sums.select(
@@ -81,3 +86,29 @@ def variance_quarterly(detail: DataFrame, plan_col: str) -> DataFrame:
         F.col("variance_abs") <= 0
     )
     return variance_rollup(detail, keys, plan_col).withColumn("favourable", good)
+
+
+# grouping_id of (line_type, fiscal_year, fiscal_quarter, period) by level
+LEVELS = {"month": 0, "quarter": 1, "year": 3, "all": 7}
+
+
+def variance_levels(detail: DataFrame, plan_col: str) -> DataFrame:
+    """Month, quarter, year and overall totals by line, with ``level`` as a column.
+
+    All levels come from one shuffle: a row is counted in four grouping sets that are
+    summed before they are sent. Ratios are those of the sums. Columns above a level's
+    grain are NULL; a row without a period keeps its level.
+    """
+    keys = ["line_type", "fiscal_year", "fiscal_quarter", "period"]
+    dated = detail.withColumns(
+        {"fiscal_year": fiscal_year("period"), "fiscal_quarter": fiscal_quarter("period")}
+    )
+    sums = dated.groupingSets([keys[:n] for n in (4, 3, 2, 1)], *keys).agg(
+        F.grouping_id().alias("set"),
+        or_zero(_cents(plan_col)).alias("plan"),
+        or_zero(_cents("actual_amount")).alias("actual"),
+    )
+    level = F.lit(None).cast("string")
+    for name, number in LEVELS.items():
+        level = F.when(F.col("set") == number, name).otherwise(level)
+    return _compared(sums.withColumn("level", level).drop("set"), plan_col)

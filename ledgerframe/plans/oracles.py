@@ -552,10 +552,9 @@ oracle(
   {dbl('sum(expense)')} AS amount FROM line GROUP BY 1, 2, 3, 4""",
 )
 oracle("csv_round_trip", [], ORACLES["opex_fact"])
-oracle(
-    "table_round_trip", [],
-    f"SELECT * FROM ({ORACLES['opex_fact']}) WHERE year(period) = {p.FILTER_YEARS[0]}",
-)
+oracle("csv_text_round_trip", [], """SELECT doc_id, nullif(text, '') AS text,
+  nullif(lang, '') AS lang, nullif(source, '') AS source, n_chars FROM documents""")
+oracle("table_round_trip", [], ORACLES["opex_fact"])
 oracle("headcount_fact", [BASE_COST, LINE, HEADS], "SELECT * FROM head_fact")
 oracle(
     "calendar_dim", [],
@@ -659,6 +658,21 @@ pq2 AS (SELECT a.*, b.rev AS prior FROM pq a LEFT JOIN pq b ON b.y = a.y - 1 AND
     margins("pq2", "CAST(y AS INTEGER) AS fiscal_year, 'Q' || CAST(q AS VARCHAR) AS fiscal_quarter",
             f", {ratio('rev - prior', 'prior')} AS yoy_growth"),
 )
+oracle(
+    "pnl_levels",
+    [*_LA, PNL, f"""
+dated AS (
+  SELECT period, CAST(year(period) AS INTEGER) AS fiscal_year,
+         'Q' || CAST(quarter(period) AS VARCHAR) AS fiscal_quarter, rev, cogs, opex
+  FROM pnl0 WHERE period <= {AS_OF}),
+levels AS (
+  SELECT CASE grouping(fiscal_quarter) + grouping(period) WHEN 0 THEN 'month' WHEN 1 THEN 'quarter'
+           ELSE 'year' END AS level, fiscal_year, fiscal_quarter, period,
+         sum(rev) AS rev, sum(cogs) AS cogs, sum(opex) AS opex
+  FROM dated GROUP BY GROUPING SETS ((fiscal_year, fiscal_quarter, period),
+    (fiscal_year, fiscal_quarter), (fiscal_year)))"""],
+    margins("levels", "level, fiscal_year, fiscal_quarter, period"),
+)
 oracle(
     "yoy_revenue",
     [LINE, "m AS (SELECT profit_center, period, CAST(sum(revenue) AS DOUBLE) AS revenue FROM line GROUP BY 1, 2)"],
@@ -734,6 +748,22 @@ oracle(
     "variance_rollup_forecast", _FC,
     rollup_sql("var_f", "forecast_amount", "period, line_type", "period, line_type"),
 )
+oracle(
+    "variance_levels",
+    [*_BUD, """
+dated AS (
+  SELECT line_type, CAST(year(period) AS INTEGER) AS fiscal_year,
+         'Q' || CAST(quarter(period) AS VARCHAR) AS fiscal_quarter, period, budget_amount, actual_amount
+  FROM var_b)"""],
+    rollup_sql(
+        "dated", "budget_amount",
+        """CASE grouping(fiscal_year) + grouping(fiscal_quarter) + grouping(period)
+    WHEN 0 THEN 'month' WHEN 1 THEN 'quarter' WHEN 2 THEN 'year' ELSE 'all' END AS level,
+  line_type, fiscal_year, fiscal_quarter, period""",
+        """GROUPING SETS ((line_type, fiscal_year, fiscal_quarter, period),
+  (line_type, fiscal_year, fiscal_quarter), (line_type, fiscal_year), (line_type))""",
+    ),
+)
 oracle(
     "variance_quarterly",
     [*_BUD, "vq AS (" + rollup_sql(
@@ -867,17 +897,18 @@ oracle("baseline_leaderboard", _FEAT, metrics("") + ' ORDER BY "MAPE", model')
 _COLUMNS = ["t", "month", "quarter", "lag_1", "lag_2", "lag_3", "lag_12", "rolling_mean_6"]
 
 
-def _linear(holdout: int, lin: str = "lin") -> str:
+def _linear(holdout: int, lin: str = "lin", pooled: bool = False) -> str:
     """Least squares by making one column after the other independent of those before.
 
     rolling_mean_3 is the mean of three other columns and adds nothing. Every step keeps
     all rows, but sums over those before the last ``holdout`` alone. ``c{j}_{k}`` is what
     column k holds of column j, ``b{j}`` the slope on what is left of column j.
+    ``pooled`` fits one model on the rows of all series.
     """
     keys = "profit_center, company_code"
 
     def train(expr: str, fn: str = "sum") -> str:
-        return f"{fn}({expr}) FILTER (WHERE age > {holdout}) OVER (PARTITION BY {keys})"
+        return f"{fn}({expr}) FILTER (WHERE age > {holdout}) OVER ({'' if pooled else f'PARTITION BY {keys}'})"
 
     n = len(_COLUMNS)
     kept = [f"m{k}" for k in range(n)] + ["my"]
@@ -940,6 +971,11 @@ oracle(
     f"""SELECT profit_center, company_code, period, y AS actual, {q('Linear Regression')} AS model,
   {rnd('p', 1)} AS prediction FROM lin8 WHERE age <= {p.HOLDOUT}""",
 )
+oracle(
+    "forecast_linear_pooled", [*_FEAT, _linear(p.HOLDOUT, pooled=True)],
+    f"""SELECT profit_center, company_code, period, y AS actual, {q('Pooled Linear Regression')} AS model,
+  {rnd('p', 0)} AS prediction FROM lin8 WHERE age <= {p.HOLDOUT}""",
+)
 oracle(
     "holdout_wide", _FEAT,
     f"""SELECT profit_center, company_code, period, actual,

@@ -14,7 +14,7 @@ from ..functions.periods import add_months
 from ..operators import commentary as text
 from ..operators import drivers, forecast, linkage, models, planning, pnl, recon, scenarios
 from ..operators import variance as var
-from ..sources import dimensions, order_ledger, tables
+from ..sources import dimensions, order_ledger, store, tables
 from ..sources.order_ledger import OrderTables
 from . import params as p
 
@@ -92,16 +92,28 @@ def csv_round_trip(t: OrderTables) -> DataFrame:
     return tables.read_csv(t.spark, path, fact.schema).withColumn("amount", dbl("amount"))
 
 
+@query
+def csv_text_round_trip(t: OrderTables) -> DataFrame:
+    """The documents, texts with line breaks and quotes included, through splittable CSV."""
+    docs = t["documents"].select("doc_id", "text", "lang", "source", "n_chars")
+    path = _scratch(t, "csv_text")
+    tables.write_csv(docs, path)
+    return tables.read_text_csv(t.spark, path, docs.schema)
+
+
 @query
 def table_round_trip(t: OrderTables) -> DataFrame:
-    """The expense fact written by fiscal year; one year of it read through a view."""
+    """The expense fact stored by fiscal year, one year of it replaced by itself, and all
+    years read through a view."""
     path = _scratch(t, "table")
-    tables.write_table(order_ledger.opex_fact(t), path)
-    tables.create_views({"stored_opex": tables.read_table(t.spark, path, "period")})
-    year = p.FILTER_YEARS[0]
+    fact = order_ledger.opex_fact(t)
+    store.replace_table(fact, path)
+    year = store.read_stored(t.spark, path).filter(F.col("fiscal_year") == p.FILTER_YEARS[0])
+    store.replace_table(year, path, only_years=True)
+    tables.create_views({"stored_opex": store.read_stored(t.spark, path)})
     return t.spark.sql(
-        f"SELECT period, cost_center, company_code, gl_account, CAST(amount AS DOUBLE) AS amount "
-        f"FROM stored_opex WHERE fiscal_year = {year}"
+        "SELECT period, cost_center, company_code, gl_account, CAST(amount AS DOUBLE) AS amount "
+        "FROM stored_opex"
     )
 
 
@@ -230,6 +242,12 @@ def pnl_quarterly(t: OrderTables) -> DataFrame:
     return pnl.pnl_quarterly(_pnl(t, until=_closed()))
 
 
+@query
+def pnl_levels(t: OrderTables) -> DataFrame:
+    """P&L of months, quarters and years in one table."""
+    return pnl.pnl_levels(_pnl(t, until=_closed()))
+
+
 @query
 def yoy_revenue(t: OrderTables) -> DataFrame:
     sums = order_ledger.revenue_monthly(t).withColumn("revenue", dbl("revenue"))
@@ -356,6 +374,12 @@ def variance_rollup_forecast(t: OrderTables) -> DataFrame:
     return var.variance_rollup(_variance_forecast(t), ["period", "line_type"], "forecast_amount")
 
 
+@query
+def variance_levels(t: OrderTables) -> DataFrame:
+    """Budget variance of months, quarters, years and all together, by line."""
+    return var.variance_levels(_variance_budget(t), "budget_amount")
+
+
 @query
 def variance_quarterly(t: OrderTables) -> DataFrame:
     return var.variance_quarterly(_variance_budget(t), "budget_amount")
@@ -558,6 +582,13 @@ def forecast_linear(t: OrderTables) -> DataFrame:
     )
 
 
+@query
+def forecast_linear_pooled(t: OrderTables) -> DataFrame:
+    """One linear model over all series, fitted without grouped Python."""
+    out = models.linear_predictions(_cut_split(t), PANEL, pooled=True)
+    return _rounded(out, 0, ["prediction"])
+
+
 @query
 def forecast_best(t: OrderTables) -> DataFrame:
     """Each series forecast by the model, baseline or linear, that won its holdout."""

@@ -9,9 +9,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerframe.operators import drivers, forecast, planning, pnl, recon, scenarios
-from ledgerframe.operators.variance import variance
-from ledgerframe.sources import dimensions, schemas, tables
+from ledgerframe.operators import drivers, forecast, models, planning, pnl, recon, scenarios
+from ledgerframe.operators.variance import variance, variance_levels
+from ledgerframe.sources import dimensions, schemas, store, tables
 
 D = dt.date
 KEYS = "period date, dim1 string, dim2 string, gl_account string, line_type string"
@@ -298,3 +298,100 @@ def test_files_round_trip(spark, tmp_path):
     assert spark.sql("SELECT count(*) FROM opex_view").first()[0] == 1
     profile = tables.table_profile({"opex": df}).first()
     assert (profile["row_count"], profile["column_count"]) == (1, 5)
+
+
+TEXTS = [
+    'plain', 'two\nlines', 'quotes "in" it', '"', '""\n"', ' blanks at both ends ', 'a,b', 'crlf\r\ninside',
+    '\n', 'ends with a break\n', '', None, 'x' * 700, 'long\n' * 400, '"\n' * 150, 'back\\slash',
+]
+
+
+@pytest.mark.parametrize("split_bytes", [64, 1000, 1 << 20])
+def test_free_text_csv_is_read_by_many_tasks(spark, tmp_path, split_bytes):
+    rows = [(n, TEXTS[n % len(TEXTS)], n * 2) for n in range(90)]
+    df = spark.createDataFrame(rows, "id INT, text STRING, n LONG")
+    tables.write_csv(df.coalesce(1), str(tmp_path / "one"))
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes"), spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split_bytes)
+    spark.conf.set("spark.sql.files.openCostInBytes", 0)
+    try:
+        got = tables.read_text_csv(spark, str(tmp_path / "one"), df.schema).collect()
+        if split_bytes < 1 << 20:
+            assert spark.read.option("lineSep", "\n").text(str(tmp_path / "one")).rdd.getNumPartitions() > 8
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept[0])
+        spark.conf.set("spark.sql.files.openCostInBytes", kept[1])
+    want = tables.read_csv(spark, str(tmp_path / "one"), df.schema, multi_line=True).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want)) == [(a, b or None, c) for a, b, c in rows]
+
+
+def test_free_text_csv_of_several_files(spark, tmp_path):
+    df = spark.createDataFrame([(n, TEXTS[n % len(TEXTS)]) for n in range(64)], "id INT, text STRING")
+    tables.write_csv(df.repartition(5), str(tmp_path / "five"))
+    got = tables.read_text_csv(spark, str(tmp_path / "five"), df.schema)
+    assert sorted(map(tuple, got.collect())) == sorted((a, b or None) for a, b in df.collect())
+    tables.write_csv(df.limit(0), str(tmp_path / "none"))
+    assert tables.read_text_csv(spark, str(tmp_path / "none"), df.schema).collect() == []
+
+
+def _opex(spark, rows):
+    return spark.createDataFrame([(day, "CC", "01", "400000", money(x)) for day, x in rows], schemas.OPEX)
+
+
+def test_stored_table_is_replaced_whole_or_by_year(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    amounts = lambda: sorted((str(r["period"]), str(r["amount"])) for r in store.read_stored(spark, path).collect())
+    store.replace_table(_opex(spark, [(D(2023, 1, 1), "1.00"), (D(2024, 1, 1), "2.00"), (None, "3.00")]), path)
+    assert amounts() == [("2023-01-01", "1.00"), ("2024-01-01", "2.00"), ("None", "3.00")]
+    store.replace_table(_opex(spark, [(D(2024, 5, 1), "9.00")]), path, only_years=True)
+    assert amounts() == [("2023-01-01", "1.00"), ("2024-05-01", "9.00"), ("None", "3.00")]
+    one = store.read_stored(spark, path).filter("fiscal_year = 2024")
+    assert len(one.inputFiles()) == 3 and "PartitionFilters: [isnotnull(fiscal_year" in one._jdf.queryExecution().toString()
+    store.replace_table(_opex(spark, [(D(2022, 1, 1), "5.00")]), path)
+    assert amounts() == [("2022-01-01", "5.00")]
+    store.replace_table(_opex(spark, []), path)
+    assert amounts() == [] and store.read_stored(spark, path).columns == [*schemas.OPEX.names, "fiscal_year"]
+
+
+def test_a_write_that_stops_half_way_changes_nothing(spark, tmp_path):
+    path = str(tmp_path / "stored")
+    store.replace_table(_opex(spark, [(D(2023, 1, 1), "1.00")]), path)
+    broken = _opex(spark, [(D(2023, 1, 1), "7.00"), (D(2024, 1, 1), "8.00")]).withColumn(
+        "amount", F.when(F.year("period") == 2024, F.raise_error("stopped").cast(schemas.OPEX["amount"].dataType))
+        .otherwise(F.col("amount"))
+    )
+    with pytest.raises(Exception, match="stopped"):
+        store.replace_table(broken, path)
+    assert [r["amount"] for r in store.read_stored(spark, path).collect()] == [money("1.00")]
+
+
+def test_levels_add_up(spark):
+    rows = [(D(2024, m, 1), "Revenue", 10.0 * m, 11.0 * m) for m in range(1, 7)] + [(None, "Revenue", 1.0, None)]
+    detail = spark.createDataFrame(rows, "period DATE, line_type STRING, budget_amount DOUBLE, actual_amount DOUBLE")
+    got = variance_levels(detail, "budget_amount").collect()
+    by = lambda level: {(r["fiscal_year"], r["fiscal_quarter"], r["period"]): r for r in got if r["level"] == level}
+    assert [len(by(x)) for x in ("month", "quarter", "year", "all")] == [7, 3, 2, 1]
+    assert by("quarter")[2024, "Q2", None]["budget_amount"] == 150.0
+    assert by("month")[None, None, None]["actual_amount"] == 0.0
+    assert by("all")[None, None, None]["variance_abs"] == 20.0
+    assert by("year")[2024, None, None]["variance_pct"] == 0.1
+
+
+def test_pooled_fit_equals_the_fit_of_one_series(spark):
+    random.seed(4)
+    rows = []
+    for key in ("a", "b"):
+        for n in range(60):
+            x, z = random.random() * 1e6, random.random()
+            rows.append((key, D(2020 + n // 12, n % 12 + 1, 1), x, z, x / 2 - 3, 3 * x + 1e5 * z + random.random()))
+    df = spark.createDataFrame(rows, "k STRING, period DATE, x DOUBLE, z DOUBLE, w DOUBLE, y DOUBLE")
+    for columns in (["x", "z"], ["x", "w", "z"]):
+        plain = {r["k"]: r for r in models.linear_coefficients(df, ["k"], columns).collect()}
+        pooled = {r["k"]: r for r in models.pooled_coefficients(df, ["k"], columns).collect()}
+        at = [5e5, 0.5] if len(columns) == 2 else [5e5, 5e5 / 2 - 3, 0.5]
+        value = lambda r: r["intercept"] + sum(b * x for b, x in zip(r["coefficients"], at, strict=True))  # noqa: E731,B023
+        assert plain.keys() == pooled.keys()
+        for k in plain:
+            assert value(pooled[k]) == pytest.approx(value(plain[k]), rel=1e-9)
+    plan = models.pooled_coefficients(df, ["k"], ["x", "z"])._jdf.queryExecution().executedPlan().toString()
+    assert "Pandas" not in plan
