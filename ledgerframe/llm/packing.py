@@ -22,11 +22,16 @@ OTHER_SPACE = r"\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{202
 OTHER = re.compile(re.sub(r"\\x\{(\w+)\}", lambda m: f"\\u{int(m[1], 16):04x}", f"[{OTHER_SPACE}]"))
 # texts that are more than words with a single blank or line feed between; empty ones
 UNUSUAL = rf"  |\n\n| \n|\n |[\t\v\f\r{OTHER_SPACE}]|^[ \n]|[ \n]$|^$"
-# segments a task remembers before it forgets rare ones, and those encoded in one go
+# segments that cannot stand behind others: without white space in front, or with some behind
+APART = rf"^[^{SPACE}]|[{SPACE}]$"
+# segments and bytes of them a task remembers before it forgets rare ones, and segments
+# encoded in one go
 KNOWN_SEGMENTS = 500_000
+REMEMBERED_BYTES = 64 << 20
 GROUP = 1000
-# texts whose segments are looked up at once
-SLICE_TEXTS = 512
+# texts whose segments are looked up at once, and bytes of them
+SLICE_TEXTS = 1024
+SLICE_BYTES = 4 << 20
 
 
 class SegmentEncoder:
@@ -49,36 +54,54 @@ class SegmentEncoder:
         # a token's name has a character for each of its bytes
         self.sizes = np.zeros(max(vocab.values()) + 1, np.int64)
         self.sizes[list(vocab.values())] = [len(name) for name in vocab]
-        self.known: dict[str, bytes] = {}
         self.remember = remember
+        # the remembered keys, and where the ids of each begin and end
+        self.keys = pa.array([], pa.string())
+        self.starts = self.counts = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, "<u4")
 
-    def _encode(self, values: list[str]) -> list[bytes]:
+    def _encode(self, values: list[str]) -> list[array]:
         found = self.library.encode_batch_fast(values, add_special_tokens=False)
-        return [array("I", e.ids).tobytes() for e in found]
+        return [array("I", e.ids) for e in found]
 
-    def _learn(self, keys: list[str]) -> None:
+    def _learn(self, keys: pa.Array) -> None:
         """Remember the segments of new keys. Those with white space in front are encoded
-        many at a time, one behind the other; the tokens' sizes tell where each one ends."""
-        segments = [_segment(k) for k in keys]
-        apart = [g[0] not in SPACE or g[-1] in SPACE for g in segments]
-        alone = [(k, g) for k, g, a in zip(keys, segments, apart) if a]
-        self.known.update(zip([k for k, _ in alone], self._encode([g for _, g in alone])))
-        joined = [(k, g) for k, g, a in zip(keys, segments, apart) if not a]
-        groups = [joined[at : at + GROUP] for at in range(0, len(joined), GROUP)]
-        for group, raw in zip(groups, self._encode(["".join([g for _, g in group]) for group in groups])):
-            reached = np.cumsum(self.sizes[np.frombuffer(raw, "<u4")])
-            ends = 4 * (np.searchsorted(reached, np.cumsum([len(g.encode()) for _, g in group])) + 1)
-            self.known.update((k, raw[lo:hi]) for (k, _), lo, hi in zip(group, [0, *ends.tolist()], ends.tolist()))
-
-    def _known(self, keys: list[str]) -> list[bytes]:
-        if len(self.known) > self.remember:
+        many at a time, one behind the other as they stand in Arrow's buffer; the tokens'
+        sizes tell where each one ends."""
+        segments = _segments(keys)
+        apart = pc.match_substring_regex(segments, APART)
+        alone, joined = segments.filter(apart), segments.filter(pc.invert(apart))
+        ends = np.frombuffer(joined.buffers()[1], "<i4", len(joined) + 1) if len(joined) else np.zeros(1, "<i4")
+        borders = [*ends[:-1:GROUP].tolist(), int(ends[-1])]
+        text = joined.buffers()[2] if len(joined) else b""
+        groups = [text[lo:hi] for lo, hi in zip(borders, borders[1:])]
+        raw = self._encode([*(g.to_pybytes().decode() for g in groups), *alone.to_pylist()])
+        ids = np.frombuffer(b"".join(raw), "<u4")
+        n = np.array([len(r) for r in raw], np.int64)
+        behind = int(n[: len(groups)].sum())
+        reached = np.cumsum(self.sizes[ids[:behind]])
+        stops = np.searchsorted(reached, ends[1:] - ends[0]) + 1
+        counts = np.r_[np.diff(stops, prepend=0), n[len(groups) :]]
+        base = len(self.ids)
+        self.keys = pa.concat_arrays([self.keys, keys.filter(pc.invert(apart)), keys.filter(apart)])
+        self.ids = np.r_[self.ids, ids]
+        self.starts = np.r_[self.starts, base + np.cumsum(counts) - counts]
+        self.counts = np.r_[self.counts, counts]
+
+    def _known(self, keys: pa.Array) -> np.ndarray:
+        """Numbers of the remembered keys that equal ``keys``, which are all different."""
+        if len(self.keys) > self.remember or self.keys.nbytes > REMEMBERED_BYTES:
             # what these texts use stays, so that common words are not learned anew
-            self.known = {k: self.known[k] for k in keys if k in self.known}
-        found = list(map(self.known.get, keys))
-        if None in found:
-            self._learn([k for k, ids in zip(keys, found) if ids is None])
-            found = list(map(self.known.__getitem__, keys))
-        return found
+            used = pc.drop_null(pc.index_in(keys, self.keys)).to_numpy()
+            counts = self.counts[used]
+            self.ids = _take_runs(self.ids, self.starts[used], counts)
+            self.keys, self.counts = self.keys.take(pa.array(used)), counts
+            self.starts = np.cumsum(counts) - counts
+        found = pc.index_in(keys, self.keys)
+        if found.null_count:
+            self._learn(keys.filter(pc.is_null(found)))
+            found = pc.index_in(keys, self.keys)
+        return found.to_numpy()
 
     def _usual(self, values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of ids, and all ids, of texts of single blanks and line feeds.
@@ -90,21 +113,23 @@ class SegmentEncoder:
         marked = pc.replace_substring(pc.binary_join_element_wise("\r", values, ""), "\n", " \n")
         rows = pc.split_pattern(marked, " ")
         coded = rows.flatten().dictionary_encode()
-        code, ids = coded.indices.to_numpy(), self._known(coded.dictionary.to_pylist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        every, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
-        n = sizes[code]
-        reached = np.r_[0, np.cumsum(n)]
-        taken = every[np.repeat(starts[code] - reached[:-1], n) + np.arange(reached[-1])]
+        at = self._known(coded.dictionary)[coded.indices.to_numpy()]
+        reached = np.r_[0, np.cumsum(self.counts[at])]
+        taken = _take_runs(self.ids, self.starts[at], self.counts[at])
         return np.diff(reached[rows.offsets.to_numpy() - rows.offsets[0].as_py()]), taken
 
     def _unusual(self, values: list[str]) -> tuple[np.ndarray, np.ndarray]:
         whole = [bool(OTHER.search(v)) for v in values]
         keys = [[] if w else _keys(v) for v, w in zip(values, whole)]
-        ids = dict(zip(flat := list({k for row in keys for k in row}), self._known(flat)))
+        flat = list({k for row in keys for k in row})
+        at = dict(zip(flat, self._known(pa.array(flat, pa.string()))))
         alone = iter(self._encode([v for v, w in zip(values, whole) if w]))
-        found = [next(alone) if w else b"".join([ids[k] for k in row]) for row, w in zip(keys, whole)]
-        return np.array([len(f) // 4 for f in found], np.int64), np.frombuffer(b"".join(found), "<u4")
+        found = []
+        for row, w in zip(keys, whole):
+            places = np.array([at[k] for k in row], np.int64)
+            taken = _take_runs(self.ids, self.starts[places], self.counts[places])
+            found.append(np.frombuffer(next(alone), "<u4") if w else taken)
+        return np.array([len(f) for f in found], np.int64), np.concatenate(found)
 
     def encode(self, values: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Places of some values, their numbers of ids, and these one text after the other;
@@ -126,8 +151,18 @@ def _keys(text: str) -> list[str]:
     return [g[1:] if p else "\r" + g for g, p in zip(SEGMENT.findall(text), plain)]
 
 
-def _segment(key: str) -> str:
-    return key[1:] if key[0] == "\r" else key if key[0] == "\n" else " " + key
+def _segments(keys: pa.Array) -> pa.Array:
+    """The segments of keys, in an array of its own."""
+    marked, led = pc.starts_with(keys, "\r"), pc.starts_with(keys, "\n")
+    behind_blank = pc.binary_join_element_wise(" ", keys, "")
+    unmarked = pc.replace_substring_regex(keys, "^\r", "")
+    return pc.if_else(marked, unmarked, pc.if_else(led, keys, behind_blank))
+
+
+def _take_runs(values: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The runs of ``counts`` values from ``starts`` on, one behind the other."""
+    reached = np.cumsum(counts)
+    return values[np.repeat(starts - (reached - counts), counts) + np.arange(counts.sum())]
 
 
 def token_pieces(
@@ -152,9 +187,8 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = SegmentEncoder(tokenizer, remember)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE_TEXTS):
-                part = batch.slice(at, SLICE_TEXTS)
-                for places, sizes, ids in encoder.encode(pc.fill_null(part.column(1), "")):
+            for part in _slices(batch):
+                for places, sizes, ids in encoder.encode(pc.fill_null(part.column(1), "").cast(pa.string())):
                     yield _pieces(part.column(0).take(pa.array(places)), sizes, ids, capacity)
 
     picked = docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text"))
@@ -163,6 +197,16 @@ def token_pieces(
     )
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in parts of at most ``SLICE_TEXTS`` texts and, if more than one, ``SLICE_BYTES``."""
+    reached = np.r_[0, np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy())]
+    at = 0
+    while at < batch.num_rows:
+        fitting = int(np.searchsorted(reached, reached[at] + SLICE_BYTES, "right")) - 1 - at
+        yield batch.slice(at, max(1, min(fitting, SLICE_TEXTS)))
+        at += max(1, min(fitting, SLICE_TEXTS))
+
+
 def _pieces(keys: pa.Array, sizes: np.ndarray, ids: np.ndarray, capacity: int) -> pa.RecordBatch:
     """The pieces of texts with ``sizes`` ids, which stand one after the other in ``ids``."""
     ended = np.zeros(len(ids) + len(sizes), "<u4")
