@@ -555,6 +555,15 @@ oracle("csv_round_trip", [], ORACLES["opex_fact"])
 oracle("csv_text_round_trip", [], """SELECT doc_id, nullif(text, '') AS text,
   nullif(lang, '') AS lang, nullif(source, '') AS source, n_chars FROM documents""")
 oracle("table_round_trip", [], ORACLES["opex_fact"])
+oracle("ledger_extract", [], ORACLES["opex_fact"])
+oracle(
+    "ledger_extract_by_year", [LINE],
+    f"""SELECT CAST(year(period) AS INTEGER) AS fiscal_year, gl_account, {dbl('sum(amount)')} AS amount,
+  count(*) AS n_rows
+FROM (SELECT period, cost_center, exp_company, exp_account AS gl_account, sum(expense) AS amount
+      FROM line GROUP BY 1, 2, 3, 4)
+WHERE year(period) IN {p.FILTER_YEARS} GROUP BY 1, 2""",
+)
 oracle("headcount_fact", [BASE_COST, LINE, HEADS], "SELECT * FROM head_fact")
 oracle(
     "calendar_dim", [],

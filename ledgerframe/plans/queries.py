@@ -14,7 +14,7 @@ from ..functions.periods import add_months
 from ..operators import commentary as text
 from ..operators import drivers, forecast, linkage, models, planning, pnl, recon, scenarios
 from ..operators import variance as var
-from ..sources import dimensions, order_ledger, store, tables
+from ..sources import dimensions, extracts, order_ledger, store, tables
 from ..sources.order_ledger import OrderTables
 from . import params as p
 
@@ -117,6 +117,28 @@ def table_round_trip(t: OrderTables) -> DataFrame:
     )
 
 
+def _extract(t: OrderTables) -> DataFrame:
+    """The expense fact written as a ledger extract and read by the data source."""
+    fact = order_ledger.opex_fact(t)
+    path = _scratch(t, "extract")
+    extracts.write_extract(fact, path)
+    return extracts.read_extract(t.spark, path, fact.schema)
+
+
+@query
+def ledger_extract(t: OrderTables) -> DataFrame:
+    return _extract(t).drop("fiscal_year").withColumn("amount", dbl("amount"))
+
+
+@query
+def ledger_extract_by_year(t: OrderTables) -> DataFrame:
+    """Expense by year and account of some years, whose folders alone are opened."""
+    years = _extract(t).filter(F.col("fiscal_year").isin(*p.FILTER_YEARS))
+    return years.groupBy("fiscal_year", "gl_account").agg(
+        dbl(F.sum("amount")).alias("amount"), F.count(F.lit(1)).alias("n_rows")
+    )
+
+
 # ---------------------------------------------------------------- ledger and checks
 
 def _journal(t: OrderTables) -> DataFrame:
@@ -480,11 +502,6 @@ def _panel(t: OrderTables) -> DataFrame:
     )
 
 
-def _company(t: OrderTables) -> DataFrame:
-    """Closed months of company revenue."""
-    return forecast.monthly_series(order_ledger.revenue_monthly(t, (), until=_closed()), "revenue")
-
-
 def _split(series: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     return forecast.holdout_split(forecast.forecast_features(series, keys), p.HOLDOUT, keys)
 

@@ -8,10 +8,11 @@ from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from ledgerframe.operators import drivers, forecast, models, planning, pnl, recon, scenarios
 from ledgerframe.operators.variance import variance, variance_levels
-from ledgerframe.sources import dimensions, schemas, store, tables
+from ledgerframe.sources import dimensions, extracts, schemas, store, tables
 
 D = dt.date
 KEYS = "period date, dim1 string, dim2 string, gl_account string, line_type string"
@@ -395,3 +396,37 @@ def test_pooled_fit_equals_the_fit_of_one_series(spark):
             assert value(pooled[k]) == pytest.approx(value(plain[k]), rel=1e-9)
     plan = models.pooled_coefficients(df, ["k"], ["x", "z"])._jdf.queryExecution().executedPlan().toString()
     assert "Pandas" not in plan
+
+
+@pytest.mark.parametrize("split_bytes", [70, 1 << 20])
+def test_extract_is_read_by_years_and_splits(spark, tmp_path, split_bytes):
+    path = str(tmp_path / "extract")
+    days = [D(2022 + n % 3, 1 + n % 12, 1) for n in range(200)] + [None]
+    rows = [(day, f'c"{n},' if n % 7 else None, " 01", "0400", money(f"{n}.25")) for n, day in enumerate(days)]
+    extracts.write_extract(spark.createDataFrame(rows, schemas.OPEX), path)
+    got = extracts.read_extract(spark, path, schemas.OPEX, split_bytes)
+    plain = lambda found: sorted(map(str, (tuple(r)[:5] for r in found)))
+    assert plain(got.collect()) == plain(rows)
+    assert {(r["period"] and r["period"].year, r["fiscal_year"]) for r in got.collect()} == {
+        (None, None), (2022, 2022), (2023, 2023), (2024, 2024)
+    }
+    for condition, years in (
+        ("fiscal_year = 2023", {2023}), ("fiscal_year IN (2022, 2024)", {2022, 2024}),
+        ("fiscal_year > 2022 AND fiscal_year <= 2023 AND amount > 3", {2023}), ("fiscal_year < 2000", set()),
+    ):
+        some = got.filter(condition)
+        assert plain(some.collect()) == plain(r for r in rows if r[0] and r[0].year in years and (r[4] > 3 or "amount" not in condition))
+        plan = some._jdf.queryExecution().explainString(some._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
+        pushed, left = (
+            [line for line in plan.splitlines() if line.startswith(start)] for start in ("PushedFilters", "Condition")
+        )
+        assert "fiscal_year" in pushed[0] and "fiscal_year" not in "".join(left), (condition, plan)
+
+
+def test_extract_of_another_layout_fails(spark, tmp_path):
+    path = str(tmp_path / "extract")
+    extracts.write_extract(_opex(spark, [(D(2023, 1, 1), "1.00")]), path)
+    with pytest.raises(Exception, match="declared are"):
+        extracts.read_extract(spark, path, schemas.HEADCOUNT).collect()
+    with pytest.raises(Exception, match="no columns of type"):
+        extracts.read_extract(spark, path, StructType([*schemas.OPEX.fields[:-1], StructField("amount", BinaryType())])).collect()
