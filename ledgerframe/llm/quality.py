@@ -33,6 +33,9 @@ STEPS = 300
 PENALTY = 1e-3
 CUT = 0.5
 LETTERS, DIGITS = re.compile(r"[^\W\d_]+"), re.compile(r"\d+")
+REPEATED = re.compile(r"(.{1,3}?)\1+")
+# longer words are described anew each time, so that what is remembered stays small
+REMEMBERED_CHARS = 64
 
 
 def measures(text: Column) -> dict[str, Column]:
@@ -44,7 +47,7 @@ def measures(text: Column) -> dict[str, Column]:
         "words": F.greatest(F.size(words), F.lit(1)),
         "distinct": F.size(F.array_distinct(words)),
         "plain": matches(r"(?<!\S)\p{L}++[.,;:!?]?(?!\S)"),
-        "doubled": matches(r"(?<!\S)(\S{1,40}+)\s+(?=\1(?!\S))"),
+        "doubled": matches(r"(?<!\S)(\S++)\s++(?=\1(?!\S))"),
         "visible": F.greatest(F.length(F.regexp_replace(text, GAP, "")), F.lit(1)),
         "alphanumeric": count(r"\p{L}\p{N}"),
         "letters": F.greatest(count(r"\p{L}"), F.lit(1)),
@@ -123,9 +126,10 @@ def posteriors(counts: dict[int, int], labellers: int, rounds: int = ROUNDS) ->
 # ---------------------------------------------------------------- scorer
 
 def _shape(word: str) -> str:
-    """A word with runs of letters as a, A or Aa and digits as 0."""
+    """A whole word with runs of letters as a, A or Aa and digits as 0; what repeats at
+    once, up to three characters of it, stands once with a plus."""
     kind = lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "Aa" if m[0][0].isupper() else "a"
-    return DIGITS.sub("0", LETTERS.sub(kind, word[:24]))[:8]
+    return REPEATED.sub(r"\1+", DIGITS.sub("0", LETTERS.sub(kind, word)))
 
 
 class Shapes:
@@ -139,7 +143,9 @@ class Shapes:
         if at is None:
             if len(self.known) >= 200_000:
                 self.known.clear()
-            at = self.known[word] = crc32(_shape(word).encode()) % BUCKETS
+            at = crc32(_shape(word).encode()) % BUCKETS
+            if len(word) <= REMEMBERED_CHARS:
+                self.known[word] = at
         return at
 
     def of(self, text: str) -> dict[int, float]:
@@ -147,7 +153,7 @@ class Shapes:
         n = len(words) + SMOOTH_WORDS
         out = {b: c / n for b, c in Counter(map(self._bucket, words)).items()}
         for name, value in (
-            (f"length {min(n, 1000).bit_length()}", 1.0),
+            (f"length {n.bit_length()}", 1.0),
             ("doubled", sum(map(str.__eq__, words, words[1:])) / n),
         ):
             at = crc32(name.encode()) % BUCKETS
