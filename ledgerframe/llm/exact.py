@@ -8,42 +8,55 @@ from pyspark.sql import functions as F
 from .common import body, keep
 
 HEAD_CHARS = 256
-# the survivors' filter has at most so many rows, whatever the size of the input
+# a filter has at most so many rows, whatever the size of the input
 FILTER_BUCKETS = 1 << 18
 
 
-def _head(text: Column) -> Column:
-    """Hash of a text's length and first characters."""
-    return F.xxhash64(F.octet_length(text), F.substring(text, 1, HEAD_CHARS))
+def _bucket(value: Column) -> Column:
+    return F.pmod(value, F.lit(FILTER_BUCKETS)).cast("int")
 
 
-def _bucket(head: Column) -> Column:
-    return F.pmod(head, F.lit(FILTER_BUCKETS)).cast("int")
+def _flagged(rows: DataFrame, value: Column, twice: DataFrame, name: str) -> DataFrame:
+    """``rows`` with ``name``, true where the bucket of ``value`` is one of ``twice``; false
+    where ``value`` is NULL. ``twice`` has a fixed number of buckets, so it is broadcast."""
+    found = twice.select(F.col("bucket").alias("__bucket"), F.lit(True).alias("__found"))
+    return (
+        rows.withColumn("__bucket", _bucket(value))
+        .join(F.broadcast(found), "__bucket", "left")
+        .withColumn(name, F.coalesce("__found", F.lit(False)))
+        .drop("__bucket", "__found")
+    )
 
 
-def _survivors(docs: DataFrame, text: str) -> DataFrame:
-    """Filter buckets that hold texts whose length and head occur more than once.
+def _twice(rows: DataFrame, value: Column, *within: Column) -> DataFrame:
+    """Buckets of the values that occur more than once, together with ``within``."""
+    counted = rows.groupBy(value.alias("value"), *within).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return keep(counted.select(_bucket(F.col("value")).alias("bucket")).distinct())
 
-    Lengths and heads are read in one narrow pass. Lengths that occur once drop out
-    first, then heads that occur once within their length. The survivors are folded into
-    a fixed number of buckets, which is what may be broadcast: two texts that share a
-    bucket by chance only cost a hash that was not needed.
-    """
-    read = docs.select(F.octet_length(body(text)).alias("n_bytes"), _head(body(text)).alias("head"))
-    heads = keep(read.groupBy("n_bytes", "head").agg(F.count(F.lit(1)).alias("n")))
-    lengths = heads.groupBy("n_bytes").agg(F.sum("n").alias("same")).filter("same > 1")
-    left = heads.join(lengths, "n_bytes", "left_semi").filter("n > 1")
-    return keep(left.select(_bucket(F.col("head")).alias("bucket")).distinct())
 
+def _refined(docs: DataFrame, text: str) -> DataFrame:
+    """The rows with ``__same``, true where the head had to be hashed, and ``__hit``, true
+    where the full content has to be.
 
-def _with_filter(docs: DataFrame, text: str) -> DataFrame:
-    """The rows with ``__hit``, true where the full content has to be read."""
-    hit = _survivors(docs, text).select(F.col("bucket").alias("__bucket"), F.lit(True).alias("__hit"))
-    return (
-        docs.withColumn("__bucket", _bucket(_head(body(text))))
-        .join(F.broadcast(hit), "__bucket", "left")
-        .withColumn("__hit", F.coalesce("__hit", F.lit(False)))
-        .drop("__bucket")
+    First lengths are counted, and nothing else is computed of the texts. Texts whose
+    length occurs once are done; of the others the first characters are hashed, and what
+    occurs twice with its length survives. Values are folded into buckets for the filters:
+    two that share a bucket by chance only cost a hash that was not needed. That also holds
+    where survivors are so many that all buckets are taken: a hash of a text costs less
+    than the shuffle that an exact filter would need.
+    """
+    size = F.octet_length(body(text))
+    head = F.xxhash64(size, F.substring(body(text), 1, HEAD_CHARS))
+    same = _flagged(docs, size, _twice(docs.select(text), size), "__same")
+    read = same.filter("__same").select(size.alias("n_bytes"), head.alias("head"))
+    survivors = _twice(read, F.col("head"), F.col("n_bytes"))
+    return _flagged(same, F.when(F.col("__same"), head), survivors, "__hit")
+
+
+def refinement(docs: DataFrame, text: str = "text") -> DataFrame:
+    """One row ``(n_rows, n_heads, n_contents)``: how many texts each level had to read."""
+    return _refined(docs.select(text), text).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_if("__same").alias("n_heads"), F.count_if("__hit").alias("n_contents")
     )
 
 
@@ -65,7 +78,7 @@ def exact_groups(
     """
     digest = F.unhex(F.sha2(body(text), 256))
     rows = keep(
-        _with_filter(docs.select(key, text), text).select(
+        _refined(docs.select(key, text), text).select(
             F.col(key).alias("id"),
             "__hit",
             digest.alias("digest") if hash_all else F.when(F.col("__hit"), digest).alias("digest"),
@@ -100,7 +113,7 @@ def exact_dedup(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     in key and text are settled by a hash of all columns.
     """
     cols = docs.columns
-    marked = _with_filter(docs, text)
+    marked = _refined(docs, text)
     order = F.struct(F.col(key), F.xxhash64(*[F.col(c) for c in cols]))
     best = (
         marked.filter("__hit")
