@@ -119,23 +119,28 @@ def _matches(kind: str) -> str:
   FROM docs)"""
 
 
-def _round(name: str, scored: str) -> str:
-    """A pattern's trust in a kind, from the summed scores of its values."""
+def _round(name: str, given: str) -> str:
+    """A pattern's trust in a kind, from its seeds and the scores of its candidates."""
     return f"""{name} AS (
-  SELECT pattern, kind, round(sum(s) / (any_value(n) + 1), 6) AS trust
-  FROM ({scored}) JOIN sizes USING (pattern) GROUP BY pattern, kind
-  HAVING round(sum(s) / (any_value(n) + 1), 6) >= {pii.WEAK})"""
+  SELECT pattern, kind, trust FROM (
+    SELECT pattern, kind, round((f + c) / ((f + c) + (n_seeds - f + {pii.UNKNOWN}::DOUBLE * (n_open - c)) + 1), 3) AS trust
+    FROM (SELECT pattern, kind, sum(f)::BIGINT AS f, sum(s)::BIGINT::DOUBLE / 1e6 AS c
+          FROM (SELECT pattern, kind, f, 0 AS s FROM fixed UNION ALL {given}) GROUP BY pattern, kind)
+      JOIN sizes USING (pattern))
+  WHERE trust >= {pii.WEAK})"""
 
 
 def _given(trust: str) -> str:
-    """The seeds' scores and those that trusted patterns give the candidates."""
-    return f"""SELECT * FROM fixed UNION ALL
-  SELECT pattern, g.kind, g.s FROM open_edges JOIN (
+    """The scores, in millionths, that trusted patterns give the candidates."""
+    return f"""SELECT pattern, g.kind, 0 AS f, g.s FROM open_edges JOIN (
     SELECT value, kind,
-      round(1 - exp(sum(round(ln(1.000001::DOUBLE - trust) * 1e6)::BIGINT)::DOUBLE / 1e6), 6) AS s
+      round((1 - exp(sum(round(ln(1.000001::DOUBLE - trust) * 1e6)::BIGINT)::DOUBLE / 1e6)) * 1e6)::BIGINT AS s
     FROM open_edges JOIN {trust} USING (pattern) GROUP BY value, kind) g USING (value)"""
 
 
+_ROUNDS = ",\n".join(
+    _round("trusted" if n == pii.ROUNDS else f"t{n}", _given(f"t{n - 1}")) for n in range(2, pii.ROUNDS + 1)
+)
 OP7 = f"""
 WITH docs AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
 found AS ({' UNION ALL '.join(_matches(k) for k in _KINDS)}),
@@ -159,8 +164,8 @@ placed AS (
   WINDOW w AS (PARTITION BY r, kind ORDER BY s)
 ), words AS (
   SELECT r, kind, m, s, e, digits,
-    lower(regexp_extract(right(substr(t, (lo + 1)::BIGINT, (s - lo)::BIGINT), {pii.CONTEXT_CHARS}), '([^ \t\n\x0b\f\r]+)[ \t\n\x0b\f\r(+]*$', 1)) AS l,
-    lower(regexp_extract(left(substr(t, (e + 1)::BIGINT, (hi - e)::BIGINT), {pii.CONTEXT_CHARS}), '^[ \t\n\x0b\f\r)]*([^ \t\n\x0b\f\r]+)', 1)) AS rw
+    lower(regexp_extract(substr(t, (lo + 1)::BIGINT, (s - lo)::BIGINT), '([^ \t\n\x0b\f\r]+)[ \t\n\x0b\f\r(+]*$', 1)) AS l,
+    lower(regexp_extract(substr(t, (e + 1)::BIGINT, (hi - e)::BIGINT), '^[ \t\n\x0b\f\r)]*([^ \t\n\x0b\f\r]+)', 1)) AS rw
   FROM alone
 ), base AS (
   SELECT * FROM words WHERE kind = 'email'
@@ -179,16 +184,16 @@ placed AS (
     unnest(CASE WHEN l = '' THEN [] WHEN rw = '' THEN [l || ' _'] ELSE [l || ' _', l || ' _ ' || rw] END) AS pattern
   FROM (SELECT * FROM base UNION ALL SELECT * FROM cand)
 ), edges AS (SELECT DISTINCT pattern, value, kind FROM occ),
-sizes AS (SELECT pattern, count(*) AS n FROM edges GROUP BY pattern),
-fixed AS (SELECT pattern, kind, count(*)::DOUBLE AS s FROM edges WHERE kind <> 'cand' GROUP BY pattern, kind),
+sizes AS (SELECT pattern, count(*) FILTER (kind <> 'cand') AS n_seeds, count(*) FILTER (kind = 'cand') AS n_open
+  FROM edges GROUP BY pattern),
+fixed AS (SELECT pattern, kind, count(*) AS f FROM edges WHERE kind <> 'cand' GROUP BY pattern, kind),
 open_edges AS (SELECT pattern, value FROM edges WHERE kind = 'cand'),
-{_round('t1', 'SELECT * FROM fixed')},
-{_round('t2', _given('t1'))},
-{_round('t3', _given('t2'))},
+{_round('t1', 'SELECT pattern, kind, 0, 0 FROM fixed')},
+{_ROUNDS},
 extra AS (
   SELECT r, s, e, arg_max(kind, [trust::VARCHAR, kind]) AS kind
-  FROM (SELECT o.r, o.s, o.e, t3.kind, printf('%.6f', t3.trust) AS trust
-        FROM occ o JOIN t3 USING (pattern) WHERE o.kind = 'cand' AND t3.trust >= {pii.TRUST})
+  FROM (SELECT o.r, o.s, o.e, trusted.kind, printf('%.6f', trusted.trust) AS trust
+        FROM occ o JOIN trusted USING (pattern) WHERE o.kind = 'cand' AND trusted.trust >= {pii.TRUST})
   GROUP BY r, s, e
 ), spans AS (
   SELECT r, kind, s, e, true AS is_base FROM base UNION ALL SELECT r, kind, s, e, false FROM extra

@@ -16,8 +16,10 @@ CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,}+"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # grouped digits, seven at least, that stand alone
 CANDIDATE = r"(?<![0-9A-Za-z])[0-9](?:[\x20().-]{0,2}[0-9]){6,}+(?![0-9A-Za-z])"
-CONTEXT_CHARS = 40
-ROUNDS = 3
+# rounds end earlier if no trust changes any more
+ROUNDS = 10
+# what a value of unknown kind counts against a pattern, where one of another kind counts 1
+UNKNOWN = 0.1
 TRUST = 0.8
 WEAK = 0.5
 SPAN = "array<struct<s:int,e:int,m:string,l:string,r:string>>"
@@ -36,8 +38,9 @@ def _spans(text: Column, pattern: str, holds: Column | None = None) -> Column:
             found,
             lambda p, m: F.struct(
                 F.length(p["a"]).alias("gap"), m.alias("m"),
-                F.lower(F.regexp_extract(F.substring(p["a"], -CONTEXT_CHARS, CONTEXT_CHARS), r"(\S+)[\s(+]*$", 1)).alias("l"),
-                F.lower(F.regexp_extract(F.substring(p["b"], 1, CONTEXT_CHARS), r"^[\s)]*(\S+)", 1)).alias("r"),
+                # backwards, so that the last word is found at once
+                F.lower(F.reverse(F.regexp_extract(F.reverse(p["a"]), r"^[\s(+]*+(\S++)", 1))).alias("l"),
+                F.lower(F.regexp_extract(p["b"], r"^[\s)]*+(\S++)", 1)).alias("r"),
             ),
         )
 
@@ -116,9 +119,12 @@ def learn_patterns(spans: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     ``spans`` is a table as ``found_spans`` makes it. The graph links every pattern to the
     distinct values it surrounds. A seed's score is 1 for its kind; a candidate's starts
     at 0. In each round a pattern's trust in a kind is the sum of its values' scores over
-    their number plus one, and a candidate's score is what patterns trusted by half or
-    more leave it: 1 less the product of their doubts. The doubts are added up as rounded
-    whole numbers, so that results don't depend on the order of rows.
+    that sum, its seeds of other kinds, a tenth (``UNKNOWN``) of what its candidates lack
+    of a score, and one; so unseen values neither speak for it nor silence it. A
+    candidate's score is what patterns trusted by half or more leave it: 1 less the
+    product of their doubts. Rounds end when no trust, of three digits, changes any more,
+    at the latest after ``rounds``. Scores and doubts are added up as whole numbers, so
+    that results don't depend on the order of rows.
     """
     def of_kind(column: str, kind: Column) -> Column:
         return F.transform(column, lambda x: F.struct(
@@ -135,29 +141,38 @@ def learn_patterns(spans: DataFrame, rounds: int = ROUNDS) -> DataFrame:
             F.col("x.kind").alias("seed"),
         ).distinct()
     )
-    sizes = keep(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")))
-    fixed = edges.filter("seed IS NOT NULL").groupBy("pattern", F.col("seed").alias("kind")).agg(
-        F.count(F.lit(1)).cast("double").alias("s")
-    )
-    fixed = keep(fixed)
-    open_edges = keep(edges.filter("seed IS NULL").select("pattern", "value"))
-    scored = fixed
-    trust = None
-    for turn in range(rounds):
-        summed = scored.groupBy("pattern", "kind").agg(F.sum("s").alias("s"))
+    is_seed = F.col("seed").isNotNull()
+    sizes = keep(edges.groupBy("pattern").agg(F.count_if(is_seed).alias("n_seeds"), F.count_if(~is_seed).alias("n_open")))
+    fixed = keep(edges.filter(is_seed).groupBy("pattern", F.col("seed").alias("kind")).agg(
+        F.count(F.lit(1)).alias("f")
+    ))
+    open_edges = keep(edges.filter(~is_seed).select("pattern", "value"))
+    # scores in millionths
+    given = fixed.select("pattern", "kind", F.lit(0).cast("long").alias("s"))
+    trust, before = None, None
+    for _ in range(rounds):
+        parts = given.select("pattern", "kind", F.lit(0).cast("long").alias("f"), "s").unionAll(
+            fixed.select("pattern", "kind", "f", F.lit(0).cast("long"))
+        )
+        summed = parts.groupBy("pattern", "kind").agg(F.sum("f").alias("f"), (F.sum("s") / 1e6).alias("c"))
+        against = F.col("n_seeds") - F.col("f") + UNKNOWN * (F.col("n_open") - F.col("c"))
+        for_it = F.col("f") + F.col("c")
         trust = keep(
             summed.join(sizes, "pattern").select(
-                "pattern", "kind", F.round(F.col("s") / (F.col("n") + 1), 6).alias("trust")
+                "pattern", "kind", F.round(for_it / (for_it + against + 1), 3).alias("trust")
             ).filter(F.col("trust") >= WEAK)
         )
-        if turn == rounds - 1:
+        # trust never falls from one round to the next, so equal sums are equal tables
+        now = trust.agg(F.count(F.lit(1)), F.sum(F.round(F.col("trust") * 1000).cast("long"))).first()
+        if now == before:
             break
+        before = now
         doubt = F.round(F.log(1.000001 - F.col("trust")) * 1e6).cast("long")
-        given = (
+        scores = (
             open_edges.join(trust, "pattern").groupBy("value", "kind").agg(F.sum(doubt).alias("d"))
-            .select("value", "kind", F.round(1 - F.exp(F.col("d") / 1e6), 6).alias("s"))
+            .select("value", "kind", F.round((1 - F.exp(F.col("d") / 1e6)) * 1e6).cast("long").alias("s"))
         )
-        scored = fixed.unionAll(open_edges.join(keep(given), "value").select("pattern", "kind", "s"))
+        given = open_edges.join(keep(scores), "value").select("pattern", "kind", "s")
     return trust
 
 

@@ -175,6 +175,16 @@ def test_exact_groups_of_odd_rows(spark):
     assert exact.exact_groups(docs.limit(0)).count() == exact.exact_dedup(docs.limit(0)).count() == 0
 
 
+def test_each_level_reads_only_what_the_one_before_left(spark):
+    long = "z" * 300
+    texts = ["a", "bb", "cc", "dd", "ee", "ee", long + "1", long + "2", "only this long", None, ""]
+    read = lambda t: tuple(exact.refinement(docs_of(spark, t)).first())
+    # one length each for "a" and the last but two; heads of the two long ones are equal
+    assert read(texts) == (11, 9, 6)
+    assert read([long[:n] for n in range(1, 200)]) == (199, 0, 0)
+    assert read([]) == (0, 0, 0)
+
+
 # ---------------------------------------------------------------- rules, quality
 
 def test_rules_of_odd_rows(spark):
@@ -477,6 +487,35 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert pii.mask(docs.limit(0)).count() == pii.found_spans(docs.limit(0)).count() == 0
 
 
+def planted_contexts():
+    """Seeds among as many unseen values, a value that leads to a further pattern, a word
+    longer than a line, and a context with many more unseen values than seeds."""
+    far = "x" * 90 + ":"
+    texts = [f"n{i} hotline: +1 (017) 555-77{i:02d} now" for i in range(12)]
+    texts += [f"u{i} hotline: 0171 5557 7{i:02d} now" for i in range(12)]
+    texts += [f"f{i} {far} +1 (018) 555-77{i:02d} then" for i in range(9)] + [f"g {far} 0181 5557 713 then"]
+    texts += [f"line 0171 5557 7{i:02d} end" for i in range(9)] + ["line 0199 1234 567 end"]
+    texts += [f"order {3000000 + i} paid" for i in range(80)] + [f"order +1 (019) 555-77{i:02d} paid" for i in range(4)]
+    return texts + ["", None]
+
+
+def test_unknown_values_do_not_silence_a_context(spark):
+    texts = planted_contexts()
+    got = {r["doc_id"]: [x["kind"] for x in r["extra"]] for r in pii.found_spans(docs_of(spark, texts)).collect()}
+    want = {i: ["phone"] if (t or "").startswith(("u", "g", "line")) else [] for i, t in enumerate(texts)}
+    assert got == want
+
+
+def test_planted_contexts_by_sql(spark, tmp_path):
+    docs = docs_of(spark, planted_contexts())
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    duck = duckdb.connect()
+    duck.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    want = duck.execute(ORACLES["op7_pii"]).df().sort_values("doc_id")
+    got = QUERIES["op7_pii"](spark, str(tmp_path)).toPandas().sort_values("doc_id")
+    assert got.spans.tolist() == want.spans.tolist() and sum("phone" in x for x in got.spans) == 48
+
+
 # ---------------------------------------------------------------- toxicity
 
 def test_chain_holds_on_unseen_labels(spark):
