@@ -10,75 +10,121 @@ from .components import components
 
 # turns of a conversation that one task numbers together
 BLOCK_TURNS = 1024
+# words of a passage that are looked up together
+PASSAGE_WORDS = 5
 FORMAT = ("<|", "|>\n", "<|end|>\n")
 KEYS = ("c", "t", "h")
+# they mark passages and their levels while a message is parsed
+BEGIN, LEVEL = "\x02", "\x03"
 
 
 def _normal(line: Column) -> Column:
     """A line as it is compared: lower case, single blanks, none around."""
-    return F.trim(F.regexp_replace(F.lower(line), r"[\x20\x09-\x0D]+", " "))
+    return F.trim(F.regexp_replace(F.lower(line), r"[\x02\x03\x20\x09-\x0D]+", " "))
+
+
+def _words(text: Column) -> Column:
+    return F.array_remove(F.split(text, " ", -1), "")
+
+
+def _hashed_runs(words: Column) -> Column:
+    """Hashes of all runs of five words, or of all words if they are fewer; none of none."""
+    starts = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.greatest(F.size(words) - (PASSAGE_WORDS - 1), F.lit(1))))
+    runs = F.transform(starts, lambda at: F.md5(F.array_join(F.slice(words, at, PASSAGE_WORDS), " ")))
+    return F.coalesce(runs, F.array().cast("array<string>"))
 
 
 def parse(conversations: DataFrame) -> DataFrame:
     """One row per distinct message: keys ``c``, ``t``, ``h``, its columns, ``own`` text,
-    hashed ``lines`` of its own and ``quotes`` (level and hash of each quoted line).
+    hashed ``pieces`` of it, ``quotes`` (level and hash of each piece it quotes) and
+    ``n_quoted`` lines.
 
-    A line's quote level is the number of ``>`` in front of it. Rows that repeat
+    A line's quote level is the number of ``>`` in front of it; neighbouring lines of one
+    level are a passage. A piece is a run of five words, wherever its lines break, so that
+    a passage may be wrapped anew or be a part of what it quotes. A passage of fewer words
+    is one piece and is found in messages and lines that consist of it. Rows that repeat
     conversation, turn, role and text are one message. NULLs: a text is empty, a turn comes
     first, conversations without an id are one conversation.
     """
     body = F.coalesce("text", F.lit(""))
     rows = conversations.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", body.alias("text")).distinct()
-    marks = lambda line: F.regexp_extract(line, r"^((?:[\x20\t]*>)*)", 1)
+    # no groups that repeat: a line may begin with any number of marks
+    marks = lambda line: F.regexp_extract(line, r"^[\x20\t>]*", 0)
     level = lambda line: F.length(F.regexp_replace(marks(line), "[^>]", ""))
-    said = lambda line: F.regexp_replace(line, r"^(?:[\x20\t]*>)+\x20?", "")
+    said = lambda line: _normal(F.regexp_replace(line, r"^[\x20\t>]*>\x20?", ""))
     lines = F.split("text", "\n", -1)
-    own = F.filter(lines, lambda line: level(line) == 0)
-    quoted = F.filter(
-        F.transform(F.filter(lines, lambda line: level(line) > 0), lambda line: F.struct(
-            level(line).alias("level"), _normal(said(line)).alias("said")
+    rows = rows.withColumn("lines", F.transform(lines, lambda line: F.struct(
+        level(line).alias("level"), said(line).alias("said"), line.alias("line")
+    )))
+    own = F.filter("lines", lambda x: x["level"] == 0)
+    # marks stand where the level changes; a split at them gives the passages
+    marked = F.array_join(F.transform("lines", lambda x, i: F.concat(
+        F.when((i > 0) & (F.get("lines", i - 1)["level"] == x["level"]), F.lit(" "))
+        .otherwise(F.concat(F.lit(BEGIN), x["level"].cast("string"), F.lit(LEVEL))),
+        x["said"],
+    )), "")
+    passages = F.filter(
+        F.transform(F.split(marked, BEGIN, -1), lambda p: F.struct(
+            F.substring_index(p, LEVEL, 1).try_cast("int").alias("level"), _words(F.substring_index(p, LEVEL, -1)).alias("words")
         )),
-        lambda q: q["said"] != "",
+        lambda p: p["level"] > 0,
     )
-    hashed = F.transform(F.filter(F.transform(own, _normal), lambda line: line != ""), lambda line: F.md5(line))
-    return rows.select(
+    short = F.filter(F.transform(own, lambda x: x["said"]), lambda s: (s != "") & (F.size(F.split(s, " ")) < PASSAGE_WORDS))
+    rows = rows.select(
         F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")).alias("c"),
         F.coalesce("turn", F.lit(-(1 << 63))).alias("t"),
         F.md5(F.concat(F.coalesce("role", F.lit("")), F.lit("\x01"), "text")).alias("h"),
         "conv_id", "turn", "role",
-        F.trim(F.regexp_replace(F.array_join(own, "\n"), r"^\n+|\n+$", "")).alias("own"),
-        F.array_distinct(hashed).alias("lines"),
-        F.transform(quoted, lambda q: F.struct(q["level"].alias("level"), F.md5(q["said"]).alias("hash"))).alias("quotes"),
+        F.trim(F.btrim(F.array_join(F.transform(own, lambda x: x["line"]), "\n"), F.lit("\n"))).alias("own"),
+        F.size(F.filter("lines", lambda x: (x["level"] > 0) & (x["said"] != ""))).cast("long").alias("n_quoted"),
+        _words(F.array_join(F.transform(own, lambda x: x["said"]), " ")).alias("words"),
+        F.transform(short, lambda s: F.md5(s)).alias("short"),
+        passages.alias("passages"),
+    )
+    quoted = F.transform("passages", lambda p: F.transform(
+        _hashed_runs(p["words"]), lambda hash: F.struct(p["level"].alias("level"), hash.alias("hash"))
+    ))
+    return rows.select(
+        *KEYS, "conv_id", "turn", "role", "own", "n_quoted",
+        F.array_distinct(F.concat(_hashed_runs(F.col("words")), "short")).alias("pieces"),
+        F.flatten(quoted).alias("quotes"),
     )
 
 
 def _numbered(rows: DataFrame, group: list[str], name: str) -> DataFrame:
-    """``rows`` with a number from 0 in each group, by ``t`` and ``h``: numbers within
-    blocks of turns, and what the blocks before hold. No task sees a whole group."""
-    block = F.floor(F.col("t") / BLOCK_TURNS)
-    rows = rows.withColumn("block", block)
-    inner = Window.partitionBy(*group, "block").orderBy("t", "h")
-    before = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = rows.groupBy(*group, "block").agg(F.count(F.lit(1)).alias("size"))
-    bases = sizes.select(*group, "block", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("base"))
-    own = rows.withColumn("nth", F.row_number().over(inner) - 1)
-    return own.join(bases, [*group, "block"]).withColumn(name, F.col("nth") + F.col("base")).drop("nth", "base", "block")
+    """``rows`` with a number from 0 in each group, by ``t`` and ``h``: numbers among the
+    messages of one turn whose hashes start alike, what blocks of turns hold before these,
+    and what the blocks before hold. No task sees a whole group, or a whole turn."""
+    rows = rows.withColumn("block", F.floor(F.col("t") / BLOCK_TURNS)).withColumn("start", F.substring("h", 1, 2))
+    inner = Window.partitionBy(*group, "t", "start").orderBy("h")
+    sizes = rows.groupBy(*group, "block", "t", "start").agg(F.count(F.lit(1)).alias("size"))
+    near = Window.partitionBy(*group, "block").orderBy("t", "start").rowsBetween(Window.unboundedPreceding, -1)
+    far = Window.partitionBy(*group).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = sizes.groupBy(*group, "block").agg(F.sum("size").alias("size"))
+    blocks = blocks.select(*group, "block", F.coalesce(F.sum("size").over(far), F.lit(0)).alias("before"))
+    parts = sizes.withColumn("base", F.coalesce(F.sum("size").over(near), F.lit(0))).join(blocks, [*group, "block"])
+    bases = parts.select(*group, "t", "start", (F.col("base") + F.col("before")).alias("base"))
+    own = rows.drop("block").withColumn("nth", F.row_number().over(inner) - 1)
+    joined = own.join(bases, [*group, "t", "start"])
+    return joined.withColumn(name, F.col("nth") + F.col("base")).drop("nth", "base", "start")
 
 
 def quote_links(messages: DataFrame) -> DataFrame:
     """``(c, n, parent)``: the message that a message quotes, by number.
 
-    Each quoted line is looked up among the lines of earlier messages; the latest one that
-    said it counts. Of the levels that find anything the outermost decides, then the number
-    of lines, then the later message. Line by line that is an as-of match, not a join of
-    all equal lines: within blocks of messages by a window, from block to block by the
-    block's last one, so a line that everybody says meets nowhere in full.
+    Each piece of a quoted passage is looked up among the pieces of earlier messages; the
+    latest one that said it counts. Of the levels that find anything the outermost decides,
+    then the number of pieces, then the later message. Piece by piece that is an as-of
+    match, not a join of all equal pieces: within blocks of messages by a window, from
+    block to block by the block's last one, so a piece that everybody says meets nowhere in
+    full. Of conversations without a quote nothing is looked up.
     """
     quotes = messages.filter(F.size("quotes") > 0).select("c", "n", F.explode("quotes").alias("q")).select(
         "c", "n", F.col("q.level").alias("level"), F.col("q.hash").alias("hash")
     )
     asked = quotes.select("c", "hash").distinct()
-    said = messages.select("c", "n", F.explode("lines").alias("hash")).join(asked, ["c", "hash"], "left_semi")
+    quoting = messages.join(quotes.select("c").distinct(), "c", "left_semi")
+    said = quoting.select("c", "n", F.explode("pieces").alias("hash")).join(asked, ["c", "hash"], "left_semi")
     none = F.lit(None)
     both = keep(
         quotes.select("c", "hash", "n", "level", none.cast("long").alias("found"))
@@ -125,7 +171,8 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     """One row per distinct message: conv_id, turn, role, reply_to, thread, position,
     n_quoted, text, formatted.
 
-    ``text`` is the message without its quoted lines, ``formatted`` the same between role
+    ``text`` is the message without its quoted lines, ``n_quoted`` how many of these are not
+    blank, ``formatted`` the same between role
     and end marks. Sorted by conv_id, thread and position the rows are the conversations in
     reply order: ``thread`` numbers a thread by the place of its first message in the
     conversation, ``position`` counts from 0 within it, and ``reply_to`` is the turn of the
@@ -133,7 +180,7 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     it is never gathered. See ``parse`` for repeated rows and NULLs; a NULL role is user.
     """
     parsed = keep(parse(conversations))
-    messages = keep(_numbered(parsed.select(*KEYS, "turn", "lines", "quotes"), ["c"], "n"))
+    messages = keep(_numbered(parsed.select(*KEYS, "turn", "pieces", "quotes"), ["c"], "n"))
     links = keep(quote_links(messages))
     threads = keep(reply_threads(messages, links))
     # messages of conversations that branch nowhere are one thread
@@ -148,6 +195,6 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     role = F.coalesce("role", F.lit("user"))
     return parsed.join(answered, list(KEYS)).select(
         "conv_id", "turn", "role", "reply_to", "thread", "position",
-        F.size("quotes").cast("long").alias("n_quoted"), F.col("own").alias("text"),
+        "n_quoted", F.col("own").alias("text"),
         F.concat(F.lit(FORMAT[0]), role, F.lit(FORMAT[1]), "own", F.lit(FORMAT[2])).alias("formatted"),
     )

@@ -71,15 +71,29 @@ WITH RECURSIVE rows AS (
     SELECT c, n, l, i, length(regexp_replace(regexp_extract(l, '^((?:[\\x20\\t]*>)*)', 1), '[^>]', '', 'g')) AS level
     FROM (SELECT c, n, unnest(string_split(body, chr(10))) AS l, generate_subscripts(string_split(body, chr(10)), 1) AS i FROM msgs)
 ), said AS (
-    SELECT c, n, i, level, trim(regexp_replace(lower(regexp_replace(l, '^(?:[\\x20\\t]*>)+\\x20?', '')), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS s
+    SELECT c, n, i, level, trim(regexp_replace(lower(regexp_replace(l, '^(?:[\\x20\\t]*>)+\\x20?', '')), '[\\x02\\x03\\x20\\x09-\\x0D]+', ' ', 'g')) AS s
     FROM cut
+), runs AS (
+    -- own lines are one run, neighbouring quoted lines of one level are another
+    SELECT c, n, i, level, s, CASE WHEN level > 0 THEN sum(begins) OVER (PARTITION BY c, n ORDER BY i) ELSE 0 END AS p
+    FROM (SELECT *, CASE WHEN level = lag(level) OVER (PARTITION BY c, n ORDER BY i) THEN 0 ELSE 1 END AS begins FROM said)
+), passages AS (
+    SELECT c, n, p, level, list_filter(string_split(string_agg(s, ' ' ORDER BY i), ' '), lambda x: x <> '') AS w
+    FROM runs GROUP BY c, n, p, level
+), pieces AS (
+    SELECT c, n, level, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda k: array_to_string(w[k:k + 4], ' '))) AS s
+    FROM passages WHERE len(w) > 0
+), own_pieces AS (
+    SELECT c, n, s FROM pieces WHERE level = 0
+    UNION SELECT c, n, s FROM said WHERE level = 0 AND s <> '' AND len(string_split(s, ' ')) < 5
 ), hits AS (
-    SELECT q.c, q.n, q.i, q.level, max(o.n) AS parent
-    FROM said q JOIN said o ON o.c = q.c AND o.s = q.s AND o.n < q.n AND o.level = 0
-    WHERE q.level > 0 AND q.s <> '' GROUP BY ALL
+    SELECT q.c, q.n, q.level, max(o.n) AS parent, any_value(q.times) AS times
+    FROM (SELECT c, n, level, s, count(*) AS times FROM pieces WHERE level > 0 GROUP BY ALL) q
+        JOIN own_pieces o ON o.c = q.c AND o.s = q.s AND o.n < q.n
+    GROUP BY q.c, q.n, q.level, q.s
 ), links AS (
     SELECT c, n, arg_max(parent, [-level, hits, parent]) AS parent
-    FROM (SELECT c, n, level, parent, count(*) AS hits FROM hits GROUP BY ALL) GROUP BY c, n
+    FROM (SELECT c, n, level, parent, sum(times)::BIGINT AS hits FROM hits GROUP BY ALL) GROUP BY c, n
 ), tree AS (
     SELECT m.c, m.n, coalesce(l.parent, CASE WHEN m.n > 0 THEN m.n - 1 END) AS parent FROM msgs m LEFT JOIN links l USING (c, n)
 ), ranked AS (

@@ -568,6 +568,51 @@ def test_nested_quotes_and_empty_chats(spark):
     assert chat.format_chats(empty).count() == 0
 
 
+def folded(words, width, mark=""):
+    return "\n".join(mark + " ".join(words[i : i + width]) for i in range(0, len(words), width))
+
+
+def test_passages_may_be_wrapped_anew_or_be_a_part(spark, tmp_path):
+    rng = random.Random(5)
+    rows, asked = [], {}
+    for c in range(12):
+        said = []
+        for t in range(14):
+            own = [f"{rng.choice('abcdefgh')}{rng.randint(0, 400)}" for _ in range(rng.randint(12, 40))]
+            quoted = ""
+            if t > 2 and rng.random() < 0.6:
+                parent = rng.randrange(t)
+                at = rng.randrange(len(said[parent]) - 8)
+                part = said[parent][at : at + rng.randint(8, 30)]
+                asked[c, t] = parent
+                quoted = folded(part, rng.randint(2, 9), "> ") + "\n"
+                if rng.random() < 0.5:  # what the quoted message itself quoted
+                    quoted = folded(said[rng.randrange(t)][:9], 4, "> > ") + "\n" + quoted
+            said.append(own)
+            rows.append((c, t, "user", quoted + folded(own, rng.randint(3, 11))))
+    frame = pd.DataFrame(rows, columns=["conv_id", "turn", "role", "text"])
+    frame.to_parquet(tmp_path / "conversations.parquet")
+    got = QUERIES["op10_chat_formatting"](spark, str(tmp_path)).toPandas()
+    replies = {(r.conv_id, r.turn): r.reply_to for r in got.itertuples()}
+    assert len(asked) > 50 and all(replies[k] == parent for k, parent in asked.items())
+    assert all(replies[c, t] == t - 1 for c, t, *_ in rows if t and (c, t) not in asked)
+    assert norm(got) == norm(sql("op10_chat_formatting", str(tmp_path)))
+
+
+def test_chats_of_odd_rows(spark):
+    long = [f"w{i}" for i in range(30000)]
+    columns = "conv_id long, turn long, role string, text string, n long, c string, thread long, own string, pieces int"
+    rows = [(1, 0, "user", folded(long, 7)), (1, 1, "assistant", "No."), (1, 2, "user", folded(long, 11, ">> ") + "\nwhy?")]
+    # messages of one turn, a level without end, marks of the parser in a text
+    rows += [(2, 5, "user", f"text {i}") for i in range(600)] + [(3, 0, None, ">" * 5000 + "a"), (3, 1, "user", "\x02\x03 > b\n> \x02"), (None, None, None, None)]
+    odd = spark.createDataFrame([(*r, 9, "x", 8, "y", 7) for r in rows + rows[:5]], columns)
+    got = chat.format_chats(odd).toPandas()
+    assert len(got) == len(rows)
+    last = got[(got.conv_id == 1) & (got.turn == 2)].iloc[0]
+    assert last.reply_to == 0 and last.text == "why?" and last.n_quoted == -(-len(long) // 11)
+    assert sorted(got[got.conv_id == 2].position) == list(range(600)) and set(got[got.conv_id == 2].thread) == {0}
+
+
 # ---------------------------------------------------------------- pipeline
 
 def test_pipeline_against_brute_force(spark):
