@@ -39,15 +39,13 @@ REMEMBERED_CHARS = 64
 
 
 def measures(text: Column) -> dict[str, Column]:
-    """What the labellers look at: counts over the whole text."""
+    """What the labellers look at, but for equal words: counts over the whole text."""
     count = lambda chars: F.length(F.regexp_replace(text, f"[^{chars}]+", ""))
     matches = lambda p: F.size(F.regexp_extract_all(text, F.lit(p), F.lit(0)))
     words = F.split(F.trim(text), GAP)
     return {
         "words": F.greatest(F.size(words), F.lit(1)),
-        "distinct": F.size(F.array_distinct(words)),
         "plain": matches(r"(?<!\S)\p{L}++[.,;:!?]?(?!\S)"),
-        "doubled": matches(r"(?<!\S)(\S++)\s++(?=\1(?!\S))"),
         "visible": F.greatest(F.length(F.regexp_replace(text, GAP, "")), F.lit(1)),
         "alphanumeric": count(r"\p{L}\p{N}"),
         "letters": F.greatest(count(r"\p{L}"), F.lit(1)),
@@ -60,7 +58,8 @@ def measures(text: Column) -> dict[str, Column]:
 
 
 def votes(prefix: str = "m_") -> dict[str, Column]:
-    """Each labeller's vote, from the measures as columns: 0 none, 1 bad, 2 good."""
+    """Each labeller's vote, from the measures as columns: 0 none, 1 bad, 2 good. Those who
+    look at equal words vote where the words are at hand, see ``word_votes``."""
     m = {k: F.col(prefix + k) for k in measures(F.lit(""))}
     n, other = m["words"], m["visible"] - m["alphanumeric"]
 
@@ -71,12 +70,10 @@ def votes(prefix: str = "m_") -> dict[str, Column]:
         "length": vote(F.lit(False), n >= 20),
         "plain_words": vote(m["plain"] * 10 < n * 6, m["plain"] * 10 >= n * 9),
         "other_characters": vote(other * 5 >= m["visible"], other * 10 < m["visible"]),
-        "variety": vote((n >= 50) & (m["distinct"] * 10 < n), m["distinct"] * 4 >= n),
         "symbols": vote(m["symbols"] * 3 >= n, m["symbols"] * 20 < n),
         "shouting": vote(m["upper"] * 2 >= m["letters"], m["upper"] * 5 < m["letters"]),
         "exclamation": vote(m["exclamations"] * 3 >= n, m["exclamations"] * 20 < n),
         "separators": vote(m["separators"] * 5 >= n, m["separators"] * 50 < n),
-        "doubling": vote(m["doubled"] * 5 >= n, m["doubled"] * 50 < n),
         "sentences": vote(n > 100 * m["ends"], (n >= 3 * m["ends"]) & (n <= 60 * m["ends"])),
         "word_length": vote(
             (m["letters"] > 15 * n) | (m["letters"] < 2 * n), (m["letters"] >= 3 * n) & (m["letters"] <= 10 * n)
@@ -84,8 +81,20 @@ def votes(prefix: str = "m_") -> dict[str, Column]:
     }
 
 
+def word_votes(words: list[str], doubled: int) -> tuple[int, int]:
+    """The votes on variety and on doubled words: 0 none, 1 bad, 2 good."""
+    n, distinct = max(len(words), 1), max(len(set(words)), 1)
+    variety = BAD if n >= 50 and distinct * 10 < n else GOOD if distinct * 4 >= n else ABSTAIN
+    doubling = BAD if doubled * 5 >= n else GOOD if doubled * 50 < n else ABSTAIN
+    return variety, doubling
+
+
+# labellers of both kinds
+LABELLERS = 11
+
+
 def _pattern() -> Column:
-    """All votes as one number to the base of three."""
+    """All votes on the measures as one number to the base of three."""
     out = F.lit(0)
     for v in votes().values():
         out = out * 3 + v
@@ -148,13 +157,12 @@ class Shapes:
                 self.known[word] = at
         return at
 
-    def of(self, text: str) -> dict[int, float]:
-        words = text.split()
+    def of(self, words: list[str], doubled: int) -> dict[int, float]:
         n = len(words) + SMOOTH_WORDS
         out = {b: c / n for b, c in Counter(map(self._bucket, words)).items()}
         for name, value in (
             (f"length {n.bit_length()}", 1.0),
-            ("doubled", sum(map(str.__eq__, words, words[1:])) / n),
+            ("doubled", doubled / n),
         ):
             at = crc32(name.encode()) % BUCKETS
             out[at] = out.get(at, 0.0) + value
@@ -203,10 +211,16 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_rows:
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = Shapes()
         for batch, values in texts(batches):
-            found = [sorted(shapes.of(t).items()) for t in values]
+            found, patterns = [], []
+            for text, pattern in zip(values, batch.column(3).to_pylist()):
+                words = text.split()
+                doubled = sum(map(str.__eq__, words, words[1:]))
+                variety, doubling = word_votes(words, doubled)
+                patterns.append((pattern * 3 + variety) * 3 + doubling)
+                found.append(sorted(shapes.of(words, doubled).items()))
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column(0), batch.column(2), batch.column(3),
+                    batch.column(0), batch.column(2), pa.array(patterns, pa.int32()),
                     pa.array([[b for b, _ in f] for f in found], pa.list_(pa.int32())),
                     pa.array([[v for _, v in f] for f in found], pa.list_(pa.float64())),
                 ],
@@ -218,7 +232,7 @@ def judge(docs: DataFrame, key: str = "doc_id", text: str = "text", sample_rows:
         describe, f"doc_id {kind}, h bigint, pattern int, buckets array<int>, shares array<double>"
     ))
     counts = seen.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")).collect()
-    good = posteriors({r["pattern"]: r["n"] for r in counts}, len(votes()))
+    good = posteriors({r["pattern"]: r["n"] for r in counts}, LABELLERS)
     low = seen.select("h").distinct().orderBy("h").limit(sample_rows).agg(F.max("h")).collect()[0][0]
     rows = seen.filter(F.col("h") <= F.lit(low)).select("pattern", "buckets", "shares").distinct()
     # the order makes the sums repeatable

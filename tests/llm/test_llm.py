@@ -3,6 +3,7 @@
 import glob
 import hashlib
 import itertools
+import math
 import os
 import random
 import re
@@ -15,6 +16,7 @@ import pandas as pd
 import pyarrow as pa
 import public_tokenizers
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -221,6 +223,104 @@ def test_quality_agrees_with_held_out_labels(spark):
     assert quality.judge(docs).count() == n and quality.judge(docs.limit(0)).count() == 0
 
 
+def brute_votes(text):
+    """The eleven votes on a text, as digits to the base of three."""
+    words, ascii_words = text.split(), [w for w in re.split(r"[\x20\x09-\x0D]+", text.strip(" ")) if w]
+    n, own = max(len(ascii_words), 1), max(len(words), 1)
+    count = lambda pattern, s=text: len(regex.findall(pattern, s))
+    visible, alike = max(count(r"[^\x20\x09-\x0D]"), 1), count(r"[\p{L}\p{N}]")
+    letters, upper, ends = max(count(r"\p{L}"), 1), count(r"\p{Lu}"), max(count("[.!?…]"), 1)
+    symbols, cries, bars = count(r"[#*$%&<>{}=\\^~]"), text.count("!"), text.count("|") + text.count("»")
+    plain = sum(regex.fullmatch(r"\p{L}+[.,;:!?]?", w) is not None for w in ascii_words)
+    doubled, distinct = sum(a == b for a, b in zip(words, words[1:])), max(len(set(words)), 1)
+    other = visible - alike
+    pairs = [  # bad, good
+        (False, n >= 20),
+        (plain * 10 < n * 6, plain * 10 >= n * 9),
+        (other * 5 >= visible, other * 10 < visible),
+        (symbols * 3 >= n, symbols * 20 < n),
+        (upper * 2 >= letters, upper * 5 < letters),
+        (cries * 3 >= n, cries * 20 < n),
+        (bars * 5 >= n, bars * 50 < n),
+        (n > 100 * ends, 3 * ends <= n <= 60 * ends),
+        (letters > 15 * n or letters < 2 * n, 3 * n <= letters <= 10 * n),
+        (own >= 50 and distinct * 10 < own, distinct * 4 >= own),
+        (doubled * 5 >= own, doubled * 50 < own),
+    ]
+    return [1 if bad else 2 if good else 0 for bad, good in pairs]
+
+
+def brute_posteriors(table):
+    """Expectation-maximisation document by document; one probability each."""
+    n = len(table)
+    good = [1 / (1 + math.exp(3 * v.count(1) - 4)) for v in table]
+    for _ in range(quality.ROUNDS):
+        total, chance = sum(good), {}
+        for k in range(11):
+            for c, lean in enumerate(((0.4, 0.4, 0.2), (0.3, 0.01, 0.69))):
+                seen = [n * quality.LEAN * x for x in lean]
+                for v, g in zip(table, good):
+                    seen[v[k]] += g if c else 1 - g
+                chance[k, c] = [x / sum(seen) for x in seen]
+            chance[k, 1][1] = min(chance[k, 1][1], quality.MAX_FALSE)
+        priors = ((n - total + 1) / (n + 2), (total + 1) / (n + 2))
+        odds = [[math.log(priors[c]) + sum(math.log(chance[k, c][v[k]]) for k in range(11)) for c in (0, 1)] for v in table]
+        good = [1 / (1 + math.exp(min(max(b - g, -50), 50))) for b, g in odds]
+    return good
+
+
+def brute_scores(texts, targets):
+    """Accelerated gradient steps on a logistic model, over dictionaries of hashed shapes."""
+    def shape(word):
+        word = re.sub(r"[^\W\d_]+", lambda m: "A" if m[0].isupper() and len(m[0]) > 1 else "Aa" if m[0][0].isupper() else "a", word)
+        return re.sub(r"(.{1,3}?)\1+", r"\1+", re.sub(r"\d+", "0", word))
+
+    rows = []
+    for text in texts:
+        words = text.split()
+        n, row = len(words) + quality.SMOOTH_WORDS, Counter()
+        for w in words:
+            row[shape(w)] += 1 / n
+        row[f"length {n.bit_length()}"] += 1
+        row["doubled"] += sum(a == b for a, b in zip(words, words[1:])) / n
+        hashed = Counter()
+        for name, share in row.items():
+            hashed[zlib.crc32(name.encode()) % quality.BUCKETS] += share
+        rows.append({**hashed, -1: 1.0})
+    # a row of equal features and target is one example
+    found = {(tuple(sorted(r.items())), y) for r, y in zip(rows, targets)}
+    m, curve = len(found), Counter()
+    for row, _ in found:
+        for k, v in row:
+            curve[k] += 0.75 * v / m
+    last, look, step = Counter(), Counter(), 1.0
+    for _ in range(quality.STEPS):
+        slope = Counter({k: quality.PENALTY * w for k, w in look.items() if k != -1})
+        for row, y in found:
+            gap = 1 / (1 + math.exp(-sum(v * look[k] for k, v in row))) - y
+            for k, v in row:
+                slope[k] += gap * v / m
+        new = Counter({k: look[k] - slope[k] / (curve[k] + quality.PENALTY) for k in slope})
+        after = (1 + math.sqrt(1 + 4 * step * step)) / 2
+        look = Counter({k: w + (step - 1) / after * (w - last[k]) for k, w in new.items()})
+        last, step = new, after
+    return [1 / (1 + math.exp(-sum(v * last[k] for k, v in r.items()))) for r in rows]
+
+
+def test_quality_by_brute_force(spark):
+    table = documents(SMALL)
+    texts = table.text.fillna("").tolist()
+    texts += ["no no no no yes", "", "\u00a0a\u00a0b", "#" * 90, "LOUD! WORDS! HERE!", "x1 " * 80, "home | news | about » more"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in quality.judge(docs).collect()}
+    good = brute_posteriors([brute_votes(t) for t in texts])
+    assert all(abs(got[i]["p_votes"] - p) < 2e-6 for i, p in enumerate(good))
+    # equal votes have one posterior; rounding here keeps equal targets equal
+    scores = brute_scores(texts, [round(p, 12) for p in good])
+    assert all(abs(got[i]["score"] - s) < 1e-4 for i, s in enumerate(scores))
+    assert all(got[i]["kept"] == (s >= quality.CUT) for i, s in enumerate(scores) if abs(s - quality.CUT) > 1e-3)
+
+
 def test_expectation_maximisation_trusts_what_tells():
     rng = np.random.default_rng(0)
     n, votes = 6000, []
