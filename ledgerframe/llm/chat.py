@@ -30,14 +30,13 @@ def _words(text: Column) -> Column:
 def _hashed_runs(words: Column) -> Column:
     """Hashes of all runs of five words, or of all words if they are fewer; none of none."""
     starts = F.when(F.size(words) > 0, F.sequence(F.lit(1), F.greatest(F.size(words) - (PASSAGE_WORDS - 1), F.lit(1))))
-    runs = F.transform(starts, lambda at: F.md5(F.array_join(F.slice(words, at, PASSAGE_WORDS), " ")))
-    return F.coalesce(runs, F.array().cast("array<string>"))
+    runs = F.transform(starts, lambda at: F.xxhash64(F.array_join(F.slice(words, at, PASSAGE_WORDS), " ")))
+    return F.coalesce(runs, F.array().cast("array<bigint>"))
 
 
 def parse(conversations: DataFrame) -> DataFrame:
     """One row per distinct message: keys ``c``, ``t``, ``h``, its columns, ``own`` text,
-    hashed ``pieces`` of it, ``quotes`` (level and hash of each piece it quotes) and
-    ``n_quoted`` lines.
+    ``quotes`` (level and hash of each piece it quotes) and ``n_quoted`` lines.
 
     A line's quote level is the number of ``>`` in front of it; neighbouring lines of one
     level are a passage. A piece is a run of five words, wherever its lines break, so that
@@ -53,15 +52,13 @@ def parse(conversations: DataFrame) -> DataFrame:
     level = lambda line: F.length(F.regexp_replace(marks(line), "[^>]", ""))
     said = lambda line: _normal(F.regexp_replace(line, r"^[\x20\t>]*>\x20?", ""))
     lines = F.split("text", "\n", -1)
-    rows = rows.withColumn("lines", F.transform(lines, lambda line: F.struct(
-        level(line).alias("level"), said(line).alias("said"), line.alias("line")
-    )))
-    own = F.filter("lines", lambda x: x["level"] == 0)
+    rows = rows.withColumn("lines", F.transform(lines, lambda line: F.struct(level(line).alias("level"), line.alias("line"))))
+    rows = rows.withColumn("said", F.transform("lines", lambda x: F.when(x["level"] > 0, said(x["line"])).otherwise(F.lit(""))))
     # marks stand where the level changes; a split at them gives the passages
     marked = F.array_join(F.transform("lines", lambda x, i: F.concat(
         F.when((i > 0) & (F.get("lines", i - 1)["level"] == x["level"]), F.lit(" "))
         .otherwise(F.concat(F.lit(BEGIN), x["level"].cast("string"), F.lit(LEVEL))),
-        x["said"],
+        F.get("said", i),
     )), "")
     passages = F.filter(
         F.transform(F.split(marked, BEGIN, -1), lambda p: F.struct(
@@ -69,26 +66,30 @@ def parse(conversations: DataFrame) -> DataFrame:
         )),
         lambda p: p["level"] > 0,
     )
-    short = F.filter(F.transform(own, lambda x: x["said"]), lambda s: (s != "") & (F.size(F.split(s, " ")) < PASSAGE_WORDS))
+    own = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["line"]), "\n")
     rows = rows.select(
         F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")).alias("c"),
         F.coalesce("turn", F.lit(-(1 << 63))).alias("t"),
         F.md5(F.concat(F.coalesce("role", F.lit("")), F.lit("\x01"), "text")).alias("h"),
         "conv_id", "turn", "role",
-        F.trim(F.btrim(F.array_join(F.transform(own, lambda x: x["line"]), "\n"), F.lit("\n"))).alias("own"),
-        F.size(F.filter("lines", lambda x: (x["level"] > 0) & (x["said"] != ""))).cast("long").alias("n_quoted"),
-        _words(F.array_join(F.transform(own, lambda x: x["said"]), " ")).alias("words"),
-        F.transform(short, lambda s: F.md5(s)).alias("short"),
+        F.trim(F.btrim(own, F.lit("\n"))).alias("own"),
+        F.size(F.filter("said", lambda s: s != "")).cast("long").alias("n_quoted"),
         passages.alias("passages"),
     )
     quoted = F.transform("passages", lambda p: F.transform(
         _hashed_runs(p["words"]), lambda hash: F.struct(p["level"].alias("level"), hash.alias("hash"))
     ))
-    return rows.select(
-        *KEYS, "conv_id", "turn", "role", "own", "n_quoted",
-        F.array_distinct(F.concat(_hashed_runs(F.col("words")), "short")).alias("pieces"),
-        F.flatten(quoted).alias("quotes"),
-    )
+    return rows.select(*KEYS, "conv_id", "turn", "role", "own", "n_quoted", F.flatten(quoted).alias("quotes"))
+
+
+def _pieces(rows: DataFrame) -> DataFrame:
+    """``rows`` with the distinct hashed ``pieces`` of ``own``: its runs of five words, and
+    its lines of fewer words."""
+    lines = F.transform(F.split("own", "\n", -1), _normal)
+    short = F.filter(lines, lambda s: (s != "") & (F.size(F.split(s, " ")) < PASSAGE_WORDS))
+    rows = rows.withColumn("words", _words(_normal(F.col("own"))))
+    pieces = F.concat(_hashed_runs(F.col("words")), F.transform(short, lambda s: F.xxhash64(s)))
+    return rows.withColumn("pieces", F.array_distinct(pieces)).drop("words")
 
 
 def _numbered(rows: DataFrame, group: list[str], name: str) -> DataFrame:
@@ -109,7 +110,7 @@ def _numbered(rows: DataFrame, group: list[str], name: str) -> DataFrame:
     return joined.withColumn(name, F.col("nth") + F.col("base")).drop("nth", "base", "start")
 
 
-def quote_links(messages: DataFrame) -> DataFrame:
+def quote_links(parsed: DataFrame, messages: DataFrame) -> DataFrame:
     """``(c, n, parent)``: the message that a message quotes, by number.
 
     Each piece of a quoted passage is looked up among the pieces of earlier messages; the
@@ -119,12 +120,16 @@ def quote_links(messages: DataFrame) -> DataFrame:
     block to block by the block's last one, so a piece that everybody says meets nowhere in
     full. Of conversations without a quote nothing is looked up.
     """
-    quotes = messages.filter(F.size("quotes") > 0).select("c", "n", F.explode("quotes").alias("q")).select(
-        "c", "n", F.col("q.level").alias("level"), F.col("q.hash").alias("hash")
-    )
+    numbers = messages.select(*KEYS, "n")
+    with_quotes = parsed.filter(F.size("quotes") > 0)
+    quotes = with_quotes.select(*KEYS, "quotes").join(numbers, list(KEYS)).select("c", "n", F.explode("quotes").alias("q"))
+    quotes = keep(quotes.select("c", "n", F.col("q.level").alias("level"), F.col("q.hash").alias("hash")))
     asked = quotes.select("c", "hash").distinct()
-    quoting = messages.join(quotes.select("c").distinct(), "c", "left_semi")
-    said = quoting.select("c", "n", F.explode("pieces").alias("hash")).join(asked, ["c", "hash"], "left_semi")
+    # texts are read, cut and hashed in conversations with a quote only
+    quoting = keep(with_quotes.select("c").distinct())
+    texts = parsed.select(*KEYS, "own").join(quoting, "c", "left_semi").join(numbers, list(KEYS))
+    # the outer form: a filter inferred from the inner one would cut texts once per word
+    said = _pieces(texts).select("c", "n", F.explode_outer("pieces").alias("hash")).join(asked, ["c", "hash"], "left_semi")
     none = F.lit(None)
     both = keep(
         quotes.select("c", "hash", "n", "level", none.cast("long").alias("found"))
@@ -180,8 +185,8 @@ def format_chats(conversations: DataFrame) -> DataFrame:
     it is never gathered. See ``parse`` for repeated rows and NULLs; a NULL role is user.
     """
     parsed = keep(parse(conversations))
-    messages = keep(_numbered(parsed.select(*KEYS, "turn", "pieces", "quotes"), ["c"], "n"))
-    links = keep(quote_links(messages))
+    messages = keep(_numbered(parsed.select(*KEYS, "turn"), ["c"], "n"))
+    links = keep(quote_links(parsed, messages))
     threads = keep(reply_threads(messages, links))
     # messages of conversations that branch nowhere are one thread
     placed = messages.select(*KEYS, "n").join(threads, ["c", "n"], "left").select(
