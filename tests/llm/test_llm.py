@@ -446,6 +446,45 @@ def test_bpe_agrees_with_the_library(spark):
     assert bpe.encode_decode(docs.limit(0), path).count() == 0
 
 
+def test_bpe_codes_letters_and_forgotten_chunks_as_the_library(monkeypatch):
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    chars = [chr(n) for n in range(0x21, 0x250)]
+    values = [" ".join([c, f"a{c}", f"{c}'S{c}{c}"]) for c in chars] + ["", " \t ", "\u3000", "\n".join(chars)]
+    values += ["Été <|endoftext|>Été <| ×2÷ß", "é" * 3000 + " " + "aé" * 3000] + values[:50]
+    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 30)
+    monkeypatch.setattr(bpe, "TRIE_NODES", 40)
+    coder = bpe.TextCoder(path)
+    for at in range(0, len(values), 7):
+        part = values[at : at + 7]
+        counts, ids, decoded = coder.code(pa.array(part))
+        want = [library.encode(v, add_special_tokens=False).ids for v in part]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.to_pylist() == [" ".join(map(str, w)) for w in want]
+        assert decoded.to_pylist() == [library.decode(w, skip_special_tokens=False) for w in want]
+
+
+def test_bpe_costs_no_collection_no_relearning_and_no_call_for_plain_words(monkeypatch):
+    """What made it slow: trie nodes that the garbage collector visits, a full cache that
+    forgot the chunks in use, and a call of the library for each word with an accent."""
+    import gc
+
+    coder = bpe.TextCoder(public_tokenizers.path("word_bpe_49k.json"))
+    monkeypatch.setattr(bpe, "CACHE_CHUNKS", 3)
+    learned, called = [], []
+    learn, words = coder._learn, coder._words
+    monkeypatch.setattr(coder, "_learn", lambda chunks: (learned.extend(chunks), learn(chunks)))
+    monkeypatch.setattr(coder, "_words", lambda part: (called.append(part), words(part))[1])
+    for text in ["Été Straße, année old", "année old! Straße, Été", "a Straße, β"]:
+        coder.code(pa.array([text]))
+    assert sorted(learned) == sorted(["Été", "Straße,", "année", "old", "old!", "a", "β"])
+    assert called == ["β"]
+    gc.collect()
+    assert coder.trie.nodes and not any(map(gc.is_tracked, coder.trie.nodes.values()))
+
+
 # ---------------------------------------------------------------- HTML
 
 def test_pages_give_their_articles(spark):
